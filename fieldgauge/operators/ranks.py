@@ -15,10 +15,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SLICES = 64
 
 
-def value_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def value_ranks(
+    df: DataFrame, value: str, by: Sequence[str] = (), keep_slice: bool = False
+) -> DataFrame:
     """One row per (group, distinct value): ``n_equal``, ``n_before``, ``n_total``.
 
-    NULL values take no part.  ``n_before`` counts the rows strictly below.
+    NULL values take no part.  ``n_before`` counts the rows strictly below.  The slice
+    number (ascending with the value) can be kept for further prefix computations.
     """
     by = list(by)
     counts = (
@@ -60,7 +63,24 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     return numbered.join(offsets, [*by, "_slice"]).select(
         *by, value, "n_equal",
         (F.col("_below_slice") + F.col("_below_in_slice")).alias("n_before"),
-        "n_total",
+        "n_total", *(["_slice"] if keep_slice else []),
+    )
+
+
+def running_max(
+    ranked: DataFrame, value: str, candidate: Column, by: Sequence[str], output: str
+) -> DataFrame:
+    """Largest candidate at or below each value, over rows kept with their slice."""
+    by = list(by)
+    rows = ranked.withColumn("_candidate", candidate)
+    inside = Window.partitionBy(*by, "_slice").orderBy(value)
+    peaks = rows.groupBy(*by, "_slice").agg(F.max("_candidate").alias("_peak"))
+    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = peaks.select(*by, "_slice", F.max("_peak").over(earlier).alias("_before"))
+    return (
+        rows.withColumn("_inside", F.max("_candidate").over(inside))
+        .join(before, [*by, "_slice"])
+        .select(*by, value, F.greatest("_inside", "_before").alias(output))
     )
 
 
