@@ -6,13 +6,19 @@ Spark has no Student-t, F or chi-square functions.  These work on result rows
 
 from __future__ import annotations
 
+import sys
 from math import lgamma
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
+
+# ship these small functions with the task, so workers need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TINY = 1e-300
 
@@ -92,28 +98,28 @@ def _masked(fn, *args):
     return pd.Series(out).where(ok, None).astype("float64")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _t_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     return _masked(lambda t, n: _beta_tail(n / (n + t * t), n / 2, 0.5), t, df)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _f_upper(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return _masked(lambda f, m, n: _beta_tail(n / (n + m * f), n / 2, m / 2), f, d1, d2)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _chi2_upper(x: pd.Series, df: pd.Series) -> pd.Series:
     return _masked(lambda x, k: _gamma_tail(x / 2, k / 2), x, df)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _norm_quantile(p: pd.Series) -> pd.Series:
     inv = NormalDist().inv_cdf
     return pd.Series([inv(v) if v is not None and 0 < v < 1 else None for v in p], dtype="float64")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _t_critical(p: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided critical value: bisection on the tail, vectorised over the batch."""
 

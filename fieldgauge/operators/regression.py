@@ -6,17 +6,24 @@ and read a second time for the residual sums.  No group is ever gathered in one
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from fieldgauge.functions.distributions import p_f, p_norm, p_t, t_critical
 from fieldgauge.operators.joins import change_from_base
 from fieldgauge.schemas import LAPSE_SCHEMA
 
+# ship the small p x p helpers with the task, so workers need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+DOUBLES = T.ArrayType(T.DoubleType())
+
 
 def lapse_rates(
     daily: DataFrame, season: str = "season", elevation: str = "elevation_m",
@@ -81,7 +88,7 @@ def _square(flat, k: int) -> np.ndarray:
     return m + np.triu(m, 1).T
 
 
-@pandas_udf("beta array<double>, inverse array<double>")
+@pandas_udf(T.StructType([T.StructField("beta", DOUBLES), T.StructField("inverse", DOUBLES)]))
 def _solve(gram: pd.Series, xty: pd.Series) -> pd.DataFrame:
     out = []
     for g, b in zip(gram, xty):
@@ -99,7 +106,7 @@ def _solve(gram: pd.Series, xty: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["beta", "inverse"])
 
 
-@pandas_udf("array<double>")
+@pandas_udf(DOUBLES)
 def _sandwich(inverse: pd.Series, meat: pd.Series) -> pd.Series:
     out = []
     for inv, m in zip(inverse, meat):
@@ -112,7 +119,7 @@ def _sandwich(inverse: pd.Series, meat: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def _wald(beta: pd.Series, cov: pd.Series, which: pd.Series) -> pd.Series:
     out = []
     for b, c, w in zip(beta, cov, which):
