@@ -35,14 +35,12 @@ def value_ranks(
     if by:
         edges = counts.groupBy(*by).agg(cuts.alias("_cuts"))
         sliced = counts.join(edges, by)
-        cut_points = F.col("_cuts")
     else:
-        sliced = counts
-        cut_points = counts.agg(cuts.alias("_cuts")).scalar()
+        sliced = counts.withColumn("_cuts", counts.agg(cuts.alias("_cuts")).scalar())
     v = F.col(value).cast("double")
     sliced = sliced.select(
         *by, value, "n_equal",
-        F.size(F.filter(cut_points, lambda e: e <= v)).alias("_slice"),
+        F.size(F.filter("_cuts", lambda e: e <= v)).alias("_slice"),
     )
     inside = Window.partitionBy(*by, "_slice").orderBy(value)
     numbered = sliced.withColumn(

@@ -84,8 +84,11 @@ def with_class(sites: DataFrame, elevation: str = "elevation_m", output: str = "
             F.coalesce(F.max(elevation), F.lit(1.0)).alias("high"),
         )
     ).scalar()
-    edges = equal_width_edges(limits["low"], limits["high"])
-    return sites.withColumn("_edges", edges).withColumn(output, class_of(elevation, F.col("_edges"))).drop("_edges")
+    held = sites.withColumn("_limits", limits)
+    placed = held.withColumn(
+        "_edges", equal_width_edges(F.col("_limits.low"), F.col("_limits.high"))
+    )
+    return placed.withColumn(output, class_of(elevation, F.col("_edges"))).drop("_limits", "_edges")
 
 
 def class_timeline(
