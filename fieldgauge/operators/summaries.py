@@ -358,3 +358,28 @@ def map_frame(
 def site_history(frame: DataFrame, chosen, site: str = "location_id") -> DataFrame:
     """One site's rows of a dense map frame, in time order."""
     return frame.filter(F.col(site) == chosen).orderBy("date")
+
+
+def analytics(
+    daily: DataFrame, metrics: Sequence[str], start, end, sites: DataFrame,
+    site: str = "location_id",
+) -> dict[str, DataFrame]:
+    """Several metrics over a closed day range, from complete daily values.
+
+    Tables ``stats``, ``timeline``, ``scatter`` and ``histogram``, each keyed by metric;
+    one long frame serves all metrics, so there is no loop over months or metrics.
+    """
+    inside = daily.filter(F.col("date").between(F.lit(start), F.lit(end)))
+    placed = with_class(sites).select(site, "name", "elevation_m", "band")
+    values = (
+        inside.select(site, "date", *[F.col(m).cast("double").alias(m) for m in metrics])
+        .unpivot([site, "date"], list(metrics), "metric", "value")
+        .filter(F.col("value").isNotNull())
+        .join(placed, site)
+    )
+    return {
+        "stats": summary_stats(values, "value", ["metric"]),
+        "timeline": class_timeline(values, by=["metric"]),
+        "scatter": site_scatter(values, "value", ["metric", site, "name", "elevation_m", "band"]),
+        "histogram": histogram(values, "value", 16, ["metric"]),
+    }

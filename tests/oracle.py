@@ -83,7 +83,7 @@ def main() -> int:
         try:
             df = build(spark, args.sf)
             problem = compare(df, con, sql[name]) if name in sql else None
-            note = f"{df.count()} rows" if name not in sql else f"{len(df.columns)} cols"
+            note = f"{df.count()} rows" + ("" if name in sql else " (no SQL)")
         except Exception as error:  # noqa: BLE001
             problem, note = f"{type(error).__name__}: {str(error)[:600]}", ""
         bad += problem is not None
