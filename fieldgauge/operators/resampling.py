@@ -22,19 +22,21 @@ BLOCK = 7
 CHUNK = 256
 
 
-def _spread_replicates(cells: DataFrame, total: Column | int, name: str = "replicate") -> DataFrame:
+def _spread_replicates(
+    cells: DataFrame, total: Column | int, name: str = "replicate", chunk: int = CHUNK
+) -> DataFrame:
     """Copy each cell for replicates 0 .. total-1, distributed chunk by chunk."""
     spark = cells.sparkSession
     total = F.lit(total) if isinstance(total, int) else total
     total = total.cast("bigint")
     chunks = cells.withColumn("_total", total).withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_total") - 1) / CHUNK)))
+        "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_total") - 1) / chunk)))
     )
     # an explicit number: the rows are few but each stands for much work
     parts = max(2 * spark.sparkContext.defaultParallelism, 1)
     spread = chunks.repartition(parts, F.xxhash64("_chunk", *cells.columns[:1]), "_chunk")
-    last = F.least(F.col("_total") - 1, F.col("_chunk") * CHUNK + (CHUNK - 1))
-    return spread.withColumn(name, F.explode(F.sequence(F.col("_chunk") * CHUNK, last))).drop(
+    last = F.least(F.col("_total") - 1, F.col("_chunk") * chunk + (chunk - 1))
+    return spread.withColumn(name, F.explode(F.sequence(F.col("_chunk") * chunk, last))).drop(
         "_total", "_chunk"
     )
 
@@ -53,7 +55,7 @@ def deviations(df: DataFrame, matrix: str, output: str, absolute: bool) -> DataF
     """Each row of the matrix minus its median, signed or absolute."""
     mark = F.abs if absolute else (lambda c: c)
     return (
-        df.withColumn("_sorted", F.transform(matrix, F.array_sort))
+        df.withColumn("_sorted", F.transform(matrix, lambda r: F.array_sort(r)))
         .withColumn(
             output,
             F.zip_with(matrix, "_sorted", lambda r, s: F.transform(r, lambda v: mark(v - _middle(s)))),
@@ -271,47 +273,64 @@ def block_score_test(
 
 
 def rotation_test(
-    ranks: DataFrame, by: Sequence[str], matrix: str = "ranks"
+    ranks: DataFrame, by: Sequence[str], matrix: str = "ranks", width: int = 12
 ) -> DataFrame:
     """Exact circular-rotation test of a recurring yearly cycle.
 
-    ``ranks`` holds the within-year ranks, one row per year.  Every combination of phase
-    shifts of the later years is tried with the first year fixed: columns^(years-1).
+    ``ranks`` holds the within-year ranks, one row of ``width`` per year.  Every
+    combination of phase shifts of the later years is tried with the first year fixed:
+    width^(years-1) of them.  The years are split in two halves; the rotated sums of each
+    half are formed once and every pair is then one short generated expression.
     """
     by = list(by)
-    years, width = F.size(matrix), F.size(F.col(matrix)[0])
-    centre = years * (width + 1) / 2
+    m, years = F.col(matrix), F.size(matrix)
+    n_first = F.floor((years - 1) / 2).cast("int")
+    n_second = years - 1 - n_first
+    places = F.sequence(F.lit(0), F.lit(width - 1))
+
+    def rotated_sum(number: Column, start: Column, count: Column) -> Column:
+        """Sum of ``count`` years; digits of ``number`` in base ``width`` are the shifts."""
+        lines = F.slice(m, start, count)
+
+        def at(c: Column) -> Column:
+            shift = lambda y: F.floor(number / F.pow(F.lit(float(width)), y)).cast("bigint")
+            return _sum(
+                F.transform(lines, lambda r, y: F.get(r, ((c + shift(y)) % width).cast("int")))
+            )
+
+        return F.transform(places, at)
 
-    def squares(totals: Column, mid: Column) -> Column:
-        return _sum(F.transform(totals, lambda t: (t - mid) * (t - mid)))
+    def combinations(count: Column) -> Column:
+        return F.pow(F.lit(float(width)), count).cast("bigint")
 
-    m = F.col(matrix)
-    positions = F.sequence(F.lit(0), width - 1)
-    observed = F.transform(positions, lambda c: _sum(F.transform(m, lambda r: F.get(r, c))))
+    def squares(values: list[Column]) -> Column:
+        total = F.lit(0.0)
+        for v in values:
+            total = total + (v - F.col("_mid")) * (v - F.col("_mid"))
+        return total
+
+    observed = F.transform(places, lambda c: _sum(F.transform(m, lambda r: F.get(r, c))))
     cells = ranks.select(*by, matrix).withColumns(
-        {
-            "_mid": centre.cast("double"),
-            "_combinations": F.pow(width.cast("double"), years - 1).cast("bigint"),
-        }
-    ).withColumn("statistic", squares(observed, F.col("_mid")))
-    drawn = _spread_replicates(cells, F.col("_combinations"))
-    # digits of the replicate number in base ``width`` are the shifts; year 0 stays put
-    shift = F.transform(
-        F.sequence(F.lit(0), years - 1),
-        lambda y: F.when(y == 0, 0).otherwise(
-            F.floor(F.col("replicate") / F.pow(width.cast("double"), y - 1)).cast("bigint") % width
-        ).cast("int"),
+        {"_mid": (years * (width + 1) / 2).cast("double"), "_observed": observed}
     )
-    drawn = drawn.withColumn("_shift", shift)
-    rotated = F.transform(
-        positions,
-        lambda c: _sum(F.transform(m, lambda r, y: F.get(r, (c + F.get(F.col("_shift"), y)) % width))),
+    cells = cells.withColumn("statistic", squares([F.col("_observed")[i] for i in range(width)])).drop("_observed")
+    cells = cells.withColumn(
+        "_bs",
+        F.transform(
+            F.sequence(F.lit(0).cast("bigint"), combinations(n_second) - 1),
+            lambda k: rotated_sum(k, n_first + 2, n_second),
+        ),
     )
-    drawn = drawn.withColumn("_totals", rotated).withColumn("_null", squares(F.col("_totals"), F.col("_mid")))
-    return drawn.groupBy(*by).agg(
+    first = _spread_replicates(cells, combinations(n_first), "_first", chunk=width)
+    sums = first.withColumn(
+        "_a", F.zip_with(m[0], rotated_sum(F.col("_first"), F.lit(2), n_first), lambda x, y: x + y)
+    )
+    pairs = sums.select(*by, "statistic", "_mid", "_a", F.explode_outer("_bs").alias("_b"))
+    null = squares([F.col("_a")[i] + F.col("_b")[i] for i in range(width)])
+    return pairs.groupBy(*by).agg(
         F.first("statistic").alias("statistic"),
         F.count(F.lit(1)).alias("rotations"),
-        F.avg((F.col("_null") >= F.col("statistic") - 1e-9).cast("double")).alias("rotation_p"),
+        F.avg((null >= F.col("statistic") - 1e-9).cast("double")).alias("rotation_p"),
     )
 
 

@@ -16,7 +16,7 @@ from fieldgauge.operators.summaries import location_means
 from fieldgauge.operators.windows import anomaly, rolling_days, yoy_available
 from fieldgauge.plans.spec import JOB_SOURCE, result_key, run_spec
 from fieldgauge.schemas import METRIC_CATALOGUE
-from fieldgauge.sources.store import ReleaseStore, _exists, write_once, write_table
+from fieldgauge.sources.store import ReleaseStore, is_table, write_once, write_table
 
 
 def result_for(store: ReleaseStore, spec: Mapping, results_root: str) -> tuple[DataFrame, bool]:
@@ -28,7 +28,7 @@ def result_for(store: ReleaseStore, spec: Mapping, results_root: str) -> tuple[D
     spark = store.spark
     key = result_key(spec, store.version, store.fingerprint())
     path = f"{results_root}/{key}"
-    if _exists(spark, path):
+    if is_table(spark, path):
         return spark.read.parquet(path), True
     write_once(run_spec(store.read(JOB_SOURCE), spec), path)
     return spark.read.parquet(path), False

@@ -358,25 +358,39 @@ def _(t):
     return summaries.daily_slope(t.w_daily_at_sites, "price", by=["region", "date"])
 
 
-PANEL_SQL = S_DAY_SQL + """
+# two busier sites, so that days complete at both exist at small scale too
+PANEL_SQL = """
+, s2 AS (SELECT CASE WHEN location_id IN ('click', 'view') THEN 'browse' ELSE 'other' END AS location_id,
+                date_trunc('hour', timestamp) AS timestamp, avg(value) AS reading, sum(value) AS volume FROM s_raw GROUP BY 1, 2)
+, day AS (SELECT location_id, CAST(timestamp AS DATE) AS date,
+     CASE WHEN count(reading) = 24 THEN avg(reading) END AS reading, CASE WHEN count(volume) = 24 THEN sum(volume) END AS volume
+  FROM s2 GROUP BY 1, 2)
 , shared AS (SELECT date FROM day WHERE reading IS NOT NULL AND volume IS NOT NULL
-             GROUP BY 1 HAVING count(DISTINCT location_id) = (SELECT count(DISTINCT location_id) FROM s))
+             GROUP BY 1 HAVING count(DISTINCT location_id) = (SELECT count(DISTINCT location_id) FROM s2))
 , isl AS (SELECT date, date - CAST(row_number() OVER (ORDER BY date) AS INTEGER) AS k FROM shared)
 , run AS (SELECT min(date) AS a, max(date) AS b FROM isl WHERE k = (SELECT k FROM isl ORDER BY date DESC LIMIT 1))
-, panel AS (SELECT s.* FROM s, run WHERE CAST(timestamp AS DATE) BETWEEN a AND b)"""
+, panel AS (SELECT s2.* FROM s2, run WHERE CAST(timestamp AS DATE) BETWEEN a AND b)"""
+
+
+def s2_panel(t):
+    kind = F.when(F.col("location_id").isin("click", "view"), "browse").otherwise("other")
+    hours = t.s_raw.groupBy(kind.alias("location_id"), F.date_trunc("hour", "timestamp").alias("timestamp")).agg(
+        F.avg("value").alias("reading"), F.sum("value").alias("volume")
+    )
+    return coverage.balanced_panel(hours, {"reading": "mean", "volume": "sum"})
 
 
 @query("agg32_balanced_panel", PANEL_SQL + f"""
 SELECT location_id, timestamp, {r('reading')} AS reading, {r('volume')} AS volume FROM panel""")
 def _(t):
-    return coverage.balanced_panel(t.s, {"reading": "mean", "volume": "sum"})
+    return s2_panel(t)
 
 
 @query("agg32_panel_check", PANEL_SQL + """
 SELECT count(DISTINCT location_id) AS sites, count(DISTINCT CAST(timestamp AS DATE)) AS days, count(*) AS hours,
        count(*) = count(DISTINCT location_id) * count(DISTINCT CAST(timestamp AS DATE)) * 24 AS is_balanced FROM panel""")
 def _(t):
-    return coverage.panel_check(coverage.balanced_panel(t.s, {"reading": "mean", "volume": "sum"}))
+    return coverage.panel_check(s2_panel(t))
 
 
 @query("agg33_period_summary", f"""

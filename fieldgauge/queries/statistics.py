@@ -103,10 +103,10 @@ def y6(t):
 
 
 @query("stat5_friedman", Y6_SQL + f"""
-, s AS (SELECT location_id, month, sum(rk) AS s FROM y6r GROUP BY 1, 2)
+, rs AS (SELECT location_id, month, sum(rk) AS s FROM y6r GROUP BY 1, 2)
 , tie AS (SELECT location_id, sum(c * c * c - c) AS t FROM (SELECT location_id, year, value, count(*) AS c FROM y6 GROUP BY 1, 2, 3) GROUP BY 1)
-, q AS (SELECT s.location_id, (12.0 / (6 * 12 * 13) * sum(s * s) - 3 * 6 * 13) / (1 - any_value(t) / (6 * 12 * 143.0)) AS q
-        FROM s JOIN tie USING (location_id) GROUP BY 1)
+, q AS (SELECT rs.location_id, (12.0 / (6 * 12 * 13) * sum(s * s) - 3 * 6 * 13) / (1 - any_value(t) / (6 * 12 * 143.0)) AS q
+        FROM rs JOIN tie USING (location_id) GROUP BY 1)
 SELECT location_id, CAST(6 AS BIGINT) AS blocks, CAST(12 AS BIGINT) AS treatments, {r('q')} AS statistic, {r('q / 66')} AS kendall_w FROM q""")
 def _(t):
     return association.friedman(y6(t), "year", "month", "value", ["location_id"]).drop("p")

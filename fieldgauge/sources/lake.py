@@ -67,15 +67,20 @@ def data_files(spark: SparkSession, root: str, digest: bool = False) -> DataFram
     return files.select(*out)
 
 
-def committed_scan(spark: SparkSession, root: str) -> DataFrame:
+def committed_scan(
+    spark: SparkSession, root: str, commits: DataFrame | None = None,
+    pattern: str = "location_id=*/year=*/weather*.parquet",
+) -> DataFrame:
     """Readings of committed files only: a data file without its record is ignored.
 
-    The scan lists the whole lake and keeps rows whose file has a record, so no list of
-    paths passes through the driver; partition columns and column pruning still apply.
+    ``commits`` has a ``path`` column and defaults to the sidecar records.  Each row knows
+    its file, so a semi join keeps the committed ones and no list of paths passes through
+    the driver; partition columns and column pruning still apply.
     """
     local = lambda c: F.regexp_replace(c, "^file:/+", "/")
-    done = sidecars(spark, root).select(local(F.col("path")).alias("_file")).distinct()
-    rows = spark.read.option("basePath", root).parquet(f"{root}/location_id=*/year=*/weather*.parquet")
+    records = sidecars(spark, root) if commits is None else commits
+    done = records.select(local(F.col("path")).alias("_file")).distinct()
+    rows = spark.read.option("basePath", root).parquet(f"{root}/{pattern}")
     return (
         rows.withColumn("_file", local(F.col("_metadata.file_path")))
         .join(done, "_file", "left_semi")

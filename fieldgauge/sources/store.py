@@ -11,7 +11,6 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.errors import AnalysisException
 
 from fieldgauge.operators.coverage import coverage_vs_window
 from fieldgauge.operators.filters import require_columns
@@ -32,8 +31,21 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     writer.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on whatever file system it names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def is_table(spark: SparkSession, path: str) -> bool:
+    """Whether a finished Parquet write lies there (its success marker is written last)."""
+    return pathis_table(spark, f"{path}/_SUCCESS")
+
+
 def write_once(df: DataFrame, path: str) -> int:
     """Write a result that must not exist yet; the row count comes from the same pass."""
+    if path_exists(df.sparkSession, path):
+        raise FileExistsError(path)
     seen = Observation("written")
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
     return seen.get["rows"]
@@ -93,14 +105,6 @@ def release_problems(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted + empty)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
-
-
 def check_version(version: str) -> str:
     if not isinstance(version, str) or not re.fullmatch(VERSION_PATTERN.strip("^$"), version):
         raise ValueError("a version has 1 to 80 letters, digits, underscores or hyphens")
@@ -119,7 +123,7 @@ def publish(
     """
     check_version(version)
     release = f"{root}/releases/{version}"
-    if _exists(spark, f"{release}/manifest"):
+    if is_table(spark, f"{release}/manifest"):
         raise FileExistsError(f"version {version} is published already")
     for name, required in PUBLISHED_TABLES.items():
         if name not in tables:
@@ -170,7 +174,7 @@ def activate(spark: SparkSession, root: str, version: str) -> None:
 
 
 def active_version(spark: SparkSession, root: str) -> str:
-    if not _exists(spark, f"{root}/active"):
+    if not is_table(spark, f"{root}/active"):
         raise FileNotFoundError("nothing has been published")
     newest = spark.read.parquet(f"{root}/active").agg(F.max_by("version", "activated_at").alias("v"))
     return newest.first().v
@@ -183,7 +187,7 @@ class ReleaseStore:
         self.spark, self.root = spark, root
         self.version = check_version(version or active_version(spark, root))
         self.path = f"{root}/releases/{self.version}"
-        if not _exists(spark, f"{self.path}/manifest"):
+        if not is_table(spark, f"{self.path}/manifest"):
             raise FileNotFoundError(f"version {self.version} is not published")
 
     def manifest(self) -> DataFrame:
