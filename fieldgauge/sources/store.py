@@ -39,7 +39,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def is_table(spark: SparkSession, path: str) -> bool:
     """Whether a finished Parquet write lies there (its success marker is written last)."""
-    return pathis_table(spark, f"{path}/_SUCCESS")
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def write_once(df: DataFrame, path: str) -> int:

@@ -23,29 +23,37 @@ def apply_revisions(
     return dedupe_latest(existing.unionByName(arrivals), keys, newest_first)
 
 
-def recompute_affected(
-    raw: DataFrame, arrivals: DataFrame, build: Callable[[DataFrame], DataFrame],
-    site: str = "location_id", ts: str = "timestamp", halo_days: int = 0,
+def touched_days(
+    arrivals: DataFrame, site: str = "location_id", ts: str = "timestamp", halo_days: int = 0
 ) -> DataFrame:
-    """Rebuild only the site-days that arrivals touch.
+    """Site-days that arrivals change.
 
     ``halo_days`` adds the days after them whose trailing windows see the change (29 for
-    a 30-day window).  ``raw`` holds every revision, the new ones included.
+    a 30-day window).
     """
-    touched = arrivals.select(
-        site,
-        F.explode(
-            F.sequence(F.to_date(ts), F.date_add(F.to_date(ts), halo_days), F.expr("interval 1 day"))
-        ).alias("_day"),
-    ).distinct()
-    rows = raw.withColumn("_day", F.to_date(ts)).join(touched, [site, "_day"], "left_semi").drop("_day")
-    return build(rows)
+    days = F.sequence(F.to_date(ts), F.date_add(F.to_date(ts), halo_days), F.expr("interval 1 day"))
+    return arrivals.select(site, F.explode(days).alias("day")).distinct()
+
+
+def recompute_affected(
+    raw: DataFrame, touched: DataFrame, build: Callable[[DataFrame], DataFrame],
+    site: str = "location_id",
+) -> DataFrame:
+    """Rebuild only the touched site-days.
+
+    ``raw`` holds every revision and is partitioned by ``day``.  The list of touched days
+    is short (a calendar bounds it), so it goes into the scan as a partition filter: a
+    batch reads the directories of its days, not the history.
+    """
+    days = [row.day for row in touched.select("day").distinct().collect()]
+    rows = raw.filter(F.col("day").isin(days)).join(touched, [site, "day"], "left_semi")
+    return build(rows.drop("day"))
 
 
 def revision_stream(
     stream: DataFrame, raw_path: str, daily_path: str,
     build: Callable[[DataFrame], DataFrame], checkpoint: str,
-    site: str = "location_id", ts: str = "timestamp", day: str = "date",
+    site: str = "location_id", ts: str = "timestamp", halo_days: int = 0,
 ) -> StreamingQuery:
     """Append arriving revisions to the raw table and rebuild the site-days they touch.
 
@@ -56,12 +64,15 @@ def revision_stream(
 
     def absorb(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{raw_path}/batch={number}")
-        mine = spark.read.schema(batch.schema).parquet(f"{raw_path}/batch={number}")
-        every = spark.read.option("basePath", raw_path).parquet(raw_path).filter(
-            F.col("batch") <= number
-        ).drop("batch")
-        days = recompute_affected(every, mine, build, site, ts)
+        mine = f"{raw_path}/batch={number}"
+        batch.withColumn("day", F.to_date(ts)).write.mode("overwrite").partitionBy("day").parquet(mine)
+        arrived = spark.read.schema(batch.schema).parquet(mine)
+        history = (
+            spark.read.option("basePath", raw_path).parquet(raw_path)
+            .filter(F.col("batch") <= number).drop("batch")
+        )
+        touched = touched_days(arrived, site, ts, halo_days)
+        days = recompute_affected(history, touched, build, site)
         days.write.mode("overwrite").parquet(f"{daily_path}/batch={number}")
 
     return (
