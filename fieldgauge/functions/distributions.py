@@ -62,14 +62,16 @@ def _gamma_tail(x, a):
     x, a = np.broadcast_arrays(np.asarray(x, dtype=float), np.asarray(a, dtype=float))
     safe = np.maximum(x, TINY)
     front = np.exp(a * np.log(safe) - safe - np.vectorize(lgamma, otypes=[float])(a))
+    small = np.minimum(safe, a + 1)  # the series is used below a + 1 only
     term = 1 / a
     series = term.copy()
     for n in range(1, 2000):
-        term = term * safe / (a + n)
+        term = term * small / (a + n)
         series = series + term
         if np.all(term <= series * 1e-16):
             break
-    b = safe + 1 - a
+    large = np.maximum(safe, a + 1)  # and the continued fraction above
+    b = large + 1 - a
     c = np.full_like(safe, 1 / TINY)
     d = 1 / np.where(np.abs(b) < TINY, TINY, b)
     h = d.copy()
@@ -94,7 +96,9 @@ def _masked(fn, *args):
     ok = np.logical_and.reduce([np.isfinite(c) for c in cols])
     out = np.full(len(cols[0]), np.nan)
     if ok.any():
-        out[ok] = fn(*(c[ok] for c in cols))
+        # the branch of a two-branch formula that is not used may overflow
+        with np.errstate(all="ignore"):
+            out[ok] = fn(*(c[ok] for c in cols))
     return pd.Series(out).where(ok, None).astype("float64")
 
 

@@ -18,6 +18,7 @@ from pyspark.sql.functions import pandas_udf
 from fieldgauge.functions.distributions import p_f, p_norm, p_t, t_critical
 from fieldgauge.operators.joins import change_from_base
 from fieldgauge.schemas import LAPSE_SCHEMA
+from fieldgauge.session import materialise
 
 # ship the small p x p helpers with the task, so workers need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -140,6 +141,47 @@ def _dot(a: Sequence[Column], b: Sequence[Column]) -> Column:
     return total
 
 
+def _moments(
+    rows: DataFrame, keys: Sequence[str], values: Sequence[Column], pairs: Sequence[tuple[int, int]],
+    output: str, extra: Sequence[Column], weight: Column | None = None,
+) -> DataFrame:
+    """Per group the sums of products of value pairs, as one array in pair order, and
+    the ``extra`` aggregates.
+
+    A few pairs are plain aggregates.  Hundreds of them in one aggregation would outgrow
+    what the JVM compiles; the products are then formed per Arrow batch as one matrix
+    product and group, and Spark adds up these partial sums.
+    """
+    w = F.lit(1.0) if weight is None else weight
+    if len(pairs) <= 45:
+        sums = [F.sum(w * values[i] * values[j]) for i, j in pairs]
+        return rows.groupBy(*keys).agg(F.array(*sums).alias(output), *extra)
+    names = [f"_v{i}" for i in range(len(values))]
+    held = rows.select(*keys, w.alias("_w"), *[v.alias(n) for v, n in zip(values, names)])
+    left, right = (np.array(side) for side in zip(*pairs))
+    labels = list(keys)
+
+    def partial(batches):
+        for batch in batches:
+            found = []
+            for key, part in batch.groupby(labels, dropna=False, sort=False):
+                x = part[names].to_numpy(dtype=float)
+                weighted = x * part["_w"].to_numpy(dtype=float)[:, None]
+                found.append((*key, (weighted.T @ x)[left, right]))
+            yield pd.DataFrame(found, columns=[*labels, "_x"])
+
+    schema = T.StructType([held.schema[k] for k in labels] + [T.StructField("_x", DOUBLES)])
+    summed = (
+        held.mapInPandas(partial, schema)
+        .select(*keys, F.posexplode("_x").alias("_pos", "_x"))
+        .groupBy(*keys, "_pos").agg(F.sum("_x").alias("_x"))
+    )
+    products = summed.groupBy(*keys).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_x"))), lambda s: s["_x"]).alias(output)
+    )
+    return products.join(rows.groupBy(*keys).agg(*extra), keys)
+
+
 def _per_group(rows: DataFrame, one_per_group: DataFrame, by: Sequence[str]) -> DataFrame:
     """Attach group results to rows.  Without groups there is exactly one result row."""
     return rows.join(one_per_group if by else F.broadcast(one_per_group), list(by) or ["_all"])
@@ -191,17 +233,25 @@ def ols(
         design = [F.lit(1.0), *[F.col(c) for c in xs]]
     k = len(design)
     upper = [(i, j) for i in range(k) for j in range(i, k)]
-    sums = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        n_absorbed.alias("_absorbed"),
-        F.array(*[F.sum(design[i] * design[j]) for i, j in upper]).alias("_gram"),
-        F.array(*[F.sum(d * target) for d in design]).alias("_xty"),
-        F.regr_syy("_y", "_y").alias("sst"),
+    sums = _moments(
+        rows, keys, [*design, target], [*upper, *[(i, k) for i in range(k)]], "_sums",
+        [
+            F.count(F.lit(1)).alias("n"),
+            n_absorbed.alias("_absorbed"),
+            F.regr_syy("_y", "_y").alias("sst"),
+        ],
+    ).withColumns(
+        {
+            "_gram": F.slice("_sums", 1, len(upper)),
+            "_xty": F.slice("_sums", len(upper) + 1, k),
+        }
     )
     solved = sums.withColumn("_s", _solve("_gram", "_xty")).select(
         *keys, "n", (F.round("_absorbed") + k).cast("int").alias("parameters"), "sst",
         "_s.beta", "_s.inverse",
     )
+    # one row per group, written once: the second pass must not repeat the first
+    solved = materialise(solved, "solved")
     beta = [F.col("beta")[i] for i in range(k)]
     fitted = _per_group(rows, solved.select(*keys, "beta", "inverse"), by).withColumn(
         "_e", target - _dot(design, beta)
@@ -210,20 +260,19 @@ def ols(
         inner = [_dot(design, [F.col("inverse")[i * k + j] for j in range(k)]) for i in range(k)]
         free = 1 - (base_leverage + _dot(design, inner))
         scored = fitted.withColumn("_w", F.when(free > 1e-12, F.pow(F.col("_e") / free, 2)).otherwise(0.0))
-        spread = scored.groupBy(*keys).agg(
-            F.array(*[F.sum(F.col("_w") * design[i] * design[j]) for i, j in upper]).alias("_meat"),
-            F.sum(F.col("_e") * F.col("_e")).alias("sse"),
-            F.lit(None).cast("bigint").alias("clusters"),
+        spread = _moments(
+            scored, keys, design, upper, "_meat",
+            [F.sum(F.col("_e") * F.col("_e")).alias("sse"), F.lit(None).cast("bigint").alias("clusters")],
+            F.col("_w"),
         )
     else:
         per_cluster = fitted.groupBy(*dict.fromkeys([*keys, cluster])).agg(
             *[F.sum(d * F.col("_e")).alias(f"_g{i}") for i, d in enumerate(design)],
             F.sum(F.col("_e") * F.col("_e")).alias("_sse"),
         )
-        spread = per_cluster.groupBy(*keys).agg(
-            F.array(*[F.sum(F.col(f"_g{i}") * F.col(f"_g{j}")) for i, j in upper]).alias("_meat"),
-            F.sum("_sse").alias("sse"),
-            F.count(F.lit(1)).alias("clusters"),
+        spread = _moments(
+            per_cluster, keys, [F.col(f"_g{i}") for i in range(k)], upper, "_meat",
+            [F.sum("_sse").alias("sse"), F.count(F.lit(1)).alias("clusters")],
         )
     joined = solved.join(spread, keys)
     n, p, g = F.col("n"), F.col("parameters"), F.col("clusters")

@@ -10,6 +10,7 @@ from fieldgauge.operators import association, joins, ranks, regression, resampli
 from fieldgauge.queries.basics import W_LONG_SQL, Y_MONTH_SQL, y_month
 from fieldgauge.queries.bindings import r, season_sql
 from fieldgauge.queries.registry import query
+from fieldgauge.session import materialise
 
 SITE_MEANS_SQL = """
 , sm AS (SELECT location_id, any_value(country) AS country, any_value(region) AS region, any_value(elevation_m) AS elevation_m,
@@ -315,7 +316,7 @@ def site_month_long(t):
 @query("stat12_hc3_intervals")
 def _(t):
     by = ["metric", "month"]
-    rows = site_month_long(t)
+    rows = materialise(site_month_long(t), "site-months")
     hc3 = regression.coefficients(
         regression.ols(rows, "value", ["x", "latitude", "longitude"], by=by, absorb=["country"]), by
     ).filter("term = 'x'")
@@ -328,7 +329,9 @@ def _(t):
 
 @query("stat13_paired_change_wald")
 def _(t):
-    months = site_month_long(t).filter("metric = 'price'").withColumn("elevation_km", F.col("x"))
+    months = materialise(
+        site_month_long(t).filter("metric = 'price'").withColumn("elevation_km", F.col("x")), "site-months"
+    )
     return reshape.union_all(*[
         regression.paired_change_wald(months, "value", chosen, group="region", cluster=c).withColumns(
             {"months": F.lit(",".join(map(str, chosen))), "cluster": F.lit(c)}
