@@ -22,38 +22,54 @@ def read_lake(spark: SparkSession, root: str, files: Sequence[str] | None = None
     return reader.parquet(*files) if files else reader.parquet(root)
 
 
+RECORD_SCHEMA = T.StructType(
+    [
+        T.StructField("sha256", T.StringType()),
+        T.StructField(
+            "request",
+            T.StructType(
+                [
+                    T.StructField("location_id", T.StringType()),
+                    T.StructField("start", T.DateType()),
+                    T.StructField("end", T.DateType()),
+                ]
+            ),
+        ),
+    ]
+)
+
+
 def sidecars(spark: SparkSession, root: str) -> DataFrame:
-    """Commit records: one row per ``_source*.json`` with the request and its data file.
+    """Commit records: for each data file ``weather<x>.parquet`` with a ``_source<x>.json``
+    beside it, the request, the recorded digest and the data file.
 
-    The file name starts with an underscore, which Spark's file listing hides; the
-    records are therefore found by a path pattern.
+    Spark's listing hides names that start with an underscore.  The records are small and
+    sit beside their data files, so the tasks that hold the file names open them.
     """
-    schema = T.StructType(
-        [
-            T.StructField("sha256", T.StringType()),
-            T.StructField(
-                "request",
-                T.StructType(
-                    [
-                        T.StructField("location_id", T.StringType()),
-                        T.StructField("start", T.DateType()),
-                        T.StructField("end", T.DateType()),
-                    ]
-                ),
-            ),
-        ]
-    )
-    pattern = f"{root}/location_id=*/year=*/_source*.json"
-    raw = spark.read.schema(schema).option("multiLine", True).json(pattern)
-    data_file = F.regexp_replace(
-        F.regexp_replace(F.col("_metadata.file_path"), "/_source", "/weather"), r"\.json$", ".parquet"
-    )
-    return raw.select(
-        F.col("request.location_id").alias("location_id"),
-        F.col("request.start").alias("start"),
-        F.col("request.end").alias("end"),
-        F.col("sha256").alias("recorded_sha256"),
-        data_file.alias("path"),
+
+    def read(batches):
+        import pandas as pd
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                folder, name = path.rsplit("/", 1)
+                record = name.replace("weather", "_source", 1).replace(".parquet", ".json")
+                system, target = fs.FileSystem.from_uri(f"{folder}/{record}")
+                if system.get_file_info(target).type == fs.FileType.File:
+                    with system.open_input_stream(target) as stream:
+                        found.append((path, stream.read().decode()))
+            yield pd.DataFrame(found, columns=["path", "text"])
+
+    texts = data_files(spark, root).mapInPandas(read, "path string, text string")
+    record = F.from_json("text", RECORD_SCHEMA).alias("r")
+    return texts.select("path", record).select(
+        F.col("r.request.location_id").alias("location_id"),
+        F.col("r.request.start").alias("start"),
+        F.col("r.request.end").alias("end"),
+        F.col("r.sha256").alias("recorded_sha256"),
+        "path",
     )
 
 
