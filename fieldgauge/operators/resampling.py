@@ -343,6 +343,11 @@ def stratified_permutation(
     One row per site and cell.  For each replicate the sites of a stratum are put in hash
     order and take the labels of the stratum in turn; one labelling serves all cells.
     """
+    if not by:
+        one = stratified_permutation(
+            df.withColumn("_all", F.lit(0)), value, label, stratum, site, ["_all"], replicates, seed
+        )
+        return one.drop("_all")
     by = list(by)
     ranked = avg_rank(df.filter(F.col(value).isNotNull()), value, by, "_rank").select(
         *by, site, label, "_rank"
@@ -355,8 +360,7 @@ def stratified_permutation(
         groups = rows.groupBy(*keys, label).agg(
             F.count(F.lit(1)).alias("_g"), F.sum("_rank").alias("_s")
         )
-        joined = groups.join(cell, by) if by else groups.join(F.broadcast(cell))
-        return joined.groupBy(*keys).agg(
+        return groups.join(cell, by).groupBy(*keys).agg(
             F.try_divide(
                 F.sum(F.col("_g") * F.pow(F.col("_s") / F.col("_g") - F.col("_mean"), 2)), F.first("_var")
             ).alias("_h")
@@ -378,8 +382,7 @@ def stratified_permutation(
     )
     observed = h_of(ranked, by).withColumnRenamed("_h", "statistic")
     null = h_of(moved.join(ranked.drop(label), site), [*by, "replicate"])
-    both = null.join(observed, by) if by else null.join(F.broadcast(observed))
-    return both.groupBy(*by).agg(
+    return null.join(observed, by).groupBy(*by).agg(
         F.first("statistic").alias("statistic"),
         ((1 + F.count_if(F.col("_h") >= F.col("statistic") - 1e-10)) / (replicates + 1)).alias("p"),
     )
