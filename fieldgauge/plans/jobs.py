@@ -78,17 +78,13 @@ def evidence(tables: Mapping[str, DataFrame], k: int = 20) -> dict[str, DataFram
     }
 
 
-# fixed values: how each evidence table was made
+# how each evidence table is made, for a reader of the tables
 EVIDENCE_METHODS = {
-    "location_comparison": "Equal-weight daily means; precipitation is mean daily total in mm/day.",
-    "elevation_comparison": "Equal-weight location means, not pooled precipitation totals.",
-    "annual_anomalies": (
-        "Annual mean minus this location's mean of observed annual means; not a climate normal."
-    ),
-    "wettest_location_days": "Top 20 observed daily precipitation totals; not hourly extremes.",
-    "seasonal_lapse_rates": (
-        "Existing pooled daily OLS: temperature ~ elevation, by local season. Not causal."
-    ),
+    "location_comparison": "mean over the days of a site; rain is the mean daily total",
+    "elevation_comparison": "mean over sites of their means, so each site weighs the same",
+    "annual_anomalies": "annual mean minus the site's mean over its own years",
+    "wettest_location_days": "largest daily totals, ties by site and day",
+    "seasonal_lapse_rates": "one pooled line of daily temperature on elevation per local season",
 }
 
 
