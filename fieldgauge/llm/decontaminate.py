@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldgauge.llm.text import as_bytes, code_points, per_batch, plain_words
+from fieldgauge.llm.text import as_bytes, code_points, importable, per_batch, plain_words
 
 WINDOW = 13
 #: words of test text in one automaton (about 80 MB in each Python worker)
@@ -189,6 +189,7 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, **options) -> DataFrame
     The verdict is taken in the row itself, so nothing is shuffled.
     """
     spark = docs.sparkSession
+    importable(spark)
     shards = _shards(bench, options.get("shard_words", SHARD_WORDS))
     width = options.get("width", WINDOW)
     held = [spark.sparkContext.broadcast(s) for s in shards]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import decontaminate, mixing, simhash
+from fieldgauge.llm import decontaminate, lines, mixing, secrets, simhash, syncmers
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +22,22 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(secrets.secrets(table(spark, folder, "documents")))
+
+
+@query
+def op6_syncmers(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.fingerprint_pairs(table(spark, folder, "documents"))
+
+
+@query
+def op7_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs, bench = table(spark, folder, "documents"), table(spark, folder, "benchmark")

@@ -6,10 +6,12 @@ decoding, and offsets become code points only where a result asks for them.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: maximal runs of anything but the ASCII white space 0x20 and 0x09-0x0D
@@ -40,9 +42,19 @@ def as_bytes(name: str = "text") -> Column:
     return F.col(name).cast("binary").alias(name)
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver found it."""
+    home = str(Path(__file__).resolve().parents[2])
+    given = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if home not in given.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [given, home]))
+
+
 def per_batch(df: DataFrame, build: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``build`` on each Arrow batch of ``df``, without keeping batches."""
 
+    importable(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
