@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import decontaminate, lines, mixing, secrets, simhash, syncmers
+from fieldgauge.llm import decontaminate, lines, mixing, ranking, secret_scan, simhash, syncmers
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,9 +22,15 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return ranking.score(docs, ranking.fit(docs, labels))
+
+
 @query
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    return secrets.digest(secrets.secrets(table(spark, folder, "documents")))
+    return secret_scan.digest(secret_scan.secrets(table(spark, folder, "documents")))
 
 
 @query
