@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import decontaminate, lines, mixing, ranking, secret_scan, simhash, syncmers
+from fieldgauge.llm import decontaminate, lines, mixing, ranking, secret_scan, simhash, substrings, syncmers
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +28,12 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.score(docs, ranking.fit(docs, labels))
 
 
+@query
+def op4_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.dedup_substrings(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digest(secret_scan.secrets(table(spark, folder, "documents")))
