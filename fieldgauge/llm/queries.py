@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import decontaminate, lines, mixing, ranking, secret_scan, simhash, substrings, syncmers
+from fieldgauge.llm import decontaminate, lines, mixing, preference, ranking, secret_scan, simhash, substrings, syncmers, tokens
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +22,30 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+def vocabulary(path: str | None = None) -> list[tuple[str, float]]:
+    """Unigram vocabulary from the sentencepiece file at ``path``."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("piece_bpe_32k.model")
+    return tokens.zipf_unigram(tokens.load_pieces(path))
+
+
+@query
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.token_counts(table(spark, folder, "documents"), vocabulary())
+
+
+@query
+def op3_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    turns, pairs = preference.borrowed_answers(table(spark, folder, "conversations"))
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(c)
+    return preference.format_preferences(turns, pairs).select(
+        F.col("pair_id").alias("conv_id"), "n_prompt_turns", "prompt", "chosen", spans("chosen_mask"), "rejected",
+        spans("rejected_mask"),
+    )
+
+
 @query
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
