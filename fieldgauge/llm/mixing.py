@@ -7,7 +7,7 @@ emitted once per integer boundary its interval crosses.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldgauge.llm.ordering import positions
@@ -59,14 +59,13 @@ def offset_of(source: Column, seed: str = "mix") -> Column:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: str = "mix") -> DataFrame:
-    """doc_id, source, size, source_size, target, copies and row_in_id of every document.
+    """doc_id, source, size, source_size, target, position and copies of every document.
 
     Size is the number of words; an empty or null text has size 0 and is dealt copies like any
     other.  A source of size 0 has target 0 and no copies.  Documents are ordered by (size,
     doc_id), nulls first, so the words taken differ from the target by about one document's
-    size at most.  Rows that repeat a doc_id are separate documents; those equal in doc_id and
-    size are numbered by row_in_id in an order that does not matter, as they are equal here.
-    Other columns are not used.
+    size at most.  Rows that repeat a doc_id are separate documents; among those equal in doc_id
+    and size the order does not matter, as they are equal here.  Other columns are not used.
     """
     sized = docs.select("doc_id", "source", count_words(F.col("text")).alias("size"))
     keys = materialise(sized, "sizes")
@@ -80,3 +79,24 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
         .withColumn("copies", edge(F.col("position") + 1) - edge(F.col("position")))
         .select("doc_id", "source", "size", "source_size", "target", "position", "copies")
     )
+
+
+def emit(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mix`` takes it, with ``copy`` counting from 1.
+
+    Rows that share a doc_id are matched to their copies in the order of source and size.
+    """
+    unnamed = -(1 << 63)
+    ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(unnamed))
+    size = count_words(F.col("text"))
+    dealt = (
+        mix(docs, **options).groupBy(ident.alias("_ident"))
+        .agg(F.sort_array(F.collect_list(F.struct("source", "size", "position", "copies"))).alias("_dealt"))
+    )
+    within = Window.partitionBy("_id").orderBy("source", "_size", F.xxhash64("text"))
+    numbered = docs.withColumns({"_id": ident, "_size": size}).withColumn("_n", F.row_number().over(within))
+    copies = F.element_at("_dealt", F.col("_n"))["copies"]
+    return (
+        numbered.join(dealt, F.col("_id") == F.col("_ident")).where(copies > 0)
+        .select(*docs.columns, F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("copy"))
+    )

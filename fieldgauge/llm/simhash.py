@@ -67,8 +67,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         found = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "print"])
 
-    return per_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes()), build,
-                     "doc_id bigint, print bigint")
+    return per_batch(docs.select("doc_id", as_bytes()), build, f"doc_id {dict(docs.dtypes)['doc_id']}, print bigint")
 
 
 def _group_bits(sample: np.ndarray, parts: int) -> list[list[int]]:
@@ -214,6 +213,15 @@ def _meet(visitors: DataFrame, radius: int) -> DataFrame:
     return points.join(first, "point").select(F.col("print").alias("a"), "b").where("a != b").distinct()
 
 
+def _print_components(marked: DataFrame, radius: int, **options) -> DataFrame:
+    """print, component: the group of every distinct fingerprint, named by one of its prints."""
+    reached = components(near_links(marked, radius, **options))
+    prints = marked.select("print").distinct()
+    return prints.join(reached, F.col("print") == F.col("node"), "left").select(
+        "print", F.coalesce("component", "print").alias("component")
+    )
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, **options) -> DataFrame:
     """doc_id, print, component_id of every row.
 
@@ -223,15 +231,30 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, **options) -> DataFra
     component unless all ids there are null; repeated rows share a component.
     """
     marked = materialise(fingerprints(docs), "fingerprints")
-    return grouped(marked, radius, **options)
-
-
-def grouped(marked: DataFrame, radius: int = RADIUS, **options) -> DataFrame:
     first = marked.groupBy("print").agg(F.min("doc_id").alias("first"))
-    reached = components(near_links(marked, radius, **options))
-    together = first.join(reached, first["print"] == reached["node"], "left").select(
-        "print", "first", F.coalesce("component", "print").alias("component")
-    )
+    together = first.join(_print_components(marked, radius, **options).withColumnRenamed("print", "_print"),
+                          F.col("print") == F.col("_print"))
     named = together.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_print = together.join(named, "component").select(F.col("print").alias("_print"), "component_id")
+    of_print = together.join(named, "component").select("_print", "component_id")
     return marked.join(of_print, F.col("print") == F.col("_print")).select("doc_id", "print", "component_id")
+
+
+def keep_first(docs: DataFrame, radius: int = RADIUS, **options) -> DataFrame:
+    """The row of each near-duplicate group with the smallest doc_id, all columns kept.
+
+    Null ids come last; rows that share an id are told apart by a hash of their texts, and of
+    rows equal in both one stays.
+    """
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    marked = materialise(
+        fingerprints(docs.select(F.struct(F.col("doc_id").cast("long").alias("id"), key.alias("key")).alias("doc_id"), "text")),
+        "fingerprints",
+    ).select("doc_id.id", "doc_id.key", "print")
+    groups = _print_components(marked, radius, **options).withColumnRenamed("print", "_print")
+    first = marked.join(groups, F.col("print") == F.col("_print")).groupBy("component").agg(
+        F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "key")).alias("first")
+    ).select(F.col("first.id").alias("_id"), F.col("first.key").alias("_key"))
+    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_key")), "left_semi")
+    if marked.groupBy("id", "key").count().where("count > 1").isEmpty():
+        return kept
+    return kept.withColumn("_key", key).dropDuplicates(["doc_id", "_key"]).drop("_key")
