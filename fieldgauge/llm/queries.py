@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import decontaminate, lines, mixing, preference, ranking, secret_scan, simhash, substrings, syncmers, tokens
+from fieldgauge.llm import decontaminate, lines, mixing, preference, ranking, secret_scan, simhash, statements, substrings
+from fieldgauge.llm import syncmers, tokens
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -17,11 +18,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def query(build: Callable[[SparkSession, str], DataFrame]):
+def query(build: Callable[[SparkSession, str], DataFrame], sql: str | None = None):
     SPARK[build.__name__] = build
+    if sql:
+        SQL[build.__name__] = sql
     return build
 
 
+def stated(sql: str):
+    """A query whose result ``sql`` states too."""
+    return lambda build: query(build, sql)
+
+
 def vocabulary(path: str | None = None) -> list[tuple[str, float]]:
     """Unigram vocabulary from the sentencepiece file at ``path``."""
     if path is None:
@@ -36,7 +44,7 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"), vocabulary())
 
 
-@query
+@stated(statements.PREFERENCES)
 def op3_preferences(spark: SparkSession, folder: str) -> DataFrame:
     turns, pairs = preference.borrowed_answers(table(spark, folder, "conversations"))
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(c)
@@ -52,7 +60,7 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.score(docs, ranking.fit(docs, labels))
 
 
-@query
+@stated(statements.SUBSTRINGS)
 def op4_substrings(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.dedup_substrings(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -68,13 +76,13 @@ def op6_syncmers(spark: SparkSession, folder: str) -> DataFrame:
     return syncmers.fingerprint_pairs(table(spark, folder, "documents"))
 
 
-@query
+@stated(statements.LINES)
 def op7_line_runs(spark: SparkSession, folder: str) -> DataFrame:
     found = lines.dedup_lines(table(spark, folder, "documents"))
     return found.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-@query
+@stated(statements.CONTAMINATION)
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs, bench = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return decontaminate.digest(decontaminate.contamination(docs, bench))
@@ -86,7 +94,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
-@query
+@stated(statements.MIX)
 def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
