@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldgauge.llm.ordering import positions
-from fieldgauge.llm.text import count_words
+from fieldgauge.llm.text import count_words, unused
 from fieldgauge.session import materialise
 
 WEIGHTS = (1, 2, 3)
@@ -84,19 +84,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
 def emit(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as ``mix`` takes it, with ``copy`` counting from 1.
 
-    Rows that share a doc_id are matched to their copies in the order of source and size.
+    Rows that share a doc_id are matched to their copies in the order of source and size.  A
+    column ``copy`` of ``docs`` gives way.
     """
     unnamed = -(1 << 63)
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(unnamed))
-    size = count_words(F.col("text"))
-    dealt = (
-        mix(docs, **options).groupBy(ident.alias("_ident"))
-        .agg(F.sort_array(F.collect_list(F.struct("source", "size", "position", "copies"))).alias("_dealt"))
+    doc, size, nth, key, dealt = unused(docs, "_doc", "_size", "_nth", "_key", "_dealt")
+    plan = (
+        mix(docs, **options).groupBy(ident.alias(key))
+        .agg(F.sort_array(F.collect_list(F.struct("source", "size", "position", "copies"))).alias(dealt))
     )
-    within = Window.partitionBy("_id").orderBy("source", "_size", F.xxhash64("text"))
-    numbered = docs.withColumns({"_id": ident, "_size": size}).withColumn("_n", F.row_number().over(within))
-    copies = F.element_at("_dealt", F.col("_n"))["copies"]
+    within = Window.partitionBy(doc).orderBy("source", size, F.xxhash64("text"))
+    numbered = docs.withColumns({doc: ident, size: count_words(F.col("text"))}).withColumn(nth, F.row_number().over(within))
+    copies = F.element_at(dealt, F.col(nth))["copies"]
     return (
-        numbered.join(dealt, F.col("_id") == F.col("_ident")).where(copies > 0)
-        .select(*docs.columns, F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("copy"))
+        numbered.join(plan, F.col(doc) == F.col(key)).where(copies > 0)
+        .select(*[c for c in docs.columns if c != "copy"], F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("copy"))
     )

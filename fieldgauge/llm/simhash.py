@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldgauge.llm.components import components
-from fieldgauge.llm.text import as_bytes, per_batch, words
+from fieldgauge.llm.text import as_bytes, per_batch, unused, words
 from fieldgauge.session import materialise
 
 SHINGLE = 3
@@ -251,10 +251,11 @@ def keep_first(docs: DataFrame, radius: int = RADIUS, **options) -> DataFrame:
         "fingerprints",
     ).select("doc_id.id", "doc_id.key", "print")
     groups = _print_components(marked, radius, **options).withColumnRenamed("print", "_print")
+    first_id, first_key = unused(docs, "_id", "_key")
     first = marked.join(groups, F.col("print") == F.col("_print")).groupBy("component").agg(
         F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "key")).alias("first")
-    ).select(F.col("first.id").alias("_id"), F.col("first.key").alias("_key"))
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_key")), "left_semi")
+    ).select(F.col("first.id").alias(first_id), F.col("first.key").alias(first_key))
+    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col(first_id)) & (key == F.col(first_key)), "left_semi")
     if marked.groupBy("id", "key").count().where("count > 1").isEmpty():
         return kept
-    return kept.withColumn("_key", key).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    return kept.withColumn(first_key, key).dropDuplicates(["doc_id", first_key]).drop(first_key)

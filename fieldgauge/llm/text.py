@@ -66,3 +66,15 @@ def per_batch(df: DataFrame, build: Callable[[pa.RecordBatch], pa.RecordBatch],
 def code_points(text: bytes, offset: int) -> int:
     """Code points before a byte offset that lies on a character boundary."""
     return len(text[:offset].decode("utf-8", "replace"))
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores put before those that ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
