@@ -223,37 +223,29 @@ def period_stat(
     )
 
 
-def downsample_days(n_sites: int, start: date, end: date, budget: int = 6000) -> int:
-    """Bucket width that keeps sites x buckets within the budget."""
-    per_site = budget // n_sites
-    return max(1, -(-((end - start).days + 1) // per_site))
-
-
 def downsample(
-    daily: DataFrame, metrics: Sequence[str], n_sites: int, start: date, end: date,
-    site: str = "location_id", budget: int = 6000,
+    daily: DataFrame, metrics: Sequence[str], bucket_days: int, start: date, end: date,
+    site: str = "location_id",
 ) -> DataFrame:
-    """Fixed-width day buckets shared by all sites; a total stays a mean daily total."""
+    """Day buckets of a stated width, shared by all sites; a total stays a mean daily total."""
+    if bucket_days < 1:
+        raise ValueError("a bucket has at least one day")
     inside = daily.filter(F.col("date").between(F.lit(start), F.lit(end)))
-    width = downsample_days(n_sites, start, end, budget)
-    if width == 1:
+    if bucket_days == 1:
         return inside.select(site, "date", *metrics)
-    offset = F.floor(F.datediff("date", F.lit(start)) / width) * width
+    offset = F.floor(F.datediff("date", F.lit(start)) / bucket_days) * bucket_days
     return inside.groupBy(
         F.col(site), F.date_add(F.lit(start), offset.cast("int")).alias("date")
     ).agg(*[F.avg(m).alias(m) for m in metrics])
 
 
-def auto_monthly(
-    daily: DataFrame, metrics: Sequence[str], site: str = "location_id", limit: int = 12000
+def at_grain(
+    daily: DataFrame, metrics: Sequence[str], grain: str = "month", site: str = "location_id"
 ) -> DataFrame:
-    """Daily rows while there are at most ``limit``; monthly means beyond.
-
-    The look at the size reads no more than ``limit + 1`` rows.
-    """
-    if daily.limit(limit + 1).count() <= limit:
+    """Daily rows, or means per site and ``grain``; the caller states which."""
+    if grain == "day":
         return daily.select(site, "date", *metrics)
-    return daily.groupBy(F.col(site), bucket("date", "month").alias("date")).agg(
+    return daily.groupBy(F.col(site), bucket("date", grain).alias("date")).agg(
         *[F.avg(m).alias(m) for m in metrics]
     )
 

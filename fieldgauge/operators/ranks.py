@@ -12,15 +12,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+#: least number of slices; a session with more shuffle partitions gets as many slices
 SLICES = 64
 
 
+def slice_count(df: DataFrame) -> int:
+    """A power of two that follows the number of shuffle partitions, and so the cluster."""
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(SLICES, 1 << max(0, wanted - 1).bit_length())
+
+
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL; the left keys are kept."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def value_ranks(
     df: DataFrame, value: str, by: Sequence[str] = (), keep_slice: bool = False
 ) -> DataFrame:
     """One row per (group, distinct value): ``n_equal``, ``n_before``, ``n_total``.
 
-    NULL values take no part.  ``n_before`` counts the rows strictly below.  The slice
+    NULL values take no part; a NULL group is a group.  ``n_before`` counts the rows strictly below.  The slice
     number (ascending with the value) can be kept for further prefix computations.
     """
     by = list(by)
@@ -29,21 +45,22 @@ def value_ranks(
         .groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("n_equal"))
     )
+    slices = slice_count(df)
     cuts = F.percentile_approx(
-        F.col(value).cast("double"), [i / SLICES for i in range(1, SLICES)], 2000
+        F.col(value).cast("double"), [i / slices for i in range(1, slices)], max(2000, 32 * slices)
     )
     if by:
         edges = counts.groupBy(*by).agg(cuts.alias("_cuts"))
-        sliced = counts.join(edges, by)
+        sliced = join_on(counts, edges, by)
     else:
         sliced = counts.withColumn("_cuts", counts.agg(cuts.alias("_cuts")).scalar())
-    sliced = _with_slice(sliced, F.col(value).cast("double")).select(*by, value, "n_equal", "_slice")
+    sliced = _with_slice(sliced, F.col(value).cast("double"), slices).select(*by, value, "n_equal", "_slice")
     inside = Window.partitionBy(*by, "_slice").orderBy(value)
     numbered = sliced.withColumn(
         "_below_in_slice",
         F.coalesce(F.sum("n_equal").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     )
-    # at most SLICES rows per group from here on
+    # one row per group and slice from here on
     sizes = sliced.groupBy(*by, "_slice").agg(F.sum("n_equal").alias("_n"))
     across = Window.partitionBy(*by)
     offsets = sizes.select(
@@ -54,17 +71,17 @@ def value_ranks(
         ).alias("_below_slice"),
         F.sum("_n").over(across).alias("n_total"),
     )
-    return numbered.join(offsets, [*by, "_slice"]).select(
+    return join_on(numbered, offsets, [*by, "_slice"]).select(
         *by, value, "n_equal",
         (F.col("_below_slice") + F.col("_below_in_slice")).alias("n_before"),
         "n_total", *(["_slice"] if keep_slice else []),
     )
 
 
-def _with_slice(df: DataFrame, value: Column) -> DataFrame:
-    """Number of cut points at or below the value, by halving: six generated steps
-    rather than a look at each of the 63 sorted points."""
-    step = SLICES // 2
+def _with_slice(df: DataFrame, value: Column, slices: int) -> DataFrame:
+    """Number of cut points at or below the value, by halving the sorted points: six steps for 64
+    slices rather than a look at each."""
+    step = slices // 2
     df = df.withColumn("_slice", F.lit(0))
     while step:
         at = F.get("_cuts", F.col("_slice") + (step - 1))
@@ -84,8 +101,7 @@ def running_max(
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     before = peaks.select(*by, "_slice", F.max("_peak").over(earlier).alias("_before"))
     return (
-        rows.withColumn("_inside", F.max("_candidate").over(inside))
-        .join(before, [*by, "_slice"])
+        join_on(rows.withColumn("_inside", F.max("_candidate").over(inside)), before, [*by, "_slice"])
         .select(*by, value, F.greatest("_inside", "_before").alias(output))
     )
 
@@ -98,7 +114,7 @@ def avg_rank(
     ranks = value_ranks(df, value, by).select(
         *by, value, (F.col("n_before") + (F.col("n_equal") + 1) / 2).alias(output or f"{value}_rank")
     )
-    return df.join(ranks, [*by, value], "left")
+    return join_on(df, ranks, [*by, value], "left")
 
 
 def small_group_rank(value: str, by: Sequence[str]) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fieldgauge.functions.scalars import (
     bucket, class_of, digitize, elevation_band, equal_width_edges, is_finite, safe_div,
 )
-from fieldgauge.operators.ranks import exact_quantiles
+from fieldgauge.operators.ranks import exact_quantiles, join_on
 
 # fixed values: boxplot classes
 BOX_EDGES = (500, 1500)
@@ -127,7 +127,7 @@ def summary_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFram
     )
     middle = exact_quantiles(df, value, {"median": 0.5}, by)
     if by:
-        return moments.join(middle, by, "left")
+        return join_on(moments, middle, by, "left")
     return moments.withColumn("median", middle.scalar())
 
 
@@ -149,7 +149,7 @@ def histogram(df: DataFrame, value: str, bins: int = 16, by: Sequence[str] = ())
         F.width_bucket(F.col(value).cast("double"), lo, hi, F.lit(bins)), F.lit(bins)
     ).cast("int")
     if by:
-        numbered = known.join(limits, by).select(
+        numbered = join_on(known, limits, by).select(
             *by, number(F.col("_lo"), F.col("_hi")).alias("bin")
         )
     else:
@@ -158,7 +158,7 @@ def histogram(df: DataFrame, value: str, bins: int = 16, by: Sequence[str] = ())
     counts = numbered.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("count"))
     step = (F.col("_hi") - F.col("_lo")) / bins
     frame = limits.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
-    return frame.join(counts, [*by, "bin"], "left").select(
+    return join_on(frame, counts, [*by, "bin"], "left").select(
         *by, "bin",
         (F.col("_lo") + (F.col("bin") - 1) * step).alias("low"),
         F.when(F.col("bin") == bins, F.col("_hi")).otherwise(F.col("_lo") + F.col("bin") * step).alias("high"),
@@ -192,9 +192,8 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def band_quantiles(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """n, median and quartiles of a value per group."""
     counts = df.groupBy(*by).agg(F.count(value).alias("n"))
-    return counts.join(
-        exact_quantiles(df, value, {"q25": 0.25, "median": 0.5, "q75": 0.75}, by), list(by), "left"
-    )
+    quartiles = exact_quantiles(df, value, {"q25": 0.25, "median": 0.5, "q75": 0.75}, by)
+    return join_on(counts, quartiles, list(by), "left")
 
 
 def boxplot(

@@ -264,21 +264,18 @@ def _(t):
 
 
 @query("agg22_downsample", f"""
-, n AS (SELECT greatest(1, CAST(ceil(2375 / floor(6000 / count(*))) AS INTEGER)) AS width FROM w_sites)
-SELECT location_id, DATE '1995-01-01' + CAST(floor(date_diff('day', DATE '1995-01-01', date) / width) * width AS INTEGER) AS date,
+SELECT location_id, DATE '1995-01-01' + CAST(floor(date_diff('day', DATE '1995-01-01', date) / 12) * 12 AS INTEGER) AS date,
        {r('avg(quantity)')} AS quantity, {r('avg(price)')} AS price
-FROM w_daily, n WHERE date BETWEEN DATE '1995-01-01' AND DATE '2001-07-02' GROUP BY 1, 2""")
+FROM w_daily WHERE date BETWEEN DATE '1995-01-01' AND DATE '2001-07-02' GROUP BY 1, 2""")
 def _(t):
-    n = t.w_sites.count()
-    return daily.downsample(t.w_daily, ["quantity", "price"], n, date(1995, 1, 1), date(2001, 7, 2))
+    return daily.downsample(t.w_daily, ["quantity", "price"], 12, date(1995, 1, 1), date(2001, 7, 2))
 
 
 @query("agg23_auto_monthly", f"""
-, size AS (SELECT count(*) > 12000 AS big FROM w_daily)
-SELECT location_id, CASE WHEN big THEN CAST(date_trunc('month', date) AS DATE) ELSE date END AS date,
-       {r('avg(quantity)')} AS quantity, {r('avg(price)')} AS price FROM w_daily, size GROUP BY 1, 2""")
+SELECT location_id, CAST(date_trunc('month', date) AS DATE) AS date,
+       {r('avg(quantity)')} AS quantity, {r('avg(price)')} AS price FROM w_daily GROUP BY 1, 2""")
 def _(t):
-    return daily.auto_monthly(t.w_daily, ["quantity", "price"])
+    return daily.at_grain(t.w_daily, ["quantity", "price"], "month")
 
 
 # ----------------------------------------------------------------- coverage ----

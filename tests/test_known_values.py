@@ -159,11 +159,21 @@ def test_elevation_classes(spark):
 
 def test_downsampling_keeps_mean_daily_total(spark):
     start, end = date(2020, 1, 1), date(2025, 12, 31)
-    assert daily.downsample_days(10, start, end) == 4
     days = spark.range(2192).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date")).withColumn(
         "location_id", F.explode(F.array(*[F.lit(str(i)) for i in range(10)]))).withColumn("rain", F.lit(2.0))
-    out = daily.downsample(days, ["rain"], 10, start, end)
-    assert out.count() <= 6000 and rows(out.select("rain").distinct(), "rain") == [(2.0,)]
+    out = daily.downsample(days, ["rain"], 4, start, end)
+    assert out.count() == 5480 and rows(out.select("rain").distinct(), "rain") == [(2.0,)]
+
+
+def test_downsampling_takes_any_number_of_sites(spark):
+    start = date(2024, 1, 1)
+    days = spark.range(20000).select(
+        (F.col("id") % 10000).cast("string").alias("location_id"),
+        F.date_add(F.lit(start), (F.col("id") / 10000).cast("int")).alias("date"), F.lit(1.0).alias("rain"))
+    out = daily.downsample(days, ["rain"], 2, start, date(2024, 1, 2))
+    assert out.count() == 10000 and daily.at_grain(days, ["rain"], "month").count() == 10000
+    with pytest.raises(ValueError):
+        daily.downsample(days, ["rain"], 0, start, start)
 
 
 def test_strict_long_completeness(spark):
@@ -351,3 +361,14 @@ def test_sample_is_stable_under_repartitioning(spark):
     df = spark.range(1000)
     a = rows(selection.sample_n(df, 50, ["id"]), "id")
     assert a == rows(selection.sample_n(df.repartition(7), 50, ["id"]), "id") and len(a) == 50
+
+
+def test_null_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 4.0), ("a", 5.0)], "g string, v double")
+    box = {r.g: (r.n, r.median) for r in summaries.band_quantiles(df, "v", ["g"]).collect()}
+    assert box == {None: (3, 2.0), "a": (1, 5.0)}
+    bars = summaries.histogram(df, "v", 4, ["g"]).groupBy("g").agg(F.sum("count").alias("n")).collect()
+    assert {r.g: r.n for r in bars} == {None: 3, "a": 1}
+    marks = {(r.g, r.v): r.v_rank for r in ranks.avg_rank(df, "v", ["g"]).collect()}
+    assert marks == {(None, 1.0): 1.0, (None, 2.0): 2.0, (None, 4.0): 3.0, ("a", 5.0): 1.0}
+    assert {r.g: r.median for r in summaries.summary_stats(df, "v", ["g"]).collect()} == {None: 2.0, "a": 5.0}
