@@ -162,12 +162,12 @@ def f_sql(source: str, keys: str, label: str, value: str, name: str) -> str:
 @query("stat7_block_f", CELL_SQL + f_sql("cen", "month", "year", "value", "lf") + f_sql("cen", "month", "year", "d", "sf") + f"""
 SELECT month, {r('lf.f')} AS level_f, {r('sf.f')} AS spread_f FROM lf JOIN sf USING (month)""")
 def _(t):
-    return resampling.block_permutation(cells(t), ["month"], replicates=19).select("month", "level_f", "spread_f")
+    return resampling.block_permutation(cells(t), ["month"], replicates=4999).select("month", "level_f", "spread_f")
 
 
 @query("stat7_block_permutation")
 def _(t):
-    return resampling.block_permutation(cells(t), ["month"], replicates=999)
+    return resampling.block_permutation(cells(t), ["month"], replicates=4999)
 
 
 @query("stat8_block_score", CELL_SQL + f"""
@@ -177,13 +177,13 @@ def _(t):
 SELECT g.month, {r('sum(g.n * pow(g.m - tot.m, 2)) / any_value(tot.v)')} AS statistic FROM g JOIN tot USING (month) GROUP BY 1""")
 def _(t):
     scores = resampling.block_scores(cell_days(t), ["month"], "year", "day", "value")
-    return resampling.block_score_test(scores, ["month"], replicates=19).filter("kind = 'level'").select("month", "statistic")
+    return resampling.block_score_test(scores, ["month"], replicates=9999).filter("kind = 'level'").select("month", "statistic")
 
 
 @query("stat8_block_score_test")
 def _(t):
     scores = resampling.block_scores(cell_days(t), ["month"], "year", "day", "value")
-    return resampling.block_score_test(scores, ["month"], replicates=999)
+    return resampling.block_score_test(scores, ["month"], replicates=9999)
 
 
 def band_months(t):
@@ -202,14 +202,14 @@ def band_months(t):
 SELECT g.month, {r('sum(g.n * pow(g.m - tot.m, 2)) / any_value(tot.v)')} AS statistic FROM g JOIN tot USING (month) GROUP BY 1""")
 def _(t):
     return resampling.stratified_permutation(
-        band_months(t), "value", "band", "region", by=["month"], replicates=9
+        band_months(t), "value", "band", "region", by=["month"], replicates=9999
     ).select("month", "statistic")
 
 
 @query("stat9_stratified_permutation")
 def _(t):
     return resampling.stratified_permutation(
-        band_months(t), "value", "band", "region", by=["month"], replicates=499
+        band_months(t), "value", "band", "region", by=["month"], replicates=9999
     )
 
 
