@@ -16,20 +16,21 @@ from fieldgauge.operators.summaries import location_means
 from fieldgauge.operators.windows import anomaly, rolling_days, yoy_available
 from fieldgauge.plans.spec import JOB_SOURCE, result_key, run_spec
 from fieldgauge.schemas import METRIC_CATALOGUE
-from fieldgauge.sources.store import ReleaseStore, is_table, write_once, write_table
+from fieldgauge.sources.store import ReleaseStore, finished_attempt, fresh_attempt, write_once, write_table
 
 
 def result_for(store: ReleaseStore, spec: Mapping, results_root: str) -> tuple[DataFrame, bool]:
     """The saved result of a job if the same job ran on the same data, else a new one.
 
-    Returns the result and whether it was reused.  A result directory is written once;
-    one left behind by a failed writer has no success marker and is not taken for a result.
+    Returns the result and whether it was reused.  Every attempt
+    writes to a directory of its own; one left behind by a failed writer has no success marker,
+    is not taken for a result and does not stop the next attempt.
     """
     spark = store.spark
     key = result_key(spec, store.version, store.fingerprint())
-    path = f"{results_root}/{key}"
-    if is_table(spark, path):
-        return spark.read.parquet(path), True
+    if saved := finished_attempt(spark, f"{results_root}/{key}"):
+        return spark.read.parquet(saved), True
+    path = fresh_attempt(f"{results_root}/{key}")
     write_once(run_spec(store.read(JOB_SOURCE), spec), path)
     return spark.read.parquet(path), False
 

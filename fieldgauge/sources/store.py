@@ -7,6 +7,7 @@ appended last, names the active version.  Nothing published is ever replaced.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -42,6 +43,20 @@ def is_table(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
+def finished_attempt(spark: SparkSession, path: str) -> str | None:
+    """The finished write below ``path``, where every attempt has a directory of its own."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return None
+    below = sorted(f"{path}/{s.getPath().getName()}" for s in files.listStatus(target) if s.isDirectory())
+    return next((p for p in below if is_table(spark, p)), None)
+
+
+def fresh_attempt(path: str) -> str:
+    return f"{path}/attempt-{uuid.uuid4().hex}"
+
+
 def write_once(df: DataFrame, path: str) -> int:
     """Write a result that must not exist yet; the row count comes from the same pass."""
     if path_exists(df.sparkSession, path):
@@ -118,8 +133,9 @@ def publish(
     """Publish the six tables as an immutable version and make it active.
 
     Order: required columns, then the tables, gates on what was written, the manifest,
-    and the pointer last.  A failure before that leaves the old version active; files of
-    a failed attempt are never read because no manifest names them.
+    and the pointer last.  A failure before that leaves the old version active.  Every
+    attempt writes below a directory of its own, which the manifest names: files of a failed
+    attempt are never read, and the version can be published again with mended tables.
     """
     check_version(version)
     release = f"{root}/releases/{version}"
@@ -129,18 +145,19 @@ def publish(
         if name not in tables:
             raise ValueError(f"table {name} is missing")
         require_columns(tables[name], required, name)
+    attempt = fresh_attempt(release)
     rows: dict[str, int] = {}
     written: dict[str, DataFrame] = {}
     for name in PUBLISHED_TABLES:
-        rows[name] = write_once(tables[name], f"{release}/{name}")
-        written[name] = spark.read.schema(tables[name].schema).parquet(f"{release}/{name}")
+        rows[name] = write_once(tables[name], f"{attempt}/{name}")
+        written[name] = spark.read.schema(tables[name].schema).parquet(f"{attempt}/{name}")
     failed = [r.gate for r in release_problems(written).filter("violations > 0").collect()]
     if failed:
         raise ValueError(f"release {version} fails {sorted(failed)}")
     cover = coverage_vs_window(written["enriched_weather"], written["locations"])
     if require_full_coverage and not cover.filter("missing_hours > 0").isEmpty():
         raise ValueError("the study has missing hours")
-    cover.write.parquet(f"{release}/coverage")
+    cover.write.parquet(f"{attempt}/coverage")
     span = written["enriched_weather"].agg(
         F.min("timestamp").alias("coverage_start"), F.max("timestamp").alias("coverage_end")
     )
@@ -161,7 +178,8 @@ def publish(
         F.lit(version).alias("version"), "*",
         ends["a"].alias("coverage_start"), ends["b"].alias("coverage_end"),
         F.current_timestamp().alias("created_at"),
-    ).write.mode("errorifexists").parquet(f"{release}/manifest")
+        F.lit(attempt.rpartition("/")[2]).alias("attempt"),
+    ).write.mode("overwrite").parquet(f"{release}/manifest")  # it was seen unfinished above
     activate(spark, root, version)
     return spark.read.parquet(f"{release}/manifest")
 
@@ -189,6 +207,7 @@ class ReleaseStore:
         self.path = f"{root}/releases/{self.version}"
         if not is_table(spark, f"{self.path}/manifest"):
             raise FileNotFoundError(f"version {self.version} is not published")
+        self.attempt = self.manifest().first().attempt
 
     def manifest(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/manifest")
@@ -199,7 +218,7 @@ class ReleaseStore:
         """Projection and filter are part of the plan, so both reach the Parquet reader."""
         if name not in PUBLISHED_TABLES:
             raise ValueError(f"unknown table {name!r}")
-        df = self.spark.read.parquet(f"{self.path}/{name}")
+        df = self.spark.read.parquet(f"{self.path}/{self.attempt}/{name}")
         if where is not None:
             df = df.filter(where)
         return df.select(*columns) if columns else df

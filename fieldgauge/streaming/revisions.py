@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from fieldgauge.operators.filters import dedupe_latest
 
@@ -37,17 +38,20 @@ def touched_days(
 
 def recompute_affected(
     raw: DataFrame, touched: DataFrame, build: Callable[[DataFrame], DataFrame],
-    site: str = "location_id",
+    site: str = "location_id", halo_days: int = 0, day: str = "date",
 ) -> DataFrame:
     """Rebuild only the touched site-days.
 
-    ``raw`` holds every revision and is partitioned by ``day``.  The list of touched days
-    is short (a calendar bounds it), so it goes into the scan as a partition filter: a
-    batch reads the directories of its days, not the history.
+    ``raw`` holds every revision and is partitioned by ``day``.  A trailing window on a
+    touched day also looks at the ``halo_days`` before it, so those are read as well, and
+    of what ``build`` makes only the touched days (its column ``day``) are kept.  The days
+    to read join as a small table, which prunes the directories at run time; no list of
+    them passes through the driver.
     """
-    days = [row.day for row in touched.select("day").distinct().collect()]
-    rows = raw.filter(F.col("day").isin(days)).join(touched, [site, "day"], "left_semi")
-    return build(rows.drop("day"))
+    back = F.sequence(F.date_sub("day", halo_days), F.col("day"), F.expr("interval 1 day"))
+    needed = touched.select(site, F.explode(back).alias("day")).distinct()
+    rows = raw.join(needed, [site, "day"], "left_semi").drop("day")
+    return build(rows).join(touched.withColumnRenamed("day", day), [site, day], "left_semi")
 
 
 def revision_stream(
@@ -67,12 +71,14 @@ def revision_stream(
         mine = f"{raw_path}/batch={number}"
         batch.withColumn("day", F.to_date(ts)).write.mode("overwrite").partitionBy("day").parquet(mine)
         arrived = spark.read.schema(batch.schema).parquet(mine)
+        # the schema is given, so no file of earlier batches is opened to infer it
         history = (
-            spark.read.option("basePath", raw_path).parquet(raw_path)
+            spark.read.schema(StructType([*batch.schema, StructField("batch", IntegerType()), StructField("day", DateType())]))
+            .option("basePath", raw_path).parquet(raw_path)
             .filter(F.col("batch") <= number).drop("batch")
         )
         touched = touched_days(arrived, site, ts, halo_days)
-        days = recompute_affected(history, touched, build, site)
+        days = recompute_affected(history, touched, build, site, halo_days)
         days.write.mode("overwrite").parquet(f"{daily_path}/batch={number}")
 
     return (

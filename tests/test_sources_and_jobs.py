@@ -179,6 +179,34 @@ def test_revisions_backfill_and_correction(spark):
     assert same.count() == 1
 
 
+def test_halo_rebuild_equals_a_full_one(spark):
+    from fieldgauge.operators.windows import rolling_days
+
+    raw = spark.range(75).select(
+        F.lit("a").alias("location_id"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("day"),
+        F.col("id").cast("double").alias("v")).withColumn("timestamp", F.col("day").cast("timestamp"))
+
+    def build(rows):
+        days = rows.groupBy("location_id", F.to_date("timestamp").alias("date")).agg(F.avg("v").alias("v"))
+        return rolling_days(days, "v", 30, output="v30")
+
+    touched = revisions.touched_days(raw.filter("day = '2024-02-10'"), halo_days=29)
+    part = revisions.recompute_affected(raw, touched, build, halo_days=29)
+    full = {r.date: r.v30 for r in build(raw.drop("day")).collect()}
+    got = {r.date: r.v30 for r in part.collect()}
+    assert len(got) == 30 and all(full[d] == v for d, v in got.items())
+
+
+def test_a_failed_writer_does_not_block_the_next(spark, tmp_path):
+    half = tmp_path / "key" / "attempt-dead"
+    half.mkdir(parents=True)
+    (half / "part-0.parquet").write_bytes(b"half")
+    assert store.finished_attempt(spark, str(tmp_path / "key")) is None
+    path = store.fresh_attempt(str(tmp_path / "key"))
+    assert store.write_once(spark.range(3), path) == 3
+    assert store.finished_attempt(spark, str(tmp_path / "key")).endswith(path.rpartition("/")[2])
+
+
 def test_complete_day_stream(spark, tmp_path):
     hours = spark.range(24 * 5).select(
         F.lit("a").alias("location_id"),
