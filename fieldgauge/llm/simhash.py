@@ -141,8 +141,9 @@ def _flips(bits: list[int], most: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def _flipped(bits: list[int], most: int):
-    return F.explode(F.array(*[F.col("print").bitwiseXOR(F.lit(m)) for m in _flips(bits, most)]))
+def _masks(bits: list[int], most: int):
+    """``_flips`` as one literal array."""
+    return F.split(F.lit(",".join(map(str, _flips(bits, most)))), ",").cast("array<bigint>")
 
 
 def _signed(mask: int) -> int:
@@ -176,8 +177,8 @@ def near_links(prints: DataFrame, radius: int = RADIUS, sample: int = SAMPLE, cr
             "crowds",
         )
         # a print within reach of a crowded value meets it at points
-        reach = distinct.select("print", _flipped(bits, threshold).alias("_probe")).select(
-            "print", F.col("_probe").bitwiseAND(mask).alias("key")
+        reach = distinct.select("print", F.explode(_masks(bits, threshold)).alias("_flip")).select(
+            "print", F.col("print").bitwiseXOR(F.col("_flip")).bitwiseAND(mask).alias("key")
         )
         sparse = index.join(crowded, "key", "left_anti")
         pairs = (
@@ -203,9 +204,8 @@ def _meet(visitors: DataFrame, radius: int) -> DataFrame:
     near, far = radius // 2, radius - radius // 2
     everywhere = list(range(BITS))
     inner = len(_flips(everywhere, near))
-    masks = F.array(*[F.lit(m) for m in _flips(everywhere, far)])
     points = visitors.select("print").distinct().select(
-        "print", F.posexplode(masks).alias("_at", "_mask")
+        "print", F.posexplode(_masks(everywhere, far)).alias("_at", "_mask")
     ).select("print", F.col("print").bitwiseXOR(F.col("_mask")).alias("point"), (F.col("_at") < inner).alias("close"))
     first = (
         points.where("close").groupBy("point").agg(F.min("print").alias("b"))
