@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldgauge.functions.scalars import (
@@ -259,28 +260,54 @@ def focus_correlations(
     )
 
 
+def _pair_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """i, j, n, sx, sy, sxx, syy, sxy over the rows that hold both columns.
+
+    One matrix product per Arrow batch and one row per pair and task; values are taken from the
+    column mean, so large levels lose no digits.
+    """
+    centre = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    means = np.array([np.nan if centre[c] is None else float(centre[c]) for c in columns])
+    width = len(columns)
+
+    def sums(batches):
+        total = np.zeros((4, width, width))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float) - means
+            there = ~np.isnan(x)
+            x = np.where(there, x, 0.0)
+            there = there.astype(float)
+            total += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+        i, j = np.triu_indices(width)
+        yield pd.DataFrame({
+            "i": i, "j": j, "n": total[0][i, j], "sx": total[1][i, j], "sy": total[1][j, i],
+            "sxx": total[2][i, j], "syy": total[2][j, i], "sxy": total[3][i, j],
+        })
+
+    names = ("n", "sx", "sy", "sxx", "syy", "sxy")
+    schema = "i int, j int, " + ", ".join(f"{n} double" for n in names)
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    return doubles.mapInPandas(sums, schema).groupBy("i", "j").agg(*[F.sum(n).alias(n) for n in names])
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long Pearson matrix: every ordered pair, computed once per unordered pair."""
-    pairs = list(combinations(columns, 2))
-    cells = [
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), paired_correlation(a, b)[0].alias("r"))
-        for a, b in pairs
-    ]
-    upper = df.agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
-    mirrored = F.array(
-        F.struct(F.col("x").alias("x"), F.col("y").alias("y"), F.col("r").alias("r")),
-        F.struct(F.col("y").alias("x"), F.col("x").alias("y"), F.col("r").alias("r")),
+    """Long Pearson matrix, pair-complete: every ordered pair, computed once per unordered pair.
+
+    NULL where fewer than two rows hold both columns or one does not vary.
+    """
+    names = F.array(*[F.lit(c) for c in columns])
+    spread = lambda s, ss: F.col(ss) - F.col(s) * F.col(s) / F.col("n")
+    # what is left of a constant by rounding is no spread
+    varies = lambda s, ss: spread(s, ss) > F.col(ss) * 1e-14
+    r = F.when(
+        (F.col("n") >= 2) & varies("sx", "sxx") & varies("sy", "syy"),
+        F.when(F.col("i") == F.col("j"), 1.0).otherwise(
+            (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n"))
+            / F.sqrt(spread("sx", "sxx") * spread("sy", "syy"))
+        ),
     )
-    own = df.agg(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"),
-                         F.when(F.stddev_samp(c) > 0, 1.0).alias("r"))
-                for c in columns
-            ]
-        ).alias("_c")
-    ).select(F.inline("_c"))
-    return upper.select(F.inline(mirrored)).unionByName(own)
+    upper = _pair_sums(df, columns).select(F.get(names, "i").alias("x"), F.get(names, "j").alias("y"), r.alias("r"))
+    return upper.unionAll(upper.filter("x <> y").select("y", "x", "r"))
 
 
 def linear_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:

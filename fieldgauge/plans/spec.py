@@ -176,9 +176,12 @@ def run_question(
 ) -> DataFrame:
     """Complete days of the chosen sites, grouped as asked; at most 10,000 rows.
 
-    The site check joins at most 100 identifiers, so nothing is collected.
+    A site that the site table lacks is refused; the look-up returns at most the 100
+    identifiers of the request.
     """
     check_question(q, data)
+    found = sites.filter(F.col(site).isin(list(q.locations))).select(site).distinct()
+    check_question(q, data, [row[0] for row in found.collect()])
     chosen = between_days(readings.filter(F.col(site).isin(list(q.locations))), q.start, q.end, ts)
     days = complete_day(chosen.select(site, ts, q.metric), {q.metric: data.metrics[q.metric]}, site, ts)
     keys = QUESTION_GROUPS[q.group_by]

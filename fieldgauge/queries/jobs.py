@@ -540,7 +540,7 @@ def _(t):
     train, _test = models.time_holdout(ml_rows(t))
     space = {"numTrees": (3, 5), "maxDepth": (3, 5), "minInstancesPerNode": (1, 20), "featureSubsetStrategy": ("all", "sqrt")}
     table, _best, _model = models.random_search(
-        train, "quantity", ML_COLUMNS, models.candidates(space, 2), folds=2, tuning=selection.even_hours(train, 100)
+        train, "quantity", ML_COLUMNS, models.candidates(space, 2), folds=2, tuning=selection.even_hours(train, 400)
     )
     return table
 
@@ -555,7 +555,7 @@ def forest(t):
 def _(t):
     model, test = forest(t)
     return models.permutation_importance(
-        model, test, "quantity", ML_COLUMNS, ["order_id", "line", "location_id", "timestamp"], repeats=3
+        model, test, "quantity", ML_COLUMNS, ["order_id", "line", "location_id", "timestamp"]
     )
 
 

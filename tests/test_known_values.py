@@ -372,3 +372,42 @@ def test_null_groups_keep_their_rows(spark):
     marks = {(r.g, r.v): r.v_rank for r in ranks.avg_rank(df, "v", ["g"]).collect()}
     assert marks == {(None, 1.0): 1.0, (None, 2.0): 2.0, (None, 4.0): 3.0, ("a", 5.0): 1.0}
     assert {r.g: r.median for r in summaries.summary_stats(df, "v", ["g"]).collect()} == {None: 2.0, "a": 5.0}
+
+
+def test_correlations_of_many_columns(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    data = pd.DataFrame(rng.normal(1e6, 1, (1000, 46)), columns=[f"c{i}" for i in range(46)])
+    data["c1"] = data["c0"] * 2 + data["c1"] * 0.1
+    data.loc[rng.random(1000) < 0.2, "c2"] = None
+    data["flat"] = 3.1
+    got = {(r.x, r.y): r.r for r in summaries.corr_matrix(spark.createDataFrame(data), list(data.columns)).collect()}
+    want = data.corr()
+    assert len(got) == 47 * 47
+    for (x, y), r in got.items():
+        if "flat" in (x, y):
+            assert r is None
+        else:
+            assert r == pytest.approx(want.loc[x, y], abs=1e-9)
+
+
+def test_permuting_a_constant_or_useless_feature_loses_nothing(spark):
+    from pyspark.ml.regression import LinearRegression
+
+    from fieldgauge.operators import models
+
+    rows = spark.range(600).select("id", (F.col("id") % 17).cast("double").alias("x"), F.lit(2.0).alias("c"))
+    rows = rows.withColumn("y", F.col("x") * 3)
+    model = models.assembled(LinearRegression(labelCol="y"), ["x", "c"]).fit(rows)
+    copies = models.shuffled_copies(rows, ["x", "c"], ["id"], 2, 1)
+    assert copies.count() == 600 * 4
+    moved = copies.filter("feature = 'x' AND repeat = 1")
+    assert rows_sum(moved, "x") == rows_sum(rows, "x") and moved.filter("x * 3 <> y").count() > 400
+    loss = {r.feature: r.importance for r in models.permutation_importance(model, rows, "y", ["x", "c"], ["id"]).collect()}
+    assert loss["c"] == pytest.approx(0, abs=1e-9) and loss["x"] > 0.5
+
+
+def rows_sum(df, column):
+    return df.agg(F.sum(column)).first()[0]
