@@ -252,9 +252,12 @@ def neighbours(sites: DataFrame, km: float = 250.0, site: str = "location_id") -
 
 def change_from_base(
     df: DataFrame, value: str, base: int, site: str = "location_id", month: str = "month",
-    output: str = "change",
+    output: str = "change", by: Sequence[str] = (),
 ) -> DataFrame:
-    """Each later month minus the site's value in the base month (base rows drop out)."""
-    sites = Window.partitionBy(site)
+    """Each other month minus the site's value in the base month (base rows drop out).
+
+    ``by`` names further columns that a base belongs to, such as the year.
+    """
+    sites = Window.partitionBy(site, *by)
     start = F.max(F.when(F.col(month) == base, F.col(value))).over(sites)
     return df.withColumn(output, F.col(value) - start).filter(F.col(month) != base)

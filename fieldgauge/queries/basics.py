@@ -386,12 +386,12 @@ def y_month(t):
 
 
 @query("join9_change_from_base", Y_MONTH_SQL + f"""
-, m AS (SELECT location_id, month, value FROM y_month WHERE year = 1996)
-SELECT m.location_id, m.month, {r('m.value - b.value')} AS change
-FROM m LEFT JOIN (SELECT * FROM m WHERE month = 1) b ON b.location_id = m.location_id WHERE m.month <> 1""")
+SELECT m.location_id, m.year, m.month, {r('m.value - b.value')} AS change
+FROM y_month m LEFT JOIN y_month b ON b.location_id = m.location_id AND b.year = m.year AND b.month = 1
+WHERE m.month <> 1""")
 def _(t):
-    months = y_month(t).filter("year = 1996")
-    return joins.change_from_base(months, "value", 1).select("location_id", "month", "change")
+    changes = joins.change_from_base(y_month(t), "value", 1, by=["year"])
+    return changes.select("location_id", "year", "month", "change")
 
 
 # ---------------------------------------------------------------- functions ----

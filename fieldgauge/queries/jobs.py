@@ -570,7 +570,7 @@ def site_features(t):
 
 @query("ml11_group_kfold")
 def _(t):
-    return models.group_kfold(site_features(t), "elevation_m", W_METRICS, "country", k=5, trees=10)[0]
+    return models.group_kfold(site_features(t), "elevation_m", W_METRICS, "country")[0]
 
 
 @query("ml12_weighted_importance", f"""

@@ -138,6 +138,31 @@ CELL_SQL = """
 , cen AS (SELECT month, year, day, value, value - m AS c, abs(value - m) AS d FROM cell JOIN med USING (month, year))"""
 
 
+# the same over every year in which the month is complete, leap day aside
+CELLS_SQL = CELL_SQL.replace(
+    "year(date) IN (1995, 1996) AND NOT (month(date) = 2 AND day(date) = 29)",
+    "NOT (month(date) = 2 AND day(date) = 29) QUALIFY count(*) OVER (PARTITION BY year(date), month(date)) = "
+    "least(day(last_day(date)), CASE WHEN month(date) = 2 THEN 28 ELSE 31 END)",
+)
+
+
+def complete_cell_days(t):
+    from fieldgauge.operators.filters import drop_leap_day
+
+    days = drop_leap_day(t.y_global)
+    wanted = F.when(F.month("date") == 2, 28).otherwise(F.dayofmonth(F.last_day("date")))
+    whole = days.groupBy(F.year("date").alias("_y"), F.month("date").alias("_m")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(wanted).alias("_days")
+    ).filter("_n = _days")
+    return days.join(whole, (F.year("date") == F.col("_y")) & (F.month("date") == F.col("_m")), "left_semi").select(
+        F.month("date").alias("month"), F.year("date").alias("year"), F.dayofmonth("date").alias("day"), "value"
+    )
+
+
+def complete_cells(t):
+    return reshape.matrix_array(complete_cell_days(t), ["month"], "year", "day", "value")
+
+
 def cell_days(t):
     from fieldgauge.operators.filters import drop_leap_day
 
@@ -159,30 +184,30 @@ def f_sql(source: str, keys: str, label: str, value: str, name: str) -> str:
              / (sum(w) / (count(*) * (any_value(n) - 1))) ELSE 0 END AS f FROM {name}_g GROUP BY {keys})"""
 
 
-@query("stat7_block_f", CELL_SQL + f_sql("cen", "month", "year", "value", "lf") + f_sql("cen", "month", "year", "d", "sf") + f"""
+@query("stat7_block_f", CELLS_SQL + f_sql("cen", "month", "year", "value", "lf") + f_sql("cen", "month", "year", "d", "sf") + f"""
 SELECT month, {r('lf.f')} AS level_f, {r('sf.f')} AS spread_f FROM lf JOIN sf USING (month)""")
 def _(t):
-    return resampling.block_permutation(cells(t), ["month"], replicates=4999).select("month", "level_f", "spread_f")
+    return resampling.block_permutation(complete_cells(t), ["month"], replicates=4999).select("month", "level_f", "spread_f")
 
 
 @query("stat7_block_permutation")
 def _(t):
-    return resampling.block_permutation(cells(t), ["month"], replicates=4999)
+    return resampling.block_permutation(complete_cells(t), ["month"], replicates=4999)
 
 
-@query("stat8_block_score", CELL_SQL + f"""
+@query("stat8_block_score", CELLS_SQL + f"""
 , rk AS (SELECT month, year, rank() OVER (PARTITION BY month ORDER BY value) + (count(*) OVER (PARTITION BY month, value) - 1) / 2 AS rk FROM cell)
 , tot AS (SELECT month, avg(rk) AS m, var_samp(rk) AS v FROM rk GROUP BY 1)
 , g AS (SELECT month, year, count(*) AS n, avg(rk) AS m FROM rk GROUP BY 1, 2)
 SELECT g.month, {r('sum(g.n * pow(g.m - tot.m, 2)) / any_value(tot.v)')} AS statistic FROM g JOIN tot USING (month) GROUP BY 1""")
 def _(t):
-    scores = resampling.block_scores(cell_days(t), ["month"], "year", "day", "value")
+    scores = resampling.block_scores(complete_cell_days(t), ["month"], "year", "day", "value")
     return resampling.block_score_test(scores, ["month"], replicates=9999).filter("kind = 'level'").select("month", "statistic")
 
 
 @query("stat8_block_score_test")
 def _(t):
-    scores = resampling.block_scores(cell_days(t), ["month"], "year", "day", "value")
+    scores = resampling.block_scores(complete_cell_days(t), ["month"], "year", "day", "value")
     return resampling.block_score_test(scores, ["month"], replicates=9999)
 
 
