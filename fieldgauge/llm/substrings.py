@@ -11,7 +11,9 @@ reference are routed to each other instead:
    the anchor's shard.  There the snippets are streamed in corpus order through the suffix
    automaton of the shard's earlier snippets; where the matching statistic reaches ``length``
    a window occurred before.  Words are compared, not hashes.
-3. An anchor of very many snippets would make one large shard.  It is split by whole windows,
+3. Of documents with one text only the first is streamed; every window of the others starts
+   earlier there.
+4. An anchor of very many snippets would make one large shard.  It is split by whole windows,
    whose first place is a minimum aggregated before the shuffle.
 """
 
@@ -29,9 +31,11 @@ from fieldgauge.llm.text import importable, per_batch
 LENGTH = 20
 GRAM = 8
 #: snippets in one shard; shards of more are split by windows
-CROWD = 512
+CROWD = 2048
 
 _NO_ID = -(1 << 63)
+#: the end of a range over the whole text of a copy
+_ALL = -1
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 _SHIFT = np.uint64(32)
 
@@ -88,13 +92,15 @@ def window_anchors(hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
     gram = min(GRAM, length)
     at = np.arange(len(hashes) - gram + 1)
     grams = _stir(_GRAMS.slices(hashes, at, at + gram))
-    n = len(hashes) - length + 1
-    least, offset = grams[:n].copy(), np.zeros(n, np.int64)
-    for j in range(1, length - gram + 1):
-        lower = grams[j : j + n] < least
-        least[lower] = grams[j : j + n][lower]
-        offset[lower] = j
-    return np.arange(n) + offset, grams
+    # the smallest of 1, 2, 4, ... grams and its place, until the window is full
+    least, place, span, width = grams, at, 1, length - gram + 1
+    while span < width:
+        step = min(span, width - span)
+        lower = least[step:] < least[:-step]
+        place = np.where(lower, place[step:], place[:-step])
+        least = np.where(lower, least[step:], least[:-step])
+        span += step
+    return place, grams
 
 
 def _anchored(text: bytes, length: int):
@@ -212,7 +218,8 @@ def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
         h, q, counts = [np.empty(0, np.int64)], [np.empty(0, np.int32)], []
         for text in batch.column("text").to_pylist():
             found = _anchored(text, length)
-            places = np.unique(found[3]) if found else np.empty(0, np.int64)
+            # the places of successive windows never fall
+            places = found[3][np.flatnonzero(np.diff(found[3], prepend=-1))] if found else np.empty(0, np.int64)
             counts.append(len(places))
             if found:
                 h.append(found[4][places].view(np.int64))
@@ -306,13 +313,27 @@ def _split(windows: DataFrame, length: int) -> DataFrame:
 _RANGES = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
 
-def _cut(joined: DataFrame) -> DataFrame:
+def _copies(texts: DataFrame) -> DataFrame:
+    """Documents (_d, _t) whose whole text is also that of an earlier document."""
+    place = F.struct("d", "t")
+    slim = texts.select("d", "t", F.unhex(F.md5("text")).alias("m"))
+    firsts = slim.groupBy("m").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(
+        F.col("first") != F.col("last")
+    ).select("m", "first")
+    later = slim.join(firsts, "m").where(place != F.col("first"))
+    return later.select(F.col("d").alias("_d"), F.col("t").alias("_t")).distinct()
+
+
+def _cut(joined: DataFrame, length: int) -> DataFrame:
     def build(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, gone, kept, ranges = [], [], [], []
         for text, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist()):
             words = text.split()
             merged: list[list[int]] = []
-            for a, b in sorted((f["a"], f["b"]) for f in found or ()):
+            spans = sorted((f["a"], f["b"]) for f in found or ())
+            if spans and spans[0][1] == _ALL:
+                spans = [(0, len(words))] if len(words) >= length else []
+            for a, b in spans:
                 if merged and a <= merged[-1][1]:
                     merged[-1][1] = max(b, merged[-1][1])
                 else:
@@ -355,13 +376,16 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD)
         F.collect_list(F.when(F.col("n") > crowd, F.col("q"))).alias("many"),
     ).select(F.col("d").alias("_d"), F.col("t").alias("_t"), "few", "many")
     same = (F.col("d") == F.col("_d")) & (F.col("t") == F.col("_t"))
-    held = texts.join(repeated, same)
+    copies = _copies(texts)
+    held = texts.join(repeated.join(copies, ["_d", "_t"], "left_anti"), same)
     few = held.where(F.size("few") > 0).select("d", "t", "text", F.col("few").alias("q"))
     many = held.where(F.size("many") > 0).select("d", "t", "text", F.col("many").alias("q"))
-    found = _match(_snippets(few, length), length).unionAll(_split(_crowded_windows(many, length), length))
+    found = _match(_snippets(few, length), length).unionAll(_split(_crowded_windows(many, length), length)).unionAll(
+        copies.select(F.col("_d").alias("d"), F.col("_t").alias("t"), F.lit(0).alias("a"), F.lit(_ALL).alias("b"))
+    )
     ranges = found.groupBy("d", "t").agg(F.collect_list(F.struct("a", "b")).alias("found")).select(
         F.col("d").alias("_d"), F.col("t").alias("_t"), "found"
     )
-    cut = _cut(texts.join(ranges, same, "left").select("d", "t", "text", "found"))
+    cut = _cut(texts.join(ranges, same, "left").select("d", "t", "text", "found"), length)
     return cut.select(F.when(F.col("d") != F.lit(_NO_ID), F.col("d")).alias("doc_id"),
                       "n_words", "n_removed", "removed", "kept")
