@@ -13,8 +13,9 @@ reference are routed to each other instead:
    a window occurred before.  Words are compared, not hashes.
 3. Of documents with one text only the first is streamed; every window of the others starts
    earlier there.
-4. An anchor of very many snippets would make one large shard.  It is split by whole windows,
-   whose first place is a minimum aggregated before the shuffle.
+4. An anchor of very many snippets would make one large shard.  It is split by whole snippets
+   and then by the windows of different ones, whose first places are minima aggregated before
+   the shuffle.
 """
 
 from __future__ import annotations
@@ -280,34 +281,57 @@ def _match(snippets: DataFrame, length: int) -> DataFrame:
     return routed.mapInArrow(run, "d bigint, t int, a int, b int")
 
 
-def _crowded_windows(held: DataFrame, length: int) -> DataFrame:
-    """Two hashes and the place of every window whose anchor is crowded."""
+def _crowded_snippets(held: DataFrame, length: int) -> DataFrame:
+    """The snippets of crowded anchors: two hashes of the whole and of each of its windows."""
     def build(batch: pa.RecordBatch) -> pa.RecordBatch:
-        parts, counts = [], []
+        whole, inside, places, counts, sizes = [], [], [], [], []
         for text, wanted in zip(batch.column("text").to_pylist(), batch.column("q").to_pylist()):
             _, _, hashes, anchors, _ = _anchored(text, length)
+            checks = _stir(hashes)
             s = np.flatnonzero(np.isin(anchors, wanted))
-            parts.append((_WINDOWS.slices(hashes, s, s + length), _CHECKS.slices(_stir(hashes), s, s + length), s))
-            counts.append(len(s))
-        w, v, s = (np.concatenate(x) for x in zip(*parts))
+            _, first, many = np.unique(anchors[s], return_index=True, return_counts=True)
+            lo, hi = s[first], s[first] + many - 1 + length
+            whole.append((_WINDOWS.slices(hashes, lo, hi), _CHECKS.slices(checks, lo, hi)))
+            inside.append((_WINDOWS.slices(hashes, s, s + length), _CHECKS.slices(checks, s, s + length)))
+            places.append(lo)
+            sizes.append(many)
+            counts.append(len(lo))
+        c, e = (pa.array(np.concatenate(x).view(np.int64)) for x in zip(*whole))
+        ends = pa.array(np.concatenate(([0], np.cumsum(np.concatenate(sizes)))).astype(np.int32))
+        w, v = (pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x).view(np.int64))) for x in zip(*inside))
         return pa.RecordBatch.from_arrays(
-            [pa.array(w.view(np.int64)), pa.array(v.view(np.int64)), pa.array(np.repeat(batch.column("d").to_numpy(), counts)),
-             pa.array(np.repeat(batch.column("t").to_numpy(), counts)), pa.array(s.astype(np.int32))],
-            ["w", "v", "d", "t", "s"],
+            [c, e, pa.array(np.repeat(batch.column("d").to_numpy(), counts)),
+             pa.array(np.repeat(batch.column("t").to_numpy(), counts)),
+             pa.array(np.concatenate(places).astype(np.int32)), w, v],
+            ["c", "e", "d", "t", "s", "w", "v"],
         )
 
-    return per_batch(held, build, "w bigint, v bigint, d bigint, t int, s int")
+    return per_batch(held, build, "c bigint, e bigint, d bigint, t int, s int, w array<bigint>, v array<bigint>")
 
 
-def _split(windows: DataFrame, length: int) -> DataFrame:
-    """Removed ranges of windows that are not the first of their hashes."""
+def _later(rows: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of each key but the one in the first place."""
+    repeated = firsts.where(F.col("first") != F.col("last")).select(*keys, "first")
+    return rows.join(repeated, keys).where(F.struct("d", "t", "s") != F.col("first"))
+
+
+def _split(snippets: DataFrame, length: int) -> DataFrame:
+    """Removed ranges of crowded snippets.
+
+    Of equal snippets only the first can hold a window that is new, so the windows of the
+    different ones alone are compared.
+    """
     place = F.struct("d", "t", "s")
-    firsts = (
-        windows.groupBy("w", "v").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where(F.col("first") != F.col("last")).select("w", "v", "first")
+    ends = [F.min(place).alias("first"), F.max(place).alias("last")]
+    different = snippets.groupBy("c", "e").agg(*ends, F.first("w").alias("w"), F.first("v").alias("v"))
+    copies = _later(snippets, different, ["c", "e"])
+    windows = different.select("first.*", F.posexplode(F.arrays_zip("w", "v")).alias("at", "x")).select(
+        "d", "t", (F.col("s") + F.col("at")).alias("s"), "x.w", "x.v"
+    )
+    later = _later(windows, windows.groupBy("w", "v").agg(*ends), ["w", "v"])
+    return copies.select("d", "t", F.col("s").alias("a"), (F.col("s") + F.size("w") - 1 + length).alias("b")).unionAll(
+        later.select("d", "t", F.col("s").alias("a"), (F.col("s") + length).alias("b"))
     )
-    later = windows.join(firsts, ["w", "v"]).where(place != F.col("first"))
-    return later.select("d", "t", F.col("s").alias("a"), (F.col("s") + length).alias("b"))
 
 
 _RANGES = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
@@ -380,7 +404,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD)
     held = texts.join(repeated.join(copies, ["_d", "_t"], "left_anti"), same)
     few = held.where(F.size("few") > 0).select("d", "t", "text", F.col("few").alias("q"))
     many = held.where(F.size("many") > 0).select("d", "t", "text", F.col("many").alias("q"))
-    found = _match(_snippets(few, length), length).unionAll(_split(_crowded_windows(many, length), length)).unionAll(
+    found = _match(_snippets(few, length), length).unionAll(_split(_crowded_snippets(many, length), length)).unionAll(
         copies.select(F.col("_d").alias("d"), F.col("_t").alias("t"), F.lit(0).alias("a"), F.lit(_ALL).alias("b"))
     )
     ranges = found.groupBy("d", "t").agg(F.collect_list(F.struct("a", "b")).alias("found")).select(
