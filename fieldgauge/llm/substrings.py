@@ -262,12 +262,15 @@ def _snippets(held: DataFrame, length: int) -> DataFrame:
 def _match(snippets: DataFrame, length: int) -> DataFrame:
     """Removed ranges (d, t, a, b) of snippets, by the automaton of each anchor's shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, shard = None, None
+        held, shard, before = None, None, None
         for batch in batches:
             out: list[tuple] = []
             for h, d, t, s, words in zip(*(c.to_pylist() for c in batch.columns)):
                 if h != held:
                     held, shard = h, _Shard(length)
+                elif (d, t, s) == before:  # the same place of a repeated row
+                    continue
+                before = d, t, s
                 out += [(d, t, s + a, s + b) for a, b in shard.stream(words)]
             if out:
                 yield pa.RecordBatch.from_arrays(

@@ -171,6 +171,18 @@ def test_substrings(odd, odd_rows, given, crowd):
     assert substrings.dedup_substrings(odd).count() == odd.count()
 
 
+@pytest.mark.parametrize("crowd", [2048, 1])
+def test_substrings_of_repeated_rows(frame, crowd):
+    deal = random.Random(11)
+    long, other, tail = (" ".join(f"v{deal.randrange(10**6)}" for _ in range(n)) for n in (60, 45, 30))
+    rows = [(7, long), (7, long), (8, other), (8, other), (8, other), (9, f"{tail} {long}"), (9, f"{tail} {long}"),
+            (None, tail), (None, tail)]
+    got = substrings.dedup_substrings(frame([(*r, "s") for r in rows]), crowd=crowd).collect()
+    want = plain.substrings(list(dict.fromkeys(rows)))
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in got) == sorted((str(i), *want[i]) for i, _ in rows)
+    assert want[7][1] == want[8][1] == want[None][1] == 0 and want[9][1] == 90
+
+
 def test_substrings_of_few_symbols(frame):
     deal = random.Random(8)
     rows = [(i, " ".join(deal.choices("ab", k=deal.randrange(0, 90))), "s") for i in range(60)]
