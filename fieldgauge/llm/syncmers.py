@@ -2,8 +2,9 @@
 
 A k-mer of bytes is an anchor when the smallest of its inner s-mers stands at its first or last
 place.  Whether it is one depends on its own bytes alone, so an edit moves no anchor elsewhere.
-The fingerprint keeps the anchors with the smallest hashes, with the place of each, and two
-fingerprints are compared by the anchors that match in the same order.
+The fingerprint holds every distinct anchor with its first place, so it grows with the text and
+a passage of a window's length leaves its anchors in it wherever it stands.  Two fingerprints
+are compared by all the anchors that match in the same order.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from fieldgauge.llm.text import importable
 
 K = 20
 S = 8
-#: anchors in a fingerprint
-KEPT = 64
+#: characters of fingerprints in one batch of results
+BATCH_CHARS = 8 << 20
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _R1, _R2 = np.uint64(29), np.uint64(32)
@@ -60,37 +61,35 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (whole >> _R2).astype(np.uint32), at
 
 
-def sketch(text: bytes, kept: int = KEPT) -> dict[int, int]:
-    """The ``kept`` smallest distinct anchor hashes, each with its first place."""
+def sketch(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """All distinct anchor hashes, ascending, and the first place of each."""
     hashes, at = anchors(text)
-    if len(hashes) > 4 * kept:
-        # a smaller share certain to hold enough distinct values, or else all
-        bound = np.partition(hashes, 4 * kept)[4 * kept]
-        few = hashes <= bound
-        if len(np.unique(hashes[few])) >= kept:
-            hashes, at = hashes[few], at[few]
     values, first = np.unique(hashes, return_index=True)
-    return dict(zip(values[:kept].tolist(), at[first[:kept]].tolist()))
+    return values, at[first]
 
 
-def as_string(marks: dict[int, int]) -> str:
-    return " ".join(f"{h:08x}@{p:x}" for h, p in marks.items())
+def as_string(marks: tuple[np.ndarray, np.ndarray]) -> str:
+    return " ".join([f"{h:08x}@{p:x}" for h, p in zip(marks[0].tolist(), marks[1].tolist())])
 
 
-def likeness(a: dict[int, int], b: dict[int, int], kept: int = KEPT) -> float:
-    """Anchors that match in order, as a share of the smallest anchors of both together.
+def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Anchors that match in order, as a share of the anchors of both together.
 
     Two empty fingerprints are alike (1.0).
     """
-    union = sorted(a.keys() | b.keys())[:kept]
+    _, in_a, in_b = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    union = len(a[0]) + len(b[0]) - len(in_a)
     if not union:
         return 1.0
-    places = sorted((a[h], b[h]) for h in union if h in a and h in b)
+    # places are distinct within a fingerprint
+    places = b[1][in_b][np.argsort(a[1][in_a])].tolist()
     tails: list[int] = []
-    for _, p in places:  # longest increasing chain of places in b
-        i = bisect_left(tails, p)
-        tails[i : i + 1] = [p]
-    return len(tails) / len(union)
+    for p in places:  # longest increasing chain of places in b
+        if not tails or p > tails[-1]:
+            tails.append(p)
+        else:
+            tails[bisect_left(tails, p)] = p
+    return len(tails) / union
 
 
 _SCHEMA = (
@@ -107,22 +106,30 @@ def _compare(text: str, following: str, marks, next_marks) -> tuple:
             likeness(marks, changed), likeness(marks, next_marks))
 
 
+def _rows(out: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c) if i else pa.array(c, pa.int64()) for i, c in enumerate(zip(*out))],
+        ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+    )
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by bucket; the last of a bucket is a guest, the head of the next one."""
     before = None
     for batch in batches:
-        out = []
-        for bucket, guest, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("bucket", "guest", "doc_id", "text"))):
-            text = text or ""
+        out, held = [], 0
+        for bucket, guest, doc_id, text in zip(*(batch.column(c) for c in ("bucket", "guest", "doc_id", "text"))):
+            bucket, guest, doc_id, text = bucket.as_py(), guest.as_py(), doc_id.as_py(), text.as_py() or ""
             marks = sketch(text.encode("utf-8", "replace"))
             if before is not None and before[0] == bucket:
                 out.append((before[1], *_compare(before[2], text, before[3], marks)))
+                held += len(out[-1][3]) + len(out[-1][4])
             before = None if guest else (bucket, doc_id, text, marks)
+            if held >= BATCH_CHARS:
+                yield _rows(out)
+                out, held = [], 0
         if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c) if i else pa.array(c, pa.int64()) for i, c in enumerate(zip(*out))],
-                ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
-            )
+            yield _rows(out)
 
 
 def fingerprint_pairs(docs: DataFrame, per_bucket: int = 200, most_buckets: int = 20000) -> DataFrame:

@@ -286,6 +286,19 @@ def test_fingerprint_pairs(spark, odd_rows, frame, per_bucket):
     assert len({r.fingerprint for i, r in got.items() if i and i >= 200}) == 1
 
 
+def test_fingerprints_see_a_shared_passage():
+    deal = random.Random(9)
+    text = lambda n: " ".join("".join(deal.choices("abcdefghijklmnop", k=6)) for _ in range(n))
+    passage = text(200)
+    a, b = (f"{text(n)} {passage} {text(n)}".encode() for n in (4000, 7000))
+    one, two = syncmers.sketch(a), syncmers.sketch(b)
+    for marks, whole in ((one, a), (two, b)):
+        assert syncmers.as_string(marks).count("@") == len(set(syncmers.anchors(whole)[0].tolist()))
+    inside = len(set(syncmers.anchors(passage.encode())[0].tolist()))
+    either = len(set(syncmers.anchors(a)[0].tolist()) | set(syncmers.anchors(b)[0].tolist()))
+    assert inside > 150 and inside / either <= syncmers.likeness(one, two) < (inside + 20) / either
+
+
 def test_fingerprints_empty_and_repeated(odd, clash):
     assert syncmers.fingerprint_pairs(odd.limit(0)).count() == 0
     assert syncmers.fingerprint_pairs(clash, per_bucket=4).count() == odd.count()
