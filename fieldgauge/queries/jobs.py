@@ -486,20 +486,10 @@ def _(t):
     ]).groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"), F.avg("value").alias("mean"))
 
 
-def small_models(trees: int = 5):
-    from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-
-    return {
-        "linear regression": LinearRegression(labelCol="quantity"),
-        "random forest": RandomForestRegressor(labelCol="quantity", numTrees=trees, maxDepth=4, seed=42),
-        "gradient boosting": GBTRegressor(labelCol="quantity", maxIter=trees, maxDepth=3, stepSize=0.1, seed=42),
-    }
-
-
 @query("ml4_compare_models")
 def _(t):
     train, test = models.time_holdout(ml_rows(t))
-    return models.compare_models(train, test, "quantity", ML_COLUMNS, small_models())[0]
+    return models.compare_models(train, test, "quantity", ML_COLUMNS)[0]
 
 
 PREDICTED_SQL = """
@@ -538,16 +528,15 @@ def _(t):
 @query("ml8_random_search")
 def _(t):
     train, _test = models.time_holdout(ml_rows(t))
-    space = {"numTrees": (3, 5), "maxDepth": (3, 5), "minInstancesPerNode": (1, 20), "featureSubsetStrategy": ("all", "sqrt")}
     table, _best, _model = models.random_search(
-        train, "quantity", ML_COLUMNS, models.candidates(space, 2), folds=2, tuning=selection.even_hours(train, 400)
+        train, "quantity", ML_COLUMNS, models.candidates(), tuning=selection.even_hours(train, 400)
     )
     return table
 
 
 def forest(t):
     train, test = models.time_holdout(ml_rows(t))
-    model = models.assembled(small_models()["random forest"], ML_COLUMNS).fit(train)
+    model = models.assembled(models.default_models("quantity")["random forest"], ML_COLUMNS).fit(train)
     return model, test
 
 
