@@ -254,6 +254,41 @@ def _(t):
     return resampling.exact_exchange(cells(t), ["month"], 7)
 
 
+# a cell for each month and pair of consecutive years in which the month is complete
+PAIRS_SQL = CELLS_SQL[: CELLS_SQL.index("\n, med AS")].replace(", cell AS (", ", whole AS (") + """
+, cell AS (SELECT year - o AS first_year, month, year, day, value FROM whole, range(0, 2) y(o)
+           QUALIFY min(year) OVER (PARTITION BY year - o, month) < max(year) OVER (PARTITION BY year - o, month))
+, med AS (SELECT first_year, month, year, median(value) AS m FROM cell GROUP BY 1, 2, 3)
+, cen AS (SELECT first_year, month, year, day, value, value - m AS c FROM cell JOIN med USING (first_year, month, year))"""
+
+
+def paired_cells(t):
+    year = F.col("year")
+    days = complete_cell_days(t).withColumn("first_year", F.explode(F.array(year - 1, year)))
+    whole = days.groupBy("first_year", "month").agg(F.min("year").alias("_a"), F.max("year").alias("_b")).filter("_a < _b")
+    paired = days.join(whole, ["first_year", "month"], "left_semi")
+    return reshape.matrix_array(paired, ["first_year", "month"], "year", "day", "value")
+
+
+@query("stat10_exact_exchange_every_pair", PAIRS_SQL + f"""
+, masks AS (SELECT DISTINCT c.first_year, c.month, k
+            FROM (SELECT first_year, month, max(day) AS last FROM cell GROUP BY 1, 2) c, range(0, 2048) x(k)
+            WHERE k < pow(2, ceil(last / 7)))
+, mv AS (SELECT c.first_year, c.month, k, (year - c.first_year + ((k >> ((day - 1) // 7)) & 1)) % 2 AS label, day, value, c
+         FROM cen c JOIN masks USING (first_year, month))
+, mm AS (SELECT first_year, month, k, label, median(c) AS m FROM mv GROUP BY 1, 2, 3, 4)
+, md AS (SELECT mv.first_year, mv.month, mv.k, mv.label, value, abs(c - m) AS d
+         FROM mv JOIN mm USING (first_year, month, k, label))
+""" + f_sql("md", "first_year, month, k", "label", "value", "lf") + f_sql("md", "first_year, month, k", "label", "d", "sf") + f"""
+, ol AS (SELECT first_year, month, f FROM lf WHERE k = 0) , os AS (SELECT first_year, month, f FROM sf WHERE k = 0)
+SELECT first_year, month, count(*) AS assignments, {r('any_value(ol.f)')} AS level_f,
+       {r('avg(CASE WHEN lf.f >= ol.f - 1e-9 THEN 1.0 ELSE 0.0 END)')} AS level_p, {r('any_value(os.f)')} AS spread_f,
+       {r('avg(CASE WHEN sf.f >= os.f - 1e-9 THEN 1.0 ELSE 0.0 END)')} AS spread_p
+FROM lf JOIN sf USING (first_year, month, k) JOIN ol USING (first_year, month) JOIN os USING (first_year, month) GROUP BY 1, 2""")
+def _(t):
+    return resampling.exact_exchange(paired_cells(t), ["first_year", "month"], 7)
+
+
 # slope, clustered and HC3 errors of a single regressor, by partialling out
 def slope_sql(rows: str, keys: str, absorb: str | None, cluster: str | None) -> str:
     cell = f"PARTITION BY {keys}" + (f", {absorb}" if absorb else "")
