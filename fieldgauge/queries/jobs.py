@@ -437,6 +437,25 @@ def _(t):
     return t.spark.read.schema(days.schema).parquet(f"{base}/out").filter(F.col("date") < closed)
 
 
+@query("str2_complete_day_stream_all", f"""
+, day AS (SELECT location_id, CAST(timestamp AS DATE) AS date, CASE WHEN count(reading) = 24 THEN avg(reading) END AS reading,
+     count(reading) AS reading_hours, CASE WHEN count(volume) = 24 THEN sum(volume) END AS volume, count(volume) AS volume_hours
+  FROM s GROUP BY 1, 2)
+SELECT location_id, date, {r('reading')} AS reading, reading_hours, {r('volume')} AS volume, volume_hours FROM day""")
+def _(t):
+    base = staging_path(t.spark, "days")
+    t.s.write.parquet(f"{base}/in")
+    metrics = {"reading": "mean", "volume": "sum"}
+    stream = complete_days.committed_stream(t.spark, f"{base}/in", t.s.schema)
+    days = complete_days.complete_day_stream(stream, metrics)
+    days.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(
+        f"{base}/out", format="parquet", outputMode="append"
+    ).awaitTermination()
+    closed = t.spark.read.schema(days.schema).parquet(f"{base}/out")
+    hours = t.spark.read.schema(t.s.schema).parquet(f"{base}/in")
+    return closed.unionByName(complete_days.open_days(hours, closed, metrics))
+
+
 # ------------------------------------------------------------------- models ----
 
 ML_COLUMNS = ["elevation_m", "latitude", "longitude", "month_sin", "month_cos", "year"]

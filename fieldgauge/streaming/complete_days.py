@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from fieldgauge.operators.daily import HOURS_PER_DAY, statistic
@@ -37,13 +37,30 @@ def complete_day_stream(
     site-day and one key per site-hour inside the delay.
     """
     hours = stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([site, ts])
-    values = []
-    for name, how in metrics.items():
-        values.append(F.when(F.count(name) == expected, statistic(how, name)).alias(name))
-        values.append(F.count(name).alias(f"{name}_hours"))
     return (
         hours.groupBy(F.window(ts, "1 day"), F.col(site))
-        .agg(*values)
+        .agg(*day_values(metrics, expected))
         .select(site, F.col("window.start").cast("date").alias("date"),
                 *[c for m in metrics for c in (m, f"{m}_hours")])
     )
+
+
+def day_values(metrics: Mapping[str, str], expected: int = HOURS_PER_DAY) -> list[Column]:
+    """Per metric the value of a day with all its hours, and how many there are."""
+    values = []
+    for name, how in metrics.items():
+        values.append(F.when(F.count(name) == expected, statistic(how, name)).alias(name))
+        values.append(F.count(name).alias(f"{name}_hours"))
+    return values
+
+
+def open_days(
+    hours: DataFrame, emitted: DataFrame, metrics: Mapping[str, str],
+    site: str = "location_id", ts: str = "timestamp", expected: int = HOURS_PER_DAY,
+) -> DataFrame:
+    """The final batch: values of the site-days of ``hours`` that the stream has not emitted.
+
+    These are the days that are still open behind the watermark when no more hours come.
+    """
+    left = hours.withColumn("date", F.to_date(ts)).join(emitted.select(site, "date"), [site, "date"], "left_anti")
+    return left.dropDuplicates([site, ts]).groupBy(site, "date").agg(*day_values(metrics, expected))

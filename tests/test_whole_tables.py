@@ -14,3 +14,12 @@ def test_exact_exchange_has_every_pair_of_years(spark):
     assert compare(found, connect(SF), entry.oracle_sql()[name]) is None
     years = {r.first_year for r in found.select("first_year").distinct().collect()}
     assert years > {1995} and len(years) > 4
+
+
+def test_complete_day_stream_has_the_last_days(spark):
+    name = "str2_complete_day_stream_all"
+    found = entry.queries()[name](spark, SF).cache()
+    assert compare(found, connect(SF), entry.oracle_sql()[name]) is None
+    earlier = entry.queries()["str2_complete_day_stream"](spark, SF)
+    last = lambda df: max(r.date for r in df.select("date").distinct().collect())
+    assert last(found) > last(earlier)
