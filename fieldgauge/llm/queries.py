@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import decontaminate, lines, mixing, preference, ranking, secret_scan, simhash, statements, substrings
+from fieldgauge.llm import alignment, decontaminate, lines, mixing, preference, ranking, secret_scan, simhash, statements, substrings
 from fieldgauge.llm import syncmers, tokens
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,14 @@ def vocabulary(path: str | None = None) -> list[tuple[str, float]]:
     return tokens.zipf_unigram(tokens.load_pieces(path))
 
 
+def tokenizer_files(byte_level: str | None = None, pieces: str | None = None) -> tuple[str, bytes]:
+    """The byte-level and the piece vocabulary at the given paths, or the public ones."""
+    import public_tokenizers
+
+    return alignment.load(byte_level or public_tokenizers.path("byte_bpe_50k.json"),
+                          pieces or public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"), vocabulary())
@@ -98,3 +106,11 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    found = alignment.align(table(spark, folder, "documents"), *tokenizer_files())
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                        digest.alias("groups_sha256"))
