@@ -117,3 +117,16 @@ SELECT conv_id, (n + same::BIGINT)::BIGINT AS n_prompt_turns, body || CASE WHEN
   CASE WHEN same OR lent = '' THEN '' ELSE '14:' || length(lent) END AS rejected_mask
 FROM pair
 """
+
+ARCHIVE = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM p),
+d AS (
+  SELECT *, list_transform(range(0, 8), lambda i: ('0x' || substr(hex, (5 * i + 1)::BIGINT, 5))::BIGINT) AS parts FROM f)
+SELECT page_id, octet_length(body)::BIGINT AS payload_bytes,
+  array_to_string(flatten(list_transform(parts, lambda x: list_transform([15, 10, 5, 0],
+    lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> s) & 31) + 1, 1)))), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to, true AS sound
+FROM d
+"""
