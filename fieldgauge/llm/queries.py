@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldgauge.llm import alignment, decontaminate, lines, mixing, preference, ranking, secret_scan, simhash, statements, substrings
-from fieldgauge.llm import syncmers, tokens, warc
+from fieldgauge.llm import syncmers, tokens, warc, whitening
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -108,6 +108,11 @@ def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(table(spark, folder, "embeddings")))
+
+
 @stated(statements.ARCHIVE)
 def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive(table(spark, folder, "pages")).select(
