@@ -12,7 +12,8 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,10 @@ from fieldgauge.session import materialise
 #: distinct pairs whose counts are sent to every worker (16 bytes each); more are joined
 MOST_PAIRS = 4_000_000
 #: chunks whose alignment a Python worker remembers, of so many characters at most
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 _LONG = 64
+#: characters of text whose chunks are looked at together
+_SECTION = 1_000_000
 #: pairs that a task of the first pass holds before it hands their counts on
 _HELD = 1_000_000
 _LOW = 0xFFFFFFFF
@@ -39,6 +42,11 @@ _CUT = re.compile(r"(?<=[^ ]) (?=\S)")
 _UNEVEN = re.compile(r"^ | (?:\s|$)")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 _SPACE = "▁"
+#: the end of the Latin letters
+_KNOWN = "\u0250"
+
+# fixed value: the words of byte-level vocabularies
+BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_symbols() -> dict[str, int]:
@@ -51,15 +59,47 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+@lru_cache(maxsize=2)
+def ranks_of(byte_level: str) -> dict[bytes, int] | None:
+    """The tokens' bytes and ids, if merging by the lowest id gives what the merge list gives.
+
+    It does if the merges make their tokens in the order of the ids, from single bytes on, and
+    every token is made from its own bytes: then wherever two neighbours spell a token, they are
+    that token's own merge, as they would be if the token stood alone.
+    """
+    from tokenizers import Tokenizer, models
+
+    model = json.loads(byte_level)["model"]
+    vocab = model["vocab"]
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    made = [vocab.get(a + b, -1) for a, b in merges]
+    symbols = byte_symbols()
+    bases = sorted(vocab.get(c, -1) for c in symbols)
+    if bases != list(range(256)) or made != list(range(256, 256 + len(merges))):
+        return None
+    alone = Tokenizer(models.BPE(vocab=vocab, merges=merges))
+    tokens = [t for t, i in vocab.items() if i < 256 + len(merges)]
+    if any(e.ids != [vocab[t]] for t, e in zip(tokens, alone.encode_batch(tokens))):
+        return None
+    return {bytes(symbols[c] for c in t): vocab[t] for t in tokens}
+
+
 class Aligner:
     """Both tokenizers over one text or chunk."""
 
-    def __init__(self, byte_level: str, pieces: bytes):
+    def __init__(self, byte_level: str, pieces: bytes, ranks: dict[bytes, int] | None = None):
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(byte_level)
-        self.a.encode_special_tokens = True  # their strings in a text are ordinary text
+        tokenizer = Tokenizer.from_str(byte_level)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.slow = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        self.quick = self.slow
+        if ranks:
+            self.quick = tiktoken.Encoding(
+                "ranks", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens={}
+            ).encode_ordinary
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         symbols = byte_symbols()
         names = {i: t for t, i in json.loads(byte_level)["model"]["vocab"].items()}
@@ -73,8 +113,7 @@ class Aligner:
             inside |= _SPACE in piece.lstrip(_SPACE)
         #: no piece reaches over the start of a word, so chunks can be encoded one by one
         self.chunked = not inside
-        self.a_size = np.array([len(b) for b in self.a_bytes], np.int64)
-        self.b_size = np.array([len(b) for b in self.b_bytes], np.int64)
+        self.a_size, self.b_size = _lengths(self.a_bytes), _lengths(self.b_bytes)
 
     def chunks(self, text: str) -> list[str]:
         """Parts of the text that both tokenizers encode as they do within it, less the space before each.
@@ -86,48 +125,70 @@ class Aligner:
             return [text]
         return _CUT.split(text) if _UNEVEN.search(text) else text.split(" ")
 
-    def align(self, chunk: str):
-        """None if the bytes of the tokens are not those of the text, else ids and links of both.
+    def encode(self, chunk: str) -> list[int]:
+        """A ids of a space and the chunk."""
+        # the classes of later characters differ between Unicode versions
+        quick = chunk and max(chunk) < _KNOWN
+        return self.quick(f" {chunk}") if quick else self.slow(f" {chunk}")
 
-        Returns the A ids, the B ids, the numbers of A and B tokens up to each common end, and
-        the linked pairs (A id << 32 | B id) in order, repeats included.
-        """
-        a = self.a.encode(f" {chunk}", add_special_tokens=False).ids
-        b = self.b.encode(chunk, num_threads=1)
-        given = f" {chunk}".encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != given or b"".join(map(self.b_bytes.__getitem__, b)) != given:
-            return None
-        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        ends_a, ends_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
-        # between two ends of either kind lies exactly one token of each
-        ends = np.union1d(ends_a, ends_b)
-        links = (ids_a[np.searchsorted(ends_a, ends)] << 32) | ids_b[np.searchsorted(ends_b, ends)]
-        common = np.intersect1d(ends_a, ends_b)
-        return a, b, np.searchsorted(ends_a, common, "right"), np.searchsorted(ends_b, common, "right"), links
+    def align(self, chunks: list[str]) -> Aligned:
+        a, b = list(map(self.encode, chunks)), self.b.encode(chunks, num_threads=1) if chunks else []
+        given = [f" {c}".encode() for c in chunks]
+        spelled = lambda ids, table: b"".join(map(table.__getitem__, ids))
+        good = [spelled(x, self.a_bytes) == g == spelled(y, self.b_bytes) for x, y, g in zip(a, b, given)]
+        if not all(good):
+            a, b, given = ([x for x, ok in zip(c, good) if ok] for c in (a, b, given))
+        return Aligned(good, a, b, np.cumsum(_lengths(given)), self.a_size, self.b_size)
 
 
-def _group_text(a: list[int], b: list[int], upto_a: np.ndarray, upto_b: np.ndarray) -> str:
-    out, i, k = [], 0, 0
-    for x, y in zip(upto_a.tolist(), upto_b.tolist()):
-        out.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[k:y]))}")
-        i, k = x, y
-    return ";".join(out)
+def _lengths(lists: list) -> np.ndarray:
+    return np.fromiter(map(len, lists), np.int64, len(lists))
 
 
-class _Remembered(dict):
-    """Chunk -> what ``make`` says of it; fills itself and stays bounded."""
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
 
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
 
-    def __missing__(self, chunk: str):
-        found = self.make(chunk)
-        if len(chunk) <= _LONG:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[chunk] = found
-        return found
+class Aligned:
+    """Chunks aligned side by side, as if they were one text; they end together for both.
+
+    ``good`` tells which chunks the tokens spell, all arrays are about those; ``links`` are the
+    linked pairs (A id << 32 | B id) in order, repeats included.  ``link_ends`` and ``group_ends``
+    count the links and the groups up to the end of each chunk, ``a_ends`` and ``b_ends`` the
+    tokens up to the end of each group.
+    """
+
+    def __init__(self, good: list[bool], a: list, b: list, chunk_ends: np.ndarray, a_size: np.ndarray, b_size: np.ndarray):
+        self.good = good
+        self.a, self.b, self.n_a, self.n_b = _flat(a), _flat(b), _lengths(a), _lengths(b)
+        ends_a, ends_b = np.cumsum(a_size[self.a]), np.cumsum(b_size[self.b])
+        # between two ends of either kind lies exactly one token of each
+        ends = np.union1d(ends_a, ends_b)
+        self.links = (self.a[np.searchsorted(ends_a, ends)] << 32) | self.b[np.searchsorted(ends_b, ends)]
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        self.link_ends = np.searchsorted(ends, chunk_ends, "right")
+        self.group_ends = np.searchsorted(common, chunk_ends, "right")
+        self.a_ends, self.b_ends = np.searchsorted(ends_a, common, "right"), np.searchsorted(ends_b, common, "right")
+
+    def of_chunks(self, ends: np.ndarray, values: list) -> Iterator[list]:
+        """The values of each good chunk."""
+        start = 0
+        for end in ends.tolist():
+            yield values[start:end]
+            start = end
+
+    def group_texts(self) -> list[str]:
+        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
+        out, i, k = [], 0, 0
+        for x, y in zip(self.a_ends.tolist(), self.b_ends.tolist()):
+            out.append(f"{','.join(a[i:x])}|{','.join(b[k:y])}")
+            i, k = x, y
+        return out
+
+    def spread(self, found) -> list:
+        """What was found for the good chunks, None for the others."""
+        found = iter(found)
+        return [next(found) if ok else None for ok in self.good]
 
 
 def _texts(column) -> Iterator[str | None]:
@@ -139,36 +200,70 @@ def _texts(column) -> Iterator[str | None]:
             yield None
 
 
-@lru_cache(maxsize=1)
-def _aligner(byte_level: str, pieces: bytes) -> Aligner:
-    """Kept by the Python worker, which serves many tasks."""
-    return Aligner(byte_level, pieces)
+class _Entries:
+    """What each chunk adds to its document; None where its bytes differ.  Kept between batches."""
+
+    def __init__(self, aligner: Aligner, describe):
+        self.aligner, self.describe = aligner, describe
+        self.held: dict = {}
+
+    def of(self, texts: list[str | None]) -> Iterator[list]:
+        """For each text the entries of its chunks; a text without tokens has one None."""
+        aligner = self.aligner
+        chunks = [aligner.chunks(t) if t else None for t in texts]
+        if len(self.held) > REMEMBERED:
+            self.held.clear()
+        held = self.held
+        new = list({c for some in chunks if some for c in some if c not in held})
+        held.update(zip(new, self.describe(aligner.align(new))))
+        for some in chunks:
+            yield [held[c] for c in some] if some else [None]
+        for chunk in new:
+            if len(chunk) > _LONG:
+                del held[chunk]
+
+
+def _sections(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Runs of rows with a bounded length of text, so that their chunks fit in memory."""
+    for batch in batches:
+        start = size = 0
+        texts: list[str | None] = []
+        for text in _texts(batch.column("text")):
+            texts.append(text)
+            size += len(text or "")
+            if size > _SECTION:
+                yield batch.slice(start, len(texts)), texts
+                start, size, texts = start + len(texts), 0, []
+        if texts:
+            yield batch.slice(start, len(texts)), texts
+
+
+def _pair_tuples(found: Aligned) -> list[tuple | None]:
+    return found.spread(tuple(set(x)) for x in found.of_chunks(found.link_ends, found.links.tolist()))
 
 
 @lru_cache(maxsize=1)
-def _pair_sets(byte_level: str, pieces: bytes) -> _Remembered:
-    aligner = _aligner(byte_level, pieces)
+def _aligner(run: int, held) -> Aligner:
+    """Kept by the Python worker, which serves many tasks, for the broadcast with number ``run``."""
+    return Aligner(*held.value)
 
-    def make(chunk: str) -> frozenset[int] | None:
-        found = aligner.align(chunk)
-        return None if found is None else frozenset(found[4].tolist())
 
-    return _Remembered(make)
+@lru_cache(maxsize=1)
+def _pair_entries(run: int, held) -> _Entries:
+    return _Entries(_aligner(run, held), _pair_tuples)
+
 
+def _sent(spark: SparkSession, byte_level: str, pieces: bytes):
+    return spark.sparkContext.broadcast((byte_level, pieces, ranks_of(byte_level)))
 
-def _documents_pairs(text: str | None, aligner: Aligner, sets: _Remembered) -> set[int]:
-    if not text:
-        return set()
-    found = [sets[c] for c in set(aligner.chunks(text))]
-    if None in found:  # a chunk's bytes differ, so the text's do
-        return set()
-    return set().union(*found)
 
+def pair_counts(docs: DataFrame, files) -> DataFrame:
+    """pair (A id << 32 | B id) and n, the documents of a task that hold it linked; pairs repeat.
 
-def pair_counts(docs: DataFrame, byte_level: str, pieces: bytes) -> DataFrame:
-    """pair (A id << 32 | B id) and n, the documents of a task that hold it linked; pairs repeat."""
+    ``files`` is the broadcast of what an ``Aligner`` is made from.
+    """
     importable(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast((byte_level, pieces))
+    run_id = files._jbroadcast.id()
 
     def batch_of(counts: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -176,11 +271,13 @@ def pair_counts(docs: DataFrame, byte_level: str, pieces: bytes) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, sets = _aligner(*held.value), _pair_sets(*held.value)
+        entries = _pair_entries(run_id, files)
         counts: Counter = Counter()
-        for batch in batches:
-            for text in _texts(batch.column("text")):
-                counts.update(_documents_pairs(text, aligner, sets))
+        for _, texts in _sections(batches):
+            for found in entries.of(texts):
+                distinct = set(found)
+                if None not in distinct:  # else a chunk's bytes differ, so the text's do
+                    counts.update(set().union(*distinct))
             if len(counts) > _HELD:
                 yield batch_of(counts)
                 counts.clear()
@@ -222,60 +319,56 @@ class Counts:
         self.best = np.zeros(int(numbers.keys.max() >> 32) + 1 if len(numbers.keys) else 1, np.int64)
         np.maximum.at(self.best, numbers.keys >> 32, counts)
 
-    def of(self, links: np.ndarray) -> tuple[int, int]:
-        """Links with the highest count of their A id, and the sum of all counts."""
-        at = self.numbers.index(links)
+    def of(self, found: Aligned) -> tuple[list[int], list[int]]:
+        """Of each chunk the links with the highest count of their A id, and the sum of all counts."""
+        if not len(found.links):
+            return [], []
+        at = self.numbers.index(found.links)
         if (at < 0).any():
             raise RuntimeError("a linked pair was not counted in the first pass")
         n = self.counts[at]
-        return int((n == self.best[links >> 32]).sum()), int(n.sum())
+        starts = np.concatenate(([0], found.link_ends[:-1]))  # every chunk has links
+        top = (n == self.best[found.links >> 32]).astype(np.int64)
+        return np.add.reduceat(top, starts).tolist(), np.add.reduceat(n, starts).tolist()
 
 
 _SUMS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 _SCHEMA = ", ".join(f"{c} bigint" for c in ["doc_id", *_SUMS]) + ", `groups` string"
 
 
-def _entries(aligner: Aligner, counts: Counts | None) -> _Remembered:
-    """Chunk -> (sums, text of its groups, linked pairs), None where the bytes differ."""
-
-    def make(chunk: str):
-        found = aligner.align(chunk)
-        if found is None:
-            return None
-        a, b, upto_a, upto_b, links = found
-        best, total = counts.of(links) if counts else (0, 0)
-        pairs = None if counts else links.tolist()
-        return (len(a), len(b), len(upto_a), len(links), best, total), _group_text(a, b, upto_a, upto_b), pairs
-
-    return _Remembered(make)
+def _describe(counts: Counts | None, found: Aligned) -> list:
+    """(sums, text of the groups, linked pairs) of each chunk."""
+    n = len(found.n_a)
+    best, total = counts.of(found) if counts else ([0] * n, [0] * n)
+    sums = zip(found.n_a.tolist(), found.n_b.tolist(), np.diff(found.group_ends, prepend=0).tolist(),
+               np.diff(found.link_ends, prepend=0).tolist(), best, total)
+    texts = map(";".join, found.of_chunks(found.group_ends, found.group_texts()))
+    pairs = repeat(None) if counts else found.of_chunks(found.link_ends, found.links.tolist())
+    return found.spread(zip(sums, texts, pairs))
 
 
 @lru_cache(maxsize=1)
-def _counting(run: int, held) -> tuple[Aligner, _Remembered]:
-    """Kept by the Python worker for the broadcast with number ``run``."""
-    byte_level, pieces, numbers, counts = held.value
-    aligner = _aligner(byte_level, pieces)
-    return aligner, _entries(aligner, Counts(numbers, counts) if numbers is not None else None)
+def _counting(run: int, files, numbered) -> _Entries:
+    """Kept by the Python worker, as ``_aligner``."""
+    found = Counts(*numbered.value) if numbered is not None else None
+    return _Entries(_aligner(run, files), partial(_describe, found))
 
 
-def _aligned(docs: DataFrame, held, with_pairs: bool) -> DataFrame:
-    """The sums and groups of every row; with the linked pairs where counts are joined later."""
-    run_id = held._jbroadcast.id()
+def _aligned(docs: DataFrame, files, numbered=None) -> DataFrame:
+    """The sums and groups of every row; without numbered counts, also its linked pairs."""
+    run_id, with_pairs = files._jbroadcast.id(), numbered is None
 
-    def document(text: str | None, aligner: Aligner, entries: _Remembered):
-        found = [entries[c] for c in aligner.chunks(text)] if text else [None]
+    def document(found: list):
         if None in found:
             return (0,) * len(_SUMS), "", []
         sums, groups, pairs = zip(*found)
-        linked = Counter(p for some in pairs for p in some) if with_pairs else {}
+        linked = Counter(chain.from_iterable(pairs)) if with_pairs else {}
         return tuple(map(sum, zip(*sums))), ";".join(groups), list(linked.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, entries = _counting(run_id, held)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sums, groups, pairs = zip(*(document(t, aligner, entries) for t in _texts(batch.column("text"))))
+        entries = _counting(run_id, files, numbered)
+        for batch, texts in _sections(batches):
+            sums, groups, pairs = zip(*map(document, entries.of(texts)))
             columns = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in zip(*sums)), pa.array(groups, pa.string())]
             names = ["doc_id", *_SUMS, "groups"]
             if with_pairs:
@@ -289,10 +382,10 @@ def _aligned(docs: DataFrame, held, with_pairs: bool) -> DataFrame:
     return slim.mapInArrow(run, _SCHEMA + more)
 
 
-def _joined(docs: DataFrame, pairs: DataFrame, held) -> DataFrame:
+def _joined(docs: DataFrame, pairs: DataFrame, files) -> DataFrame:
     """The same result with the counts as a table, for more pairs than are sent to the workers."""
     rows = materialise(
-        _aligned(docs, held, True).withColumn("row", F.monotonically_increasing_id()), "aligned"
+        _aligned(docs, files).withColumn("row", F.monotonically_increasing_id()), "aligned"
     )
     counts = materialise(pairs.groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     best = counts.groupBy(F.shiftright("pair", 32).alias("a")).agg(F.max("n").alias("most"))
@@ -333,11 +426,12 @@ def align(docs: DataFrame, byte_level: str, pieces: bytes, most_pairs: int = MOS
     most, and are joined as a table beyond that.
     """
     spark: SparkSession = docs.sparkSession
-    pairs = materialise(pair_counts(docs, byte_level, pieces), "pairs")
+    files = _sent(spark, byte_level, pieces)
+    pairs = materialise(pair_counts(docs, files), "pairs")
     distinct = materialise(pairs.select("pair").distinct(), "pairs")
     n = distinct.count()
     if n > most_pairs:
-        return _joined(docs, pairs, spark.sparkContext.broadcast((byte_level, pieces, None, None)))
+        return _joined(docs, pairs, files)
     numbers = perfect_hash(distinct, "pair", n)
     counts = dense_counts(pairs, numbers)
-    return _aligned(docs, spark.sparkContext.broadcast((byte_level, pieces, numbers, counts)), False)
+    return _aligned(docs, files, spark.sparkContext.broadcast((numbers, counts)))

@@ -30,12 +30,27 @@ def aligner(files):
     return alignment.Aligner(*files)
 
 
+def test_quick_encoding_is_the_vocabularys_own(files, aligner):
+    ranks = alignment.ranks_of(files[0])
+    assert ranks is not None
+    quick = alignment.Aligner(*files, ranks)
+    deal = random.Random(4)
+    for text in ODD_TEXTS + ["".join(chr(deal.randrange(1, 0x250)) for _ in range(40)) for _ in range(300)]:
+        assert quick.quick(text) == aligner.slow(text), text
+    # a merge list in another order than the ids has no ranks
+    import json
+
+    other = json.loads(files[0])
+    other["model"]["merges"] = other["model"]["merges"][:5] + other["model"]["merges"][4:]
+    assert alignment.ranks_of(json.dumps(other)) is None
+
+
 def plain(aligner, texts):
     """Rows of the result by encoding whole texts and walking over single bytes."""
     found = []
     for text in texts:
         whole = f" {text}".encode() if text else b""
-        a = aligner.a.encode(f" {text}", add_special_tokens=False).ids if text else []
+        a = aligner.slow(f" {text}") if text else []
         b = aligner.b.encode(text) if text else []
         spelled = [b"".join(aligner.a_bytes[i] for i in a), b"".join(aligner.b_bytes[i] for i in b)]
         found.append((a, b) if text and spelled == [whole, whole] else ([], []))
