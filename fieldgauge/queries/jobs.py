@@ -39,15 +39,23 @@ def _(t):
     )
 
 
+CHUNK_FILES = "location_id=*/year=*/*.parquet"
+
+
+def s_chunks(t, where) -> tuple[str, str]:
+    """A lake of one file per site and year, and a journal with the records of some."""
+    base = staging_path(t.spark, "chunks")
+    lake.write_chunks(t.s, f"{base}/data")
+    lake.commit_chunks(t.spark, f"{base}/data", f"{base}/commits", CHUNK_FILES, where)
+    return f"{base}/data", f"{base}/commits"
+
+
 @query("src2_committed_scan", f"""
 SELECT location_id, count(*) AS n_rows, {r('avg(reading)')} AS reading FROM s WHERE location_id <> 'error' GROUP BY 1""")
 def _(t):
-    root = s_lake(t)
     # commit records for all files but those of one site
-    commits = lake.read_lake(t.spark, root).filter("location_id <> 'error'").select(
-        F.col("_metadata.file_path").alias("path")
-    ).distinct()
-    rows = lake.committed_scan(t.spark, root, commits, "location_id=*/year=*/*.parquet")
+    root, journal = s_chunks(t, F.col("location_id") != "error")
+    rows = lake.committed_scan(t.spark, root, lake.commit_records(t.spark, journal), CHUNK_FILES)
     return rows.groupBy("location_id").agg(F.count(F.lit(1)).alias("n_rows"), F.avg("reading").alias("reading"))
 
 
@@ -222,24 +230,40 @@ def _(t):
 
 
 @query("plan3_verify_chunks", """
-SELECT location_id, CASE WHEN latitude < -6 THEN 'absent' WHEN latitude < 0 THEN 'half_committed'
-       WHEN latitude < 4 THEN 'mismatch' ELSE 'verified' END AS status FROM w_sites
-UNION ALL SELECT location_id, 'unplanned' FROM u_sites WHERE location_id NOT IN (SELECT location_id FROM w_sites)""")
-def _(t):
-    digest = lambda name: F.sha2(F.col("name"), 256).alias(name)
-    plan = t.w_sites.select("location_id")
-    found = t.w_sites.select("location_id", "name", "latitude").filter("latitude >= -6")
-    extra = t.u_sites.join(plan, "location_id", "left_anti").select("location_id", "name", F.lit(12.0).alias("latitude"))
-    files = found.unionByName(extra)
-    records = files.filter("latitude >= 0").withColumn(
-        "name", F.when(F.col("latitude") < 4, F.concat("name", F.lit("?"))).otherwise(F.col("name"))
-    )
+, c AS (SELECT DISTINCT location_id, year(timestamp) AS year FROM s)
+SELECT location_id, year, CASE location_id WHEN 'error' THEN 'half_committed' WHEN 'view' THEN 'mismatch'
+       WHEN 'click' THEN 'unplanned' ELSE 'verified' END AS status FROM c
+UNION ALL SELECT location_id, year + 1, 'absent' FROM c WHERE location_id <> 'click'""")
+def _(t):
+    # one site without records, one whose files are replaced after their records, one not planned
+    root, journal = s_chunks(t, F.col("location_id") != "error")
+    rewrite_chunks(t, root, "view")
+    named = lambda df: df.withColumns({
+        "location_id": F.regexp_extract("path", "location_id=([^/]*)/", 1),
+        "year": F.regexp_extract("path", "year=([0-9]+)/", 1).cast("int"),
+    })
+    planned = t.s.filter("location_id <> 'click'").select("location_id", F.year("timestamp").alias("year")).distinct()
+    plan = planned.unionByName(planned.withColumn("year", F.col("year") + 1))
     return planning.verify_chunks(
-        plan, files.select("location_id", digest("sha256")), records.select("location_id", digest("recorded_sha256")),
-        ["location_id"],
+        plan, named(lake.data_files(t.spark, root, digest=True, pattern=CHUNK_FILES)),
+        named(lake.commit_records(t.spark, journal).drop("location_id")), ["location_id", "year"],
     )
 
 
+def rewrite_chunks(t, root: str, site: str) -> None:
+    """Put other content under the names of a site's data files."""
+    files = lake.data_files(t.spark, root, pattern=f"location_id={site}/year=*/*.parquet")
+    jvm, conf = t.spark.sparkContext._jvm, t.spark.sparkContext._jsc.hadoopConfiguration()
+    for row in files.collect():  # one name per year
+        path = jvm.org.apache.hadoop.fs.Path(row.path)
+        other = staging_path(t.spark, "altered")
+        t.spark.read.parquet(row.path).withColumn("volume", F.lit(0.0)).coalesce(1).write.parquet(other)
+        written = t.spark.read.format("binaryFile").load(f"{other}/*.parquet").select("path").first().path
+        system = path.getFileSystem(conf)
+        system.delete(path, False)
+        system.rename(jvm.org.apache.hadoop.fs.Path(written), path)
+
+
 # --------------------------------------------------------------------- jobs ----
 
 U_SPEC = {
@@ -420,24 +444,29 @@ def _(t):
 
 
 @query("str2_complete_day_stream", f"""
-, day AS (SELECT location_id, CAST(timestamp AS DATE) AS date, CASE WHEN count(reading) = 24 THEN avg(reading) END AS reading,
-     count(reading) AS reading_hours, CASE WHEN count(volume) = 24 THEN sum(volume) END AS volume, count(volume) AS volume_hours
-  FROM s GROUP BY 1, 2)
-SELECT location_id, date, {r('reading')} AS reading, reading_hours, {r('volume')} AS volume, volume_hours FROM day
-WHERE date < (SELECT CAST(max(timestamp) AS DATE) - 2 FROM s)""")
+, day AS (SELECT location_id, CAST(timestamp AS DATE) AS date, count(DISTINCT timestamp) AS hours,
+     CASE WHEN count(reading) = 24 THEN avg(reading) END AS reading, count(reading) AS reading_hours,
+     CASE WHEN count(volume) = 24 THEN sum(volume) END AS volume, count(volume) AS volume_hours
+  FROM s WHERE location_id <> 'error' GROUP BY 1, 2)
+SELECT location_id, date, {r('reading')} AS reading, reading_hours, {r('volume')} AS volume, volume_hours, hours = 24 AS streamed FROM day""")
 def _(t):
+    # the files of one site have no records, and the records come after the files
+    metrics = {"reading": "mean", "volume": "sum"}
+    root, journal = s_chunks(t, F.col("location_id") != "error")
+    schema = t.spark.read.option("basePath", root).parquet(root).schema
+    hours = complete_days.arriving_hours(t.spark, root, schema, CHUNK_FILES)
+    days = complete_days.complete_day_stream(hours, complete_days.arriving_commits(t.spark, journal), metrics)
     base = staging_path(t.spark, "days")
-    t.s.write.parquet(f"{base}/in")
-    stream = complete_days.committed_stream(t.spark, f"{base}/in", t.s.schema)
-    days = complete_days.complete_day_stream(stream, {"reading": "mean", "volume": "sum"})
     days.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(
         f"{base}/out", format="parquet", outputMode="append"
     ).awaitTermination()
-    closed = F.date_sub(F.to_date(t.s.agg(F.max("timestamp")).scalar()), 2)
-    return t.spark.read.schema(days.schema).parquet(f"{base}/out").filter(F.col("date") < closed)
+    streamed = t.spark.read.schema(days.schema).parquet(f"{base}/out")
+    committed = lake.committed_scan(t.spark, root, lake.commit_records(t.spark, journal), CHUNK_FILES)
+    rest = complete_days.open_days(committed, streamed, metrics)
+    return streamed.withColumn("streamed", F.lit(True)).unionByName(rest.withColumn("streamed", F.lit(False)))
 
 
-@query("str2_complete_day_stream_all", f"""
+@query("str2_closed_day_stream", f"""
 , day AS (SELECT location_id, CAST(timestamp AS DATE) AS date, CASE WHEN count(reading) = 24 THEN avg(reading) END AS reading,
      count(reading) AS reading_hours, CASE WHEN count(volume) = 24 THEN sum(volume) END AS volume, count(volume) AS volume_hours
   FROM s GROUP BY 1, 2)
@@ -446,8 +475,7 @@ def _(t):
     base = staging_path(t.spark, "days")
     t.s.write.parquet(f"{base}/in")
     metrics = {"reading": "mean", "volume": "sum"}
-    stream = complete_days.committed_stream(t.spark, f"{base}/in", t.s.schema)
-    days = complete_days.complete_day_stream(stream, metrics)
+    days = complete_days.closed_day_stream(t.spark.readStream.schema(t.s.schema).parquet(f"{base}/in"), metrics)
     days.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(
         f"{base}/out", format="parquet", outputMode="append"
     ).awaitTermination()

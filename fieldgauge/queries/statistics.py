@@ -130,22 +130,15 @@ def _(t):
     return resampling.rotation_test(y6_ranks(t), ["location_id"])
 
 
-# cells: one calendar month, a row of daily values per complete year
-CELL_SQL = """
+# cells: one calendar month, a row of daily values per year in which the month is complete, leap day aside
+CELLS_SQL = """
 , cell AS (SELECT month(date) AS month, year(date) AS year, day(date) AS day, value FROM y_global
-           WHERE year(date) IN (1995, 1996) AND NOT (month(date) = 2 AND day(date) = 29))
+           WHERE NOT (month(date) = 2 AND day(date) = 29) QUALIFY count(*) OVER (PARTITION BY year(date), month(date)) =
+                 least(day(last_day(date)), CASE WHEN month(date) = 2 THEN 28 ELSE 31 END))
 , med AS (SELECT month, year, median(value) AS m FROM cell GROUP BY 1, 2)
 , cen AS (SELECT month, year, day, value, value - m AS c, abs(value - m) AS d FROM cell JOIN med USING (month, year))"""
 
 
-# the same over every year in which the month is complete, leap day aside
-CELLS_SQL = CELL_SQL.replace(
-    "year(date) IN (1995, 1996) AND NOT (month(date) = 2 AND day(date) = 29)",
-    "NOT (month(date) = 2 AND day(date) = 29) QUALIFY count(*) OVER (PARTITION BY year(date), month(date)) = "
-    "least(day(last_day(date)), CASE WHEN month(date) = 2 THEN 28 ELSE 31 END)",
-)
-
-
 def complete_cell_days(t):
     from fieldgauge.operators.filters import drop_leap_day
 
@@ -163,18 +156,6 @@ def complete_cells(t):
     return reshape.matrix_array(complete_cell_days(t), ["month"], "year", "day", "value")
 
 
-def cell_days(t):
-    from fieldgauge.operators.filters import drop_leap_day
-
-    return drop_leap_day(t.y_global.filter(F.year("date").isin(1995, 1996))).select(
-        F.month("date").alias("month"), F.year("date").alias("year"), F.dayofmonth("date").alias("day"), "value"
-    )
-
-
-def cells(t):
-    return reshape.matrix_array(cell_days(t), ["month"], "year", "day", "value")
-
-
 def f_sql(source: str, keys: str, label: str, value: str, name: str) -> str:
     """One-way F with equal group sizes, as CTE ``name``."""
     return f"""
@@ -238,22 +219,6 @@ def _(t):
     )
 
 
-@query("stat10_exact_exchange", CELL_SQL + f"""
-, masks AS (SELECT DISTINCT c.month, k FROM (SELECT month, max(day) AS last FROM cell GROUP BY 1) c, range(0, 2048) x(k)
-            WHERE k < pow(2, ceil(last / 7)))
-, mv AS (SELECT c.month, k, (year - 1995 + ((k >> ((day - 1) // 7)) & 1)) % 2 AS label, day, value, c FROM cen c JOIN masks USING (month))
-, mm AS (SELECT month, k, label, median(c) AS m FROM mv GROUP BY 1, 2, 3)
-, md AS (SELECT mv.month, mv.k, mv.label, value, abs(c - m) AS d FROM mv JOIN mm USING (month, k, label))
-""" + f_sql("md", "month, k", "label", "value", "lf") + f_sql("md", "month, k", "label", "d", "sf") + f"""
-, ol AS (SELECT month, f FROM lf WHERE k = 0) , os AS (SELECT month, f FROM sf WHERE k = 0)
-SELECT lf.month, count(*) AS assignments, {r('any_value(ol.f)')} AS level_f,
-       {r('avg(CASE WHEN lf.f >= ol.f - 1e-9 THEN 1.0 ELSE 0.0 END)')} AS level_p, {r('any_value(os.f)')} AS spread_f,
-       {r('avg(CASE WHEN sf.f >= os.f - 1e-9 THEN 1.0 ELSE 0.0 END)')} AS spread_p
-FROM lf JOIN sf USING (month, k) JOIN ol USING (month) JOIN os USING (month) GROUP BY 1""")
-def _(t):
-    return resampling.exact_exchange(cells(t), ["month"], 7)
-
-
 # a cell for each month and pair of consecutive years in which the month is complete
 PAIRS_SQL = CELLS_SQL[: CELLS_SQL.index("\n, med AS")].replace(", cell AS (", ", whole AS (") + """
 , cell AS (SELECT year - o AS first_year, month, year, day, value FROM whole, range(0, 2) y(o)
@@ -270,7 +235,7 @@ def paired_cells(t):
     return reshape.matrix_array(paired, ["first_year", "month"], "year", "day", "value")
 
 
-@query("stat10_exact_exchange_every_pair", PAIRS_SQL + f"""
+@query("stat10_exact_exchange", PAIRS_SQL + f"""
 , masks AS (SELECT DISTINCT c.first_year, c.month, k
             FROM (SELECT first_year, month, max(day) AS last FROM cell GROUP BY 1, 2) c, range(0, 2048) x(k)
             WHERE k < pow(2, ceil(last / 7)))

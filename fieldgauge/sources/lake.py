@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fieldgauge.operators.filters import require_columns
 from fieldgauge.functions.scalars import valid_site_id
 from fieldgauge.schemas import (
     CATALOGUE_SCHEMA, HOURLY_VARIABLES, METRIC_CATALOGUE, SITE_CSV_SCHEMA,
 )
+from fieldgauge.session import path_exists
 
 
 def read_lake(spark: SparkSession, root: str, files: Sequence[str] | None = None) -> DataFrame:
@@ -44,7 +46,9 @@ def sidecars(spark: SparkSession, root: str) -> DataFrame:
     beside it, the request, the recorded digest and the data file.
 
     Spark's listing hides names that start with an underscore.  The records are small and
-    sit beside their data files, so the tasks that hold the file names open them.
+    sit beside their data files, so the tasks that hold the file names open them, through a
+    library that knows local, HDFS, S3, GCS and Azure paths.  Lakes in other stores keep their
+    records in a journal (:func:`commit_chunks`), which Spark itself reads.
     """
 
     def read(batches):
@@ -56,7 +60,9 @@ def sidecars(spark: SparkSession, root: str) -> DataFrame:
             for path in batch["path"]:
                 folder, name = path.rsplit("/", 1)
                 record = name.replace("weather", "_source", 1).replace(".parquet", ".json")
-                system, target = fs.FileSystem.from_uri(f"{folder}/{record}")
+                # the same store under the names that Hadoop gives its connectors
+                uri = re.sub("^s3[an]:", "s3:", f"{folder}/{record}")
+                system, target = fs.FileSystem.from_uri(uri)
                 if system.get_file_info(target).type == fs.FileType.File:
                     with system.open_input_stream(target) as stream:
                         found.append((path, stream.read().decode()))
@@ -73,19 +79,75 @@ def sidecars(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def data_files(spark: SparkSession, root: str, digest: bool = False) -> DataFrame:
-    """Paths of the data files (and their SHA-256 when asked; otherwise no content is read)."""
-    files = spark.read.format("binaryFile").load(f"{root}/location_id=*/year=*/weather*.parquet")
-    name = F.regexp_replace("path", "^file:/+", "/")
+DATA_PATTERN = "location_id=*/year=*/weather*.parquet"
+
+
+def local_path(path: Column | str) -> Column:
+    """File names as both readers and records write them: local ones without a scheme."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def data_files(spark: SparkSession, root: str, digest: bool = False, pattern: str = DATA_PATTERN) -> DataFrame:
+    """Paths of the data files (and their SHA-256 when asked; otherwise no content is read).
+
+    A digest is made by the task that reads the file; a file above 2 GB is refused by the source.
+    """
+    files = spark.read.format("binaryFile").load(f"{root}/{pattern}")
+    name = local_path("path")
     out = [name.alias("path")]
     if digest:
         out.append(F.sha2("content", 256).alias("sha256"))
     return files.select(*out)
 
 
+#: a record of a published file: what it holds, its digest and where it lies
+COMMIT_SCHEMA = T.StructType([T.StructField("path", T.StringType()), *RECORD_SCHEMA.fields])
+
+
+def write_chunks(df: DataFrame, root: str, site: str = "location_id", ts: str = "timestamp") -> None:
+    """Readings as one data file per site and year, below directories of those names.
+
+    A file is visible by its name only when it is whole, but counts only with its record.
+    """
+    chunks = df.withColumn("year", F.year(ts)).repartition(site, "year")
+    chunks.write.mode("append").partitionBy(site, "year").parquet(root)
+
+
+def commit_chunks(
+    spark: SparkSession, root: str, journal: str, pattern: str = DATA_PATTERN, where: Column | None = None,
+    site: str = "location_id", ts: str = "timestamp",
+) -> None:
+    """Append a record for each data file below ``root`` that has none yet and fulfils ``where``.
+
+    Records are JSON lines in the folder ``journal``, written after the data.  Their names are
+    not hidden, so Spark's file sources, batch or streaming, read them from any file system, and
+    the digests are made where the files are read; nothing of a file passes through the driver.
+    """
+    held = commit_records(spark, journal)
+    open_files = data_files(spark, root, digest=True, pattern=pattern).join(held.select("path"), "path", "left_anti")
+    rows = spark.read.option("basePath", root).parquet(f"{root}/{pattern}")
+    if where is not None:
+        rows = rows.filter(where)
+    asked = rows.withColumn("path", local_path(F.col("_metadata.file_path"))).groupBy("path").agg(
+        F.struct(F.first(F.col(site).cast("string")).alias("location_id"), F.to_date(F.min(ts)).alias("start"),
+                 F.to_date(F.max(ts)).alias("end")).alias("request")
+    )
+    open_files.join(asked, "path").select("path", "sha256", "request").write.mode("append").json(journal)
+
+
+def commit_records(spark: SparkSession, journal: str) -> DataFrame:
+    """path, location_id, start, end, recorded_sha256 of each record; none before the first commit."""
+    found = (
+        spark.read.schema(COMMIT_SCHEMA).json(journal) if path_exists(spark, journal)
+        else spark.createDataFrame([], COMMIT_SCHEMA)
+    )
+    return found.select(
+        "path", "request.location_id", "request.start", "request.end", F.col("sha256").alias("recorded_sha256")
+    )
+
+
 def committed_scan(
-    spark: SparkSession, root: str, commits: DataFrame | None = None,
-    pattern: str = "location_id=*/year=*/weather*.parquet",
+    spark: SparkSession, root: str, commits: DataFrame | None = None, pattern: str = DATA_PATTERN,
 ) -> DataFrame:
     """Readings of committed files only: a data file without its record is ignored.
 
@@ -93,12 +155,11 @@ def committed_scan(
     its file, so a semi join keeps the committed ones and no list of paths passes through
     the driver; partition columns and column pruning still apply.
     """
-    local = lambda c: F.regexp_replace(c, "^file:/+", "/")
     records = sidecars(spark, root) if commits is None else commits
-    done = records.select(local(F.col("path")).alias("_file")).distinct()
+    done = records.select(local_path("path").alias("_file")).distinct()
     rows = spark.read.option("basePath", root).parquet(f"{root}/{pattern}")
     return (
-        rows.withColumn("_file", local(F.col("_metadata.file_path")))
+        rows.withColumn("_file", local_path(F.col("_metadata.file_path")))
         .join(done, "_file", "left_semi")
         .drop("_file")
     )

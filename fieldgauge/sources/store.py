@@ -18,6 +18,7 @@ from fieldgauge.operators.filters import require_columns
 from fieldgauge.operators.joins import orphans
 from fieldgauge.operators.quality import not_null, unique_grain
 from fieldgauge.schemas import PUBLISHED_TABLES, VERSION_PATTERN
+from fieldgauge.session import path_exists
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -32,12 +33,6 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     writer.parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists, on whatever file system it names."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def is_table(spark: SparkSession, path: str) -> bool:
     """Whether a finished Parquet write lies there (its success marker is written last)."""
     return path_exists(spark, f"{path}/_SUCCESS")

@@ -2,7 +2,8 @@
 
 import hashlib
 import json
-from datetime import datetime, timezone
+import os
+from datetime import datetime, timedelta, timezone
 
 import pandas as pd
 import pytest
@@ -207,15 +208,15 @@ def test_a_failed_writer_does_not_block_the_next(spark, tmp_path):
     assert store.finished_attempt(spark, str(tmp_path / "key")).endswith(path.rpartition("/")[2])
 
 
-def test_complete_day_stream(spark, tmp_path):
+def test_closed_day_stream(spark, tmp_path):
     hours = spark.range(24 * 5).select(
         F.lit("a").alias("location_id"),
         (F.lit("2024-01-01").cast("timestamp") + F.make_interval(hours=F.col("id").cast("int"))).alias("timestamp"),
         F.lit(2.0).alias("rain"))
     held = hours.filter("timestamp <> '2024-01-02 05:00:00'")
     held.unionByName(held).write.parquet(str(tmp_path / "in"))  # every hour twice
-    stream = complete_days.committed_stream(spark, str(tmp_path / "in"), hours.schema)
-    days = complete_days.complete_day_stream(stream, {"rain": "sum"}, "1 hour")
+    stream = spark.readStream.schema(hours.schema).parquet(str(tmp_path / "in"))
+    days = complete_days.closed_day_stream(stream, {"rain": "sum"}, "1 hour")
     days.writeStream.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start(
         str(tmp_path / "out"), format="parquet", outputMode="append").awaitTermination()
     got = sorted((r.date.day, r.rain, r.rain_hours) for r in spark.read.parquet(str(tmp_path / "out")).collect())
@@ -223,6 +224,93 @@ def test_complete_day_stream(spark, tmp_path):
     assert got == [(1, 48.0, 24), (2, None, 23), (3, 48.0, 24), (4, 48.0, 24)]
 
 
+class CommitLake:
+    """Files and records that arrive one by one, each at a stated time."""
+
+    FILES = "location_id=*/year=*/weather*.parquet"
+
+    def __init__(self, spark, base):
+        self.spark, self.base = spark, base
+        (base / "commits").mkdir()
+
+    def _arrive(self, path, day):
+        stamp = datetime(2025, 1, day, tzinfo=UTC).timestamp()
+        os.utime(path, (stamp, stamp))
+
+    def data(self, name, day, stamps, value=2.0, site="a"):
+        path = self.base / "data" / f"location_id={site}" / "year=2024" / f"weather-{name}.parquet"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        pd.DataFrame({"timestamp": pd.DatetimeIndex(stamps).as_unit("us"), "rain": value}).to_parquet(path, index=False)
+        self._arrive(path, day)
+        return path
+
+    def record(self, path, day, start, end, site="a"):
+        file = self.base / "commits" / f"{site}-{path.stem}.json"
+        file.write_text(json.dumps({"path": str(path), "sha256": "", "request": {"location_id": site, "start": start, "end": end}}))
+        self._arrive(file, day)
+
+    def run(self):
+        """The days that came out by now, after one more call of the stream."""
+        schema = "timestamp timestamp, rain double, location_id string, year int"
+        from pyspark.sql.types import _parse_datatype_string
+
+        hours = complete_days.arriving_hours(self.spark, str(self.base / "data"), _parse_datatype_string(schema), self.FILES)
+        commits = complete_days.arriving_commits(self.spark, str(self.base / "commits"))
+        days = complete_days.complete_day_stream(hours, commits, {"rain": "sum"}, "1 day", timedelta(days=5))
+        days.writeStream.option("checkpointLocation", str(self.base / "ck")).trigger(availableNow=True).start(
+            str(self.base / "out"), format="parquet", outputMode="append").awaitTermination()
+        found = self.spark.read.schema(days.schema).parquet(str(self.base / "out")).collect()
+        return sorted((r.location_id, r.date.day, r.rain, r.rain_hours) for r in found)
+
+
+def test_complete_day_stream(spark, tmp_path):
+    at = lambda start, n: pd.date_range(start, periods=n, freq="h", tz="UTC")
+    held = CommitLake(spark, tmp_path)
+    # a whole day and half of the next; the data comes before its record
+    first = held.data("1", 1, at("2024-03-01", 36))
+    assert held.run() == []
+    held.record(first, 1, "2024-03-01", "2024-03-02")
+    assert held.run() == [("a", 1, 48.0, 24)]
+    # the other half, with three hours again under other values, and a file that has no record
+    second = held.data("2", 2, at("2024-03-02 09:00", 15), 3.0)
+    held.data("3", 2, at("2024-03-03", 24))
+    held.record(second, 2, "2024-03-02", "2024-03-02")
+    whole = [("a", 1, 48.0, 24), ("a", 2, 12 * 2.0 + 12 * 3.0, 24)]
+    assert held.run() == whole
+    # an earlier year may come later; a day of 23 hours waits
+    short = held.data("4", 3, at("2023-06-05", 23), site="b")
+    old = held.data("5", 3, at("2022-06-07", 24), site="b")
+    held.record(short, 3, "2023-06-05", "2023-06-05", site="b")
+    held.record(old, 3, "2022-06-07", "2022-06-07", site="b")
+    whole.append(("b", 7, 48.0, 24))
+    assert held.run() == sorted(whole)
+    # later arrivals move the clock on: the incomplete day is closed, the file without record goes
+    for day in (12, 20):
+        later = held.data(f"9{day}", day, at(f"2024-05-{day}", 24), site="c")
+        held.record(later, day, f"2024-05-{day}", f"2024-05-{day}", site="c")
+        whole.append(("c", day, 48.0, 24))
+        held.run()
+    assert held.run() == sorted([*whole, ("b", 5, None, 23)])
+
+
+def test_commit_journal(spark, tmp_path):
+    rows = spark.range(60).select(
+        F.concat(F.lit("s"), F.col("id") % 3).alias("location_id"), F.col("id").cast("double").alias("v"),
+        (F.lit("2024-12-31").cast("timestamp") + F.make_interval(hours=F.col("id").cast("int"))).alias("timestamp"))
+    root, journal = str(tmp_path / "data"), str(tmp_path / "commits")
+    files = "location_id=*/year=*/*.parquet"
+    lake.write_chunks(rows, root)
+    assert lake.commit_records(spark, journal).count() == 0
+    lake.commit_chunks(spark, root, journal, files, F.col("location_id") == "s1")
+    lake.commit_chunks(spark, root, journal, files, F.col("location_id") != "s2")
+    records = lake.commit_records(spark, journal).collect()
+    assert sorted((r.location_id, str(r.start), str(r.end)) for r in records) == [
+        (s, a, b) for s in ("s0", "s1") for a, b in (("2024-12-31", "2024-12-31"), ("2025-01-01", "2025-01-02"))]
+    assert all(hashlib.sha256(open(r.path, "rb").read()).hexdigest() == r.recorded_sha256 for r in records)
+    committed = lake.committed_scan(spark, root, lake.commit_records(spark, journal), files)
+    assert committed.count() == 40 and committed.filter("location_id = 's2'").isEmpty()
+
+
 def test_only_select_is_run(spark):
     with pytest.raises(ValueError):
         lake.run_sql(spark, "DROP TABLE x")
