@@ -10,12 +10,12 @@ reference are routed to each other instead:
 2. The snippet of words around a repeated anchor, all windows that have it as theirs, goes to
    the anchor's shard.  There the snippets are streamed in corpus order through the suffix
    automaton of the shard's earlier snippets; where the matching statistic reaches ``length``
-   a window occurred before.  Words are compared, not hashes.
-3. Of documents with one text only the first is streamed; every window of the others starts
-   earlier there.
-4. An anchor of very many snippets would make one large shard.  It is split by whole snippets
-   and then by the windows of different ones, whose first places are minima aggregated before
-   the shuffle.
+   a window occurred before.  There words are compared, not hashes.
+3. Of documents with one text (by its 128-bit digest) only the first is streamed; every window
+   of the others starts earlier there.
+4. An anchor of very many snippets would make one large shard, which one task would have to
+   stream.  It is split by whole snippets and then by the windows of different ones, each known
+   by two 64-bit hashes; their first places are minima aggregated before the shuffle.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldgauge.llm.text import importable, per_batch
+from fieldgauge.session import materialise
 
 LENGTH = 20
 GRAM = 8
@@ -206,10 +207,10 @@ class _Shard:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """Document key (id, hash of the text) and text; the same plan wherever it is used."""
+    """Document key (id, 64-bit hash of the text) and text; the same plan wherever it is used."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("d"),
-        F.hash("text").alias("t"),
+        F.xxhash64("text").alias("t"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
     )
 
@@ -231,7 +232,7 @@ def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
             ["h", "d", "t", "q"],
         )
 
-    return per_batch(texts, build, "h bigint, d bigint, t int, q int")
+    return per_batch(texts, build, "h bigint, d bigint, t bigint, q int")
 
 
 def _snippets(held: DataFrame, length: int) -> DataFrame:
@@ -242,7 +243,8 @@ def _snippets(held: DataFrame, length: int) -> DataFrame:
             starts, ends, _, anchors, grams = _anchored(text, length)
             # the windows of one anchor are consecutive
             places, first, many = np.unique(anchors, return_index=True, return_counts=True)
-            chosen = np.searchsorted(places, np.unique(wanted))
+            # places of another text with the same key are not among this one's
+            chosen = np.flatnonzero(np.isin(places, wanted))
             line = b" ".join(text.split())
             # words keep their lengths, so a slice of the joined line is a slice of the words
             heads = np.concatenate(([0], np.cumsum(ends - starts + 1)))
@@ -252,11 +254,11 @@ def _snippets(held: DataFrame, length: int) -> DataFrame:
                 rows.append((h, d, t, s, line[a:b]))
         h, d, t, s, words = zip(*rows) if rows else ((), (), (), (), ())
         return pa.RecordBatch.from_arrays(
-            [pa.array(h, pa.int64()), pa.array(d, pa.int64()), pa.array(t, pa.int32()), pa.array(s, pa.int32()),
+            [pa.array(h, pa.int64()), pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(s, pa.int32()),
              pa.array(words, pa.binary())], ["h", "d", "t", "s", "words"]
         )
 
-    return per_batch(held, build, "h bigint, d bigint, t int, s int, words binary")
+    return per_batch(held, build, "h bigint, d bigint, t bigint, s int, words binary")
 
 
 def _match(snippets: DataFrame, length: int) -> DataFrame:
@@ -274,14 +276,14 @@ def _match(snippets: DataFrame, length: int) -> DataFrame:
                 out += [(d, t, s + a, s + b) for a, b in shard.stream(words)]
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, kind) for c, kind in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.int32()))],
+                    [pa.array(c, kind) for c, kind in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
                     ["d", "t", "a", "b"],
                 )
 
     importable(snippets.sparkSession)
     # rows that repeat a document are one document
     routed = snippets.repartition("h").sortWithinPartitions("h", "d", "t", "s")
-    return routed.mapInArrow(run, "d bigint, t int, a int, b int")
+    return routed.mapInArrow(run, "d bigint, t bigint, a int, b int")
 
 
 def _crowded_snippets(held: DataFrame, length: int) -> DataFrame:
@@ -309,7 +311,7 @@ def _crowded_snippets(held: DataFrame, length: int) -> DataFrame:
             ["c", "e", "d", "t", "s", "w", "v"],
         )
 
-    return per_batch(held, build, "c bigint, e bigint, d bigint, t int, s int, w array<bigint>, v array<bigint>")
+    return per_batch(held, build, "c bigint, e bigint, d bigint, t bigint, s int, w array<bigint>, v array<bigint>")
 
 
 def _later(rows: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
@@ -397,7 +399,10 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD)
     """
     texts = _texts(docs)
     anchors = _anchor_rows(texts, length)
-    places = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("h", "_h")
+    # written first, so that the join deals both sides anew and a hot anchor can be split
+    places = materialise(
+        anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("h", "_h"), "anchors"
+    )
     repeated = anchors.join(places, F.col("h") == F.col("_h")).groupBy("d", "t").agg(
         F.collect_list(F.when(F.col("n") <= crowd, F.col("q"))).alias("few"),
         F.collect_list(F.when(F.col("n") > crowd, F.col("q"))).alias("many"),

@@ -183,6 +183,17 @@ def test_substrings_of_repeated_rows(frame, crowd):
     assert want[7][1] == want[8][1] == want[None][1] == 0 and want[9][1] == 90
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_substrings_of_texts_whose_short_hashes_clash(spark, frame, doc_id):
+    words = F.transform(F.sequence(F.lit(1), F.lit(25)), lambda i: F.pmod(F.xxhash64(F.col("id"), i), F.lit(10**6)).cast("string"))
+    made = spark.range(300_000).select(F.array_join(words, " ").alias("text"))
+    same = made.groupBy(F.hash("text")).agg(F.collect_list("text").alias("texts")).where(F.size("texts") > 1).first().texts
+    # the second text stands twice more, under another id
+    rows = [(doc_id, same[0]), (doc_id, same[1]), (9, same[1]), (10, "head " + same[0])]
+    got = {(r.doc_id, r.n_words, r.kept) for r in substrings.dedup_substrings(frame([(*r, "s") for r in rows])).collect()}
+    assert got == {(doc_id, 25, same[0]), (doc_id, 25, same[1]), (9, 25, ""), (10, 26, "head")}
+
+
 def test_substrings_of_few_symbols(frame):
     deal = random.Random(8)
     rows = [(i, " ".join(deal.choices("ab", k=deal.randrange(0, 90))), "s") for i in range(60)]
