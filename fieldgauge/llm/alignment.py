@@ -12,8 +12,9 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache, partial
-from itertools import chain, repeat
+from functools import lru_cache
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from fieldgauge.session import materialise
 #: distinct pairs whose counts are sent to every worker (16 bytes each); more are joined
 MOST_PAIRS = 4_000_000
 #: chunks whose alignment a Python worker remembers, of so many characters at most
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 _LONG = 64
 #: characters of text whose chunks are looked at together
 _SECTION = 1_000_000
@@ -125,20 +126,32 @@ class Aligner:
             return [text]
         return _CUT.split(text) if _UNEVEN.search(text) else text.split(" ")
 
-    def encode(self, chunk: str) -> list[int]:
-        """A ids of a space and the chunk."""
-        # the classes of later characters differ between Unicode versions
-        quick = chunk and max(chunk) < _KNOWN
-        return self.quick(f" {chunk}") if quick else self.slow(f" {chunk}")
-
     def align(self, chunks: list[str]) -> Aligned:
-        a, b = list(map(self.encode, chunks)), self.b.encode(chunks, num_threads=1) if chunks else []
+        b = self.b.encode(chunks, num_threads=1) if chunks else []
         given = [f" {c}".encode() for c in chunks]
-        spelled = lambda ids, table: b"".join(map(table.__getitem__, ids))
-        good = [spelled(x, self.a_bytes) == g == spelled(y, self.b_bytes) for x, y, g in zip(a, b, given)]
-        if not all(good):
-            a, b, given = ([x for x, ok in zip(c, good) if ok] for c in (a, b, given))
-        return Aligned(good, a, b, np.cumsum(_lengths(given)), self.a_size, self.b_size)
+        sizes = _lengths(given)
+        n_b = _lengths(b)
+        flat_b = _flat(b)
+        good = np.ones(len(chunks), bool)
+        spelled = b"".join(map(self.b_bytes.__getitem__, flat_b.tolist())) == b"".join(given)
+        if not (spelled and (_sums(self.b_size[flat_b], n_b) == sizes).all()):
+            good = np.array([b"".join(map(self.b_bytes.__getitem__, x)) == g for x, g in zip(b, given)], bool)
+            flat_b, n_b, sizes = _flat([x for x, ok in zip(b, good) if ok]), n_b[good], sizes[good]
+        flat_a = self._encode_all([c for c, ok in zip(chunks, good) if ok])
+        return Aligned(good, flat_a, flat_b, n_b, np.cumsum(sizes), self.a_size, self.b_size)
+
+    def _encode_all(self, chunks: list[str]) -> np.ndarray:
+        """A ids of each chunk after a space, one after the other."""
+        # a chunk that itself begins or ends with a space does not part from its neighbours, and the
+        # classes of later characters differ between Unicode versions
+        quick = [bool(c) and not c[0].isspace() and c[-1] != " " and max(c) < _KNOWN for c in chunks]
+        if all(quick):
+            return np.array(self.quick(f" {' '.join(chunks)}") if chunks else [], np.int64)
+        parts: list[list[int]] = []
+        for alike, run in groupby(zip(quick, chunks), itemgetter(0)):
+            texts = [c for _, c in run]
+            parts += [self.quick(f" {' '.join(texts)}")] if alike else [self.slow(f" {c}") for c in texts]
+        return _flat(parts)
 
 
 def _lengths(lists: list) -> np.ndarray:
@@ -149,6 +162,14 @@ def _flat(lists: list[list[int]]) -> np.ndarray:
     return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
 
 
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of ``values`` with the given counts, 0 for an empty run."""
+    upto = np.concatenate(([0], np.cumsum(values, axis=0))) if values.ndim == 1 else np.vstack(
+        [np.zeros((1, values.shape[1]), np.int64), np.cumsum(values, axis=0)])
+    ends = np.cumsum(counts)
+    return upto[ends] - upto[ends - counts]
+
+
 class Aligned:
     """Chunks aligned side by side, as if they were one text; they end together for both.
 
@@ -158,24 +179,26 @@ class Aligned:
     tokens up to the end of each group.
     """
 
-    def __init__(self, good: list[bool], a: list, b: list, chunk_ends: np.ndarray, a_size: np.ndarray, b_size: np.ndarray):
-        self.good = good
-        self.a, self.b, self.n_a, self.n_b = _flat(a), _flat(b), _lengths(a), _lengths(b)
-        ends_a, ends_b = np.cumsum(a_size[self.a]), np.cumsum(b_size[self.b])
+    def __init__(self, good: np.ndarray, a: np.ndarray, b: np.ndarray, n_b: np.ndarray, chunk_ends: np.ndarray,
+                 a_size: np.ndarray, b_size: np.ndarray):
+        self.good, self.a, self.b, self.n_b = good, a, b, n_b
+        ends_a, ends_b = np.cumsum(a_size[a]), np.cumsum(b_size[b])
+        upto = np.searchsorted(ends_a, chunk_ends, "right")
+        if len(chunk_ends) and (ends_a[upto - 1] != chunk_ends).any():
+            raise RuntimeError("byte-level tokens do not end with their chunks")
+        self.n_a = np.diff(upto, prepend=0)
         # between two ends of either kind lies exactly one token of each
         ends = np.union1d(ends_a, ends_b)
-        self.links = (self.a[np.searchsorted(ends_a, ends)] << 32) | self.b[np.searchsorted(ends_b, ends)]
+        self.links = (a[np.searchsorted(ends_a, ends)] << 32) | b[np.searchsorted(ends_b, ends)]
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
         self.link_ends = np.searchsorted(ends, chunk_ends, "right")
         self.group_ends = np.searchsorted(common, chunk_ends, "right")
         self.a_ends, self.b_ends = np.searchsorted(ends_a, common, "right"), np.searchsorted(ends_b, common, "right")
 
-    def of_chunks(self, ends: np.ndarray, values: list) -> Iterator[list]:
+    def of_chunks(self, ends: np.ndarray, values: list) -> list[list]:
         """The values of each good chunk."""
-        start = 0
-        for end in ends.tolist():
-            yield values[start:end]
-            start = end
+        upto = ends.tolist()
+        return [values[i:k] for i, k in zip([0, *upto], upto)]
 
     def group_texts(self) -> list[str]:
         a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
@@ -185,11 +208,6 @@ class Aligned:
             i, k = x, y
         return out
 
-    def spread(self, found) -> list:
-        """What was found for the good chunks, None for the others."""
-        found = iter(found)
-        return [next(found) if ok else None for ok in self.good]
-
 
 def _texts(column) -> Iterator[str | None]:
     """Texts as strings; None for null, empty and undecodable ones, which have no tokens."""
@@ -200,27 +218,43 @@ def _texts(column) -> Iterator[str | None]:
             yield None
 
 
-class _Entries:
-    """What each chunk adds to its document; None where its bytes differ.  Kept between batches."""
+class _Chunks:
+    """Numbers of the chunks that a Python worker remembers, and what ``keep`` stores of new ones.
 
-    def __init__(self, aligner: Aligner, describe):
-        self.aligner, self.describe = aligner, describe
-        self.held: dict = {}
+    ``keep(first, aligned)`` is called with the number of the first new chunk and all new ones
+    aligned; ``forget(numbers)`` with numbers that are not used again, None for all.
+    """
 
-    def of(self, texts: list[str | None]) -> Iterator[list]:
-        """For each text the entries of its chunks; a text without tokens has one None."""
-        aligner = self.aligner
-        chunks = [aligner.chunks(t) if t else None for t in texts]
-        if len(self.held) > REMEMBERED:
-            self.held.clear()
-        held = self.held
-        new = list({c for some in chunks if some for c in some if c not in held})
-        held.update(zip(new, self.describe(aligner.align(new))))
-        for some in chunks:
-            yield [held[c] for c in some] if some else [None]
-        for chunk in new:
-            if len(chunk) > _LONG:
-                del held[chunk]
+    def __init__(self, aligner: Aligner, keep, forget):
+        self.aligner, self.keep, self.forget = aligner, keep, forget
+        self.numbers: dict[str, int] = {}
+        self.next = 0
+        self.long: list[str] = []
+
+    def of(self, texts: list[str | None]) -> tuple[list[int], np.ndarray]:
+        """The numbers of all chunks of the texts, and how many each text has; null and empty have none."""
+        chunks = [self.aligner.chunks(t) if t else [] for t in texts]
+        if self.long:
+            self.forget([self.numbers.pop(c) for c in self.long])
+            self.long = []
+        if len(self.numbers) > REMEMBERED:
+            self.numbers.clear()
+            self.forget(None)
+            self.next = 0
+        new = list(set().union(*chunks) - self.numbers.keys())
+        if new:
+            self.keep(self.next, self.aligner.align(new))
+            self.numbers.update(zip(new, range(self.next, self.next + len(new))))
+            self.next += len(new)
+            self.long = [c for c in new if len(c) > _LONG]
+        return list(map(self.numbers.__getitem__, chain.from_iterable(chunks))), _lengths(chunks)
+
+
+def _runs(numbers: list[int], counts: np.ndarray) -> Iterator[list[int]]:
+    start = 0
+    for n in counts.tolist():
+        yield numbers[start : start + n]
+        start += n
 
 
 def _sections(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
@@ -238,8 +272,29 @@ def _sections(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
             yield batch.slice(start, len(texts)), texts
 
 
-def _pair_tuples(found: Aligned) -> list[tuple | None]:
-    return found.spread(tuple(set(x)) for x in found.of_chunks(found.link_ends, found.links.tolist()))
+class PairSets:
+    """The distinct linked pairs of each text."""
+
+    def __init__(self, aligner: Aligner):
+        self.chunks = _Chunks(aligner, self._keep, self._forget)
+        #: linked pairs by chunk number, None where the bytes differ
+        self.pairs: list[list[int] | None] = []
+
+    def _keep(self, first: int, found: Aligned) -> None:
+        links = iter(found.of_chunks(found.link_ends, found.links.tolist()))
+        self.pairs += [next(links) if ok else None for ok in found.good.tolist()]
+
+    def _forget(self, numbers: list[int] | None) -> None:
+        if numbers is None:
+            self.pairs = []
+        for i in numbers or ():
+            self.pairs[i] = None
+
+    def of(self, texts: list[str | None]) -> Iterator[set[int]]:
+        for numbers in _runs(*self.chunks.of(texts)):
+            held = list(map(self.pairs.__getitem__, set(numbers)))
+            # if a chunk's bytes differ, so do the text's
+            yield set() if None in held else set().union(*held)
 
 
 @lru_cache(maxsize=1)
@@ -249,8 +304,8 @@ def _aligner(run: int, held) -> Aligner:
 
 
 @lru_cache(maxsize=1)
-def _pair_entries(run: int, held) -> _Entries:
-    return _Entries(_aligner(run, held), _pair_tuples)
+def _pair_sets(run: int, held) -> PairSets:
+    return PairSets(_aligner(run, held))
 
 
 def _sent(spark: SparkSession, byte_level: str, pieces: bytes):
@@ -271,13 +326,11 @@ def pair_counts(docs: DataFrame, files) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = _pair_entries(run_id, files)
+        pairs = _pair_sets(run_id, files)
         counts: Counter = Counter()
         for _, texts in _sections(batches):
-            for found in entries.of(texts):
-                distinct = set(found)
-                if None not in distinct:  # else a chunk's bytes differ, so the text's do
-                    counts.update(set().union(*distinct))
+            for found in pairs.of(texts):
+                counts.update(found)
             if len(counts) > _HELD:
                 yield batch_of(counts)
                 counts.clear()
@@ -319,57 +372,89 @@ class Counts:
         self.best = np.zeros(int(numbers.keys.max() >> 32) + 1 if len(numbers.keys) else 1, np.int64)
         np.maximum.at(self.best, numbers.keys >> 32, counts)
 
-    def of(self, found: Aligned) -> tuple[list[int], list[int]]:
-        """Of each chunk the links with the highest count of their A id, and the sum of all counts."""
-        if not len(found.links):
-            return [], []
-        at = self.numbers.index(found.links)
+    def of(self, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each link whether its count is the highest of its A id, and the count."""
+        at = self.numbers.index(links)
         if (at < 0).any():
             raise RuntimeError("a linked pair was not counted in the first pass")
         n = self.counts[at]
-        starts = np.concatenate(([0], found.link_ends[:-1]))  # every chunk has links
-        top = (n == self.best[found.links >> 32]).astype(np.int64)
-        return np.add.reduceat(top, starts).tolist(), np.add.reduceat(n, starts).tolist()
+        return (n == self.best[links >> 32]).astype(np.int64), n
 
 
 _SUMS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 _SCHEMA = ", ".join(f"{c} bigint" for c in ["doc_id", *_SUMS]) + ", `groups` string"
 
 
-def _describe(counts: Counts | None, found: Aligned) -> list:
-    """(sums, text of the groups, linked pairs) of each chunk."""
-    n = len(found.n_a)
-    best, total = counts.of(found) if counts else ([0] * n, [0] * n)
-    sums = zip(found.n_a.tolist(), found.n_b.tolist(), np.diff(found.group_ends, prepend=0).tolist(),
-               np.diff(found.link_ends, prepend=0).tolist(), best, total)
-    texts = map(";".join, found.of_chunks(found.group_ends, found.group_texts()))
-    pairs = repeat(None) if counts else found.of_chunks(found.link_ends, found.links.tolist())
-    return found.spread(zip(sums, texts, pairs))
+class Sums:
+    """The result columns of each text, added up from its chunks."""
+
+    def __init__(self, aligner: Aligner, counts: Counts | None):
+        self.chunks = _Chunks(aligner, self._keep, self._forget)
+        self.counts = counts
+        # by chunk number: the sums and whether the bytes differ, the text of the groups, the linked pairs
+        self.sums = np.zeros((0, len(_SUMS) + 1), np.int64)
+        self.groups: list[str] = []
+        self.pairs: list[list[int]] = []
+
+    def _keep(self, first: int, found: Aligned) -> None:
+        n = len(found.good)
+        rows = np.zeros((n, len(_SUMS) + 1), np.int64)
+        rows[:, -1] = ~found.good
+        n_links = np.diff(found.link_ends, prepend=0)
+        columns = [found.n_a, found.n_b, np.diff(found.group_ends, prepend=0), n_links]
+        if self.counts:
+            columns += [_sums(x, n_links) for x in self.counts.of(found.links)]
+        for i, column in enumerate(columns):
+            rows[found.good, i] = column
+        if first + n > len(self.sums):
+            room = np.zeros((max(first + n, 2 * len(self.sums)), self.sums.shape[1]), np.int64)
+            room[:first] = self.sums[:first]
+            self.sums = room
+        self.sums[first : first + n] = rows
+        texts = iter(found.of_chunks(found.group_ends, found.group_texts()))
+        self.groups += [";".join(next(texts)) if ok else "" for ok in found.good.tolist()]
+        if not self.counts:
+            links = iter(found.of_chunks(found.link_ends, found.links.tolist()))
+            self.pairs += [next(links) if ok else [] for ok in found.good.tolist()]
+
+    def _forget(self, numbers: list[int] | None) -> None:
+        if numbers is None:
+            self.groups, self.pairs = [], []
+        for i in numbers or ():
+            self.groups[i] = ""
+            if not self.counts:
+                self.pairs[i] = []
+
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], list[list]]:
+        """Sums, groups and linked pairs with their numbers; pairs only where there are no counts."""
+        numbers, lengths = self.chunks.of(texts)
+        sums = _sums(self.sums[numbers], lengths)
+        whole = sums[:, -1] == 0
+        sums[~whole] = 0
+        groups, pairs = [], []
+        for ok, run in zip(whole.tolist(), _runs(numbers, lengths)):
+            groups.append(";".join(map(self.groups.__getitem__, run)) if ok else "")
+            if not self.counts:
+                held = map(self.pairs.__getitem__, run) if ok else ()
+                pairs.append(list(Counter(chain.from_iterable(held)).items()))
+        return sums[:, :-1], groups, pairs
 
 
 @lru_cache(maxsize=1)
-def _counting(run: int, files, numbered) -> _Entries:
+def _counting(run: int, files, numbered) -> Sums:
     """Kept by the Python worker, as ``_aligner``."""
-    found = Counts(*numbered.value) if numbered is not None else None
-    return _Entries(_aligner(run, files), partial(_describe, found))
+    return Sums(_aligner(run, files), Counts(*numbered.value) if numbered is not None else None)
 
 
 def _aligned(docs: DataFrame, files, numbered=None) -> DataFrame:
     """The sums and groups of every row; without numbered counts, also its linked pairs."""
     run_id, with_pairs = files._jbroadcast.id(), numbered is None
 
-    def document(found: list):
-        if None in found:
-            return (0,) * len(_SUMS), "", []
-        sums, groups, pairs = zip(*found)
-        linked = Counter(chain.from_iterable(pairs)) if with_pairs else {}
-        return tuple(map(sum, zip(*sums))), ";".join(groups), list(linked.items())
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = _counting(run_id, files, numbered)
+        found = _counting(run_id, files, numbered)
         for batch, texts in _sections(batches):
-            sums, groups, pairs = zip(*map(document, entries.of(texts)))
-            columns = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in zip(*sums)), pa.array(groups, pa.string())]
+            sums, groups, pairs = found.of(texts)
+            columns = [batch.column("doc_id"), *(pa.array(c) for c in np.ascontiguousarray(sums.T)), pa.array(groups, pa.string())]
             names = ["doc_id", *_SUMS, "groups"]
             if with_pairs:
                 kind = pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())]))
