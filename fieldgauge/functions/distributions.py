@@ -1,14 +1,14 @@
-"""Tail probabilities and normal quantiles as Arrow-batched column functions.
+"""Tail probabilities and normal quantiles as column functions.
 
 Spark has no Student-t, F or chi-square functions.  These work on result rows
-(one row per test), a whole Arrow batch at a time.
+(one row per test), a whole Arrow batch at a time.  The normal quantile, which is
+asked for of every row, is an expression.
 """
 
 from __future__ import annotations
 
 import sys
 from math import lgamma
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -117,12 +117,6 @@ def _chi2_upper(x: pd.Series, df: pd.Series) -> pd.Series:
     return _masked(lambda x, k: _gamma_tail(x / 2, k / 2), x, df)
 
 
-@pandas_udf(DoubleType())
-def _norm_quantile(p: pd.Series) -> pd.Series:
-    inv = NormalDist().inv_cdf
-    return pd.Series([inv(v) if v is not None and 0 < v < 1 else None for v in p], dtype="float64")
-
-
 @pandas_udf(DoubleType())
 def _t_critical(p: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided critical value: bisection on the tail, vectorised over the batch."""
@@ -160,8 +154,48 @@ def p_norm(z) -> Column:
     return _chi2_upper(_double(z) * _double(z), F.lit(1.0))
 
 
+# fixed values: Wichura (1988), algorithm AS 241, numerators and denominators from the highest power
+_CENTRE = (
+    (2.5090809287301226727e3, 3.3430575583588128105e4, 6.7265770927008700853e4, 4.5921953931549871457e4,
+     1.3731693765509461125e4, 1.9715909503065514427e3, 1.3314166789178437745e2, 3.3871328727963666080e0),
+    (5.2264952788528545610e3, 2.8729085735721942674e4, 3.9307895800092710610e4, 2.1213794301586595867e4,
+     5.3941960214247511077e3, 6.8718700749205790830e2, 4.2313330701600911252e1, 1.0),
+)
+_MIDDLE = (
+    (7.74545014278341407640e-4, 2.27238449892691845833e-2, 2.41780725177450611770e-1, 1.27045825245236838258e0,
+     3.64784832476320460504e0, 5.76949722146069140550e0, 4.63033784615654529590e0, 1.42343711074968357734e0),
+    (1.05075007164441684324e-9, 5.47593808499534494600e-4, 1.51986665636164571966e-2, 1.48103976427480074590e-1,
+     6.89767334985100004550e-1, 1.67638483018380384940e0, 2.05319162663775882187e0, 1.0),
+)
+_TAIL = (
+    (2.01033439929228813265e-7, 2.71155556874348757815e-5, 1.24266094738807843860e-3, 2.65321895265761230930e-2,
+     2.96560571828504891230e-1, 1.78482653991729133580e0, 5.46378491116411436990e0, 6.65790464350110377720e0),
+    (2.04426310338993978564e-15, 1.42151175831644588870e-7, 1.84631831751005468180e-5, 7.86869131145613259100e-4,
+     1.48753612908506148525e-2, 1.36929880922735805310e-1, 5.99832206555887937690e-1, 1.0),
+)
+
+
+def _ratio(tables: tuple[tuple[float, ...], ...], r: Column) -> Column:
+    def polynomial(coefficients: tuple[float, ...]) -> Column:
+        total = F.lit(coefficients[0])
+        for c in coefficients[1:]:
+            total = total * r + F.lit(c)
+        return total
+
+    return polynomial(tables[0]) / polynomial(tables[1])
+
+
 def norm_ppf(p) -> Column:
-    return _norm_quantile(_double(p))
+    """Quantile of the standard normal, to double precision; NULL outside of 0 < p < 1.
+
+    Plain expressions, so that the scores of many rows stay in the JVM.
+    """
+    p = _double(p)
+    q = p - 0.5
+    far = F.sqrt(-F.log(F.least(p, 1 - p)))
+    outer = F.when(far <= 5, _ratio(_MIDDLE, far - 1.6)).otherwise(_ratio(_TAIL, far - 5))
+    value = F.when(F.abs(q) <= 0.425, q * _ratio(_CENTRE, 0.180625 - q * q)).otherwise(F.signum(q) * outer)
+    return F.when((p > 0) & (p < 1), value)
 
 
 def t_critical(p, df) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldgauge.functions.distributions import p_chi2, p_t
 from fieldgauge.functions.scalars import safe_div
-from fieldgauge.operators.ranks import avg_rank, running_max, small_group_rank, value_ranks
+from fieldgauge.operators.ranks import cell_ranks, contingency, join_on, running_max, small_group_rank, value_ranks
 
 
 def pair_rows(df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str] = ()) -> DataFrame:
@@ -53,18 +53,36 @@ def pearson(df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str] =
 
 
 def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str] = ()) -> DataFrame:
-    """Pearson correlation of the mid-ranks of both values."""
+    """Pearson correlation of the mid-ranks of both values.
+
+    The rows are counted by (x, y) once; both margins are ranked from the counts.  Ranks have
+    the mean (n + 1) / 2, so the sums of products are centred as they are formed.
+    """
     keys = [*by, "predictor", "outcome"]
-    ranked = avg_rank(avg_rank(pair_rows(df, pairs, by), "x", keys, "_rx"), "y", keys, "_ry")
-    return _tested(_correlated(ranked, "_rx", "_ry", keys))
+    cells = contingency(pair_rows(df, pairs, by), [*keys, "x", "y"])
+    ranked = cell_ranks(cell_ranks(cells, "x", keys, "_rx"), "y", keys, "_ry")
+    sizes = cells.groupBy(*keys).agg(F.sum("n").alias("_total"))
+    n, middle = F.col("n"), (F.col("_total") + 1) / 2
+    x, y = F.col("_rx") - middle, F.col("_ry") - middle
+    sums = join_on(ranked, sizes, keys).groupBy(*keys).agg(
+        F.sum(n).alias("n"), F.sum(n * x * y).alias("_xy"), F.sum(n * x * x).alias("_xx"), F.sum(n * y * y).alias("_yy")
+    )
+    # one row has no correlation, as its covariance has no degree of freedom
+    r = F.when(F.col("n") > 1, safe_div(F.col("_xy"), F.sqrt(F.col("_xx")) * F.sqrt(F.col("_yy"))))
+    return _tested(sums.select(*keys, "n", r.alias("r")))
 
 
 def kruskal(df: DataFrame, group: str, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Kruskal-Wallis H (tie-corrected through the variance of the ranks) and its p-value."""
+    """Kruskal-Wallis H (tie-corrected through the variance of the ranks) and its p-value.
+
+    Formed from the counts of (group, value), not from the rows.
+    """
     by = list(by)
     known = df.select(*by, group, value).filter(F.col(value).isNotNull())
-    parts = avg_rank(known, value, by, "_r").groupBy(*by, group).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_r").alias("_s"), F.sum(F.col("_r") * F.col("_r")).alias("_ss")
+    cells = cell_ranks(contingency(known, [*by, group, value]), value, by, "_r")
+    weight, rank = F.col("n"), F.col("_r")
+    parts = cells.groupBy(*by, group).agg(
+        F.sum(weight).alias("_n"), F.sum(weight * rank).alias("_s"), F.sum(weight * rank * rank).alias("_ss")
     )
     total, squares = F.sum("_s"), F.sum("_ss")
     n = F.sum("_n")
@@ -128,4 +146,5 @@ def holm(
     adjusted = running_max(
         ranked, p, F.least(F.lit(1.0), (F.col("n_total") - F.col("n_before")) * F.col(p)), family, output
     )
-    return tests.join(adjusted, [*family, p], "left")
+    # a NULL family is a family
+    return join_on(tests, adjusted, [*family, p], "left")

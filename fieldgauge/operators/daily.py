@@ -165,6 +165,13 @@ def check_period_request(
         raise ValueError("choose 1 to 100 sites")
 
 
+def refuse_unknown_sites(known: DataFrame, chosen: Sequence, site: str = "location_id") -> None:
+    """Fails if a chosen site is not in the table; at most 100 names come back."""
+    found = known.filter(F.col(site).isin(list(chosen))).select(site).distinct().collect()
+    if unknown := sorted(set(chosen) - {r[0] for r in found}, key=str):
+        raise ValueError(f"unknown sites {unknown}")
+
+
 def rollup_period(
     daily: DataFrame,
     value: str,
@@ -176,10 +183,10 @@ def rollup_period(
     hours: str = "hours",
     additive: bool = True,
 ) -> DataFrame:
-    """Days to ISO weeks, months or years over a closed request range.
+    """Days to ISO weeks, months or years over a closed range, of any length.
 
-    A bucket has a value only if each of its days inside the request is complete.
-    The request itself is checked by :func:`check_period_request`.
+    A bucket has a value only if each of its days inside the range is complete.
+    :func:`answer_period_request` is the bounded request for chosen sites.
     """
     if how == "sum" and not additive:
         raise ValueError("a total exists only for an additive metric")
@@ -204,6 +211,21 @@ def rollup_period(
     )
 
 
+def answer_period_request(
+    daily: DataFrame, value: str, period: str, how: str, start: date, end: date, chosen: Sequence, known: DataFrame,
+    additive: bool = True, coverage: tuple[date, date] | None = None, site: str = "location_id", hours: str = "hours",
+) -> DataFrame:
+    """:func:`rollup_period` of the ``chosen`` sites, after the request has been checked.
+
+    The range, the statistic and the number of sites are bounded, and every site must be in the
+    table ``known``.  Only the days of the chosen sites are read.
+    """
+    check_period_request(period, how, additive, start, end, coverage, len(set(chosen)))
+    refuse_unknown_sites(known, chosen, site)
+    asked = daily.filter(F.col(site).isin(list(chosen)))
+    return rollup_period(asked, value, period, how, start, end, site, hours, additive)
+
+
 def to_grain(
     df: DataFrame, grain: str, variables: Sequence[str], keys: Sequence[str] = ("location_id",),
     ts: str = "timestamp",

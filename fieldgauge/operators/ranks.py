@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from fieldgauge.session import materialise
+
 #: least number of slices; a session with more shuffle partitions gets as many slices
 SLICES = 64
 
@@ -32,18 +34,19 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 
 
 def value_ranks(
-    df: DataFrame, value: str, by: Sequence[str] = (), keep_slice: bool = False
+    df: DataFrame, value: str, by: Sequence[str] = (), keep_slice: bool = False, weight: str | None = None
 ) -> DataFrame:
     """One row per (group, distinct value): ``n_equal``, ``n_before``, ``n_total``.
 
     NULL values take no part; a NULL group is a group.  ``n_before`` counts the rows strictly below.  The slice
-    number (ascending with the value) can be kept for further prefix computations.
+    number (ascending with the value) can be kept for further prefix computations.  Rows that
+    are counted already stand for ``weight`` rows each.
     """
     by = list(by)
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("n_equal"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n_equal"))
     )
     slices = slice_count(df)
     cuts = F.percentile_approx(
@@ -117,6 +120,42 @@ def avg_rank(
     return join_on(df, ranks, [*by, value], "left")
 
 
+def contingency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct combinations of ``columns`` with ``n``, the rows that hold them.
+
+    Rank statistics of several margins are sums over these cells, so raw rows are shuffled once
+    and combine before that.  The cells are written, as every margin reads them again.
+    """
+    return materialise(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")), "cells")
+
+
+def cell_ranks(cells: DataFrame, value: str, by: Sequence[str], output: str) -> DataFrame:
+    """Add the mid-rank of ``value`` in its group to cells counted by :func:`contingency`."""
+    by = list(by)
+    ranks = value_ranks(cells, value, by, weight="n").select(
+        *by, value, (F.col("n_before") + (F.col("n_equal") + 1) / 2).alias(output)
+    )
+    return join_on(cells, ranks, [*by, value])
+
+
+def row_positions(df: DataFrame, order: Sequence[Column | str], output: str = "position") -> DataFrame:
+    """Add the 0-based position of each row in the order of several columns.
+
+    Rows are sorted by ranges of all the order columns, so equal leading values spread over as
+    many tasks as they need; the rows before each range are a running sum over one count per
+    range.  The sorted rows are written, as ranges must not move between the two steps.
+    """
+    placed = materialise(
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumns({"_part": F.spark_partition_id(), "_line": F.monotonically_increasing_id()}),
+        "positions",
+    )
+    ranges = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_line").alias("_first"))
+    earlier = Window.partitionBy().orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select("_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return placed.join(starts, "_part").withColumn(output, F.col("_line") + F.col("_shift")).drop("_part", "_line", "_shift")
+
+
 def small_group_rank(value: str, by: Sequence[str]) -> Column:
     """Mid-rank by window, for groups a calendar bounds (months of a year, days of a month)."""
     group = Window.partitionBy(*by)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldgauge.functions.distributions import norm_ppf
-from fieldgauge.operators.ranks import avg_rank, small_group_rank
+from fieldgauge.operators.ranks import avg_rank, join_on, small_group_rank
 
 # fixed values: replicates, block length, tolerances
 REPLICATES = 4999
@@ -336,54 +336,60 @@ def rotation_test(
 
 def stratified_permutation(
     df: DataFrame, value: str, label: str, stratum: str, site: str = "location_id",
-    by: Sequence[str] = (), replicates: int = SCORE_REPLICATES, seed: int = 20260917,
+    by: Sequence[str] = (), replicates: int = SCORE_REPLICATES, seed: int = 20260917, chunk: int = 32,
 ) -> DataFrame:
     """Kruskal-Wallis H of labels, with labels moved only inside a stratum.
 
     One row per site and cell.  For each replicate the sites of a stratum are put in hash
     order and take the labels of the stratum in turn; one labelling serves all cells.
+
+    H is the sum over labels of (sum of z)^2 / n, z being the standardised rank, so a site
+    brings one vector of z and a stratum its labels with their running counts.  Both go to each
+    chunk of replicates, whose task draws, adds and compares without another shuffle: what is
+    shuffled grows with sites x cells x replicates / ``chunk``.
     """
     if not by:
         one = stratified_permutation(
-            df.withColumn("_all", F.lit(0)), value, label, stratum, site, ["_all"], replicates, seed
+            df.withColumn("_all", F.lit(0)), value, label, stratum, site, ["_all"], replicates, seed, chunk
         )
         return one.drop("_all")
     by = list(by)
     ranked = avg_rank(df.filter(F.col(value).isNotNull()), value, by, "_rank").select(
         *by, site, label, "_rank"
     )
-    cell = ranked.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"), F.avg("_rank").alias("_mean"), F.var_samp("_rank").alias("_var")
+    cell = ranked.groupBy(*by).agg(F.avg("_rank").alias("_mean"), F.stddev_samp("_rank").alias("_spread"))
+    scores = join_on(ranked, cell, by).select(
+        *by, site, label, F.try_divide(F.col("_rank") - F.col("_mean"), F.col("_spread")).alias("_z")
     )
 
     def h_of(rows: DataFrame, keys: list[str]) -> DataFrame:
-        groups = rows.groupBy(*keys, label).agg(
-            F.count(F.lit(1)).alias("_g"), F.sum("_rank").alias("_s")
-        )
-        return groups.join(cell, by).groupBy(*keys).agg(
-            F.try_divide(
-                F.sum(F.col("_g") * F.pow(F.col("_s") / F.col("_g") - F.col("_mean"), 2)), F.first("_var")
-            ).alias("_h")
-        )
+        groups = rows.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("_g"), F.sum("_z").alias("_s"))
+        return groups.groupBy(*keys).agg(F.sum(F.col("_s") * F.col("_s") / F.col("_g")).alias("_h"))
 
     sites = df.select(site, stratum, label).distinct()
-    replicated = _spread_replicates(sites, replicates)
-    slot = F.row_number().over(
-        Window.partitionBy("replicate", stratum).orderBy(
-            F.xxhash64(F.lit(seed), "replicate", site), site
-        )
+    counts = sites.groupBy(stratum, label).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(stratum).orderBy(label))
+    steps = counts.select(stratum, F.struct(upto.alias("upto"), F.col(label).alias("label")).alias("_step")).groupBy(
+        stratum
+    ).agg(F.array_sort(F.collect_list("_step")).alias("_steps"))
+    vectors = scores.groupBy(site).agg(F.collect_list(F.struct(*by, "_z")).alias("_cells"))
+    carried = join_on(join_on(sites.drop(label), steps, [stratum]), vectors, [site], "left")
+    first = F.col("_chunk") * chunk
+    drawn = (
+        carried.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // chunk))))
+        .repartition(max(2 * df.sparkSession.sparkContext.defaultParallelism, 1), "_chunk")
+        .withColumn("replicate", F.explode(F.sequence(first, F.least(first + (chunk - 1), F.lit(replicates - 1)))))
     )
-    fixed = F.row_number().over(Window.partitionBy(stratum).orderBy(site))
-    labels = sites.select(stratum, label, fixed.alias("_slot"))
-    moved = (
-        replicated.drop(label).withColumn("_slot", slot)
-        .join(labels, [stratum, "_slot"])
-        .select("replicate", site, label)
+    # the rows of a chunk are in one task already, for the order and for the sums
+    order = F.xxhash64(F.lit(seed), "replicate", site)
+    slot = F.row_number().over(Window.partitionBy("_chunk", "replicate", stratum).orderBy(order, site))
+    moved = drawn.withColumn("_slot", slot).select(
+        "_chunk", "replicate", F.element_at(F.filter("_steps", lambda x: x["upto"] >= F.col("_slot")), 1)["label"].alias(label),
+        F.inline("_cells"),
     )
-    observed = h_of(ranked, by).withColumnRenamed("_h", "statistic")
-    null = h_of(moved.join(ranked.drop(label), site), [*by, "replicate"])
-    return null.join(observed, by).groupBy(*by).agg(
+    observed = h_of(scores, by).withColumnRenamed("_h", "statistic")
+    null = h_of(moved, ["_chunk", *by, "replicate"])
+    return join_on(null, observed, by).groupBy(*by).agg(
         F.first("statistic").alias("statistic"),
         ((1 + F.count_if(F.col("_h") >= F.col("statistic") - 1e-10)) / (replicates + 1)).alias("p"),
     )
-

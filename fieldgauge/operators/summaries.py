@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fieldgauge.functions.scalars import (
     bucket, class_of, digitize, elevation_band, equal_width_edges, is_finite, safe_div,
 )
-from fieldgauge.operators.ranks import exact_quantiles, join_on
+from fieldgauge.operators.ranks import contingency, exact_quantiles, join_on, quantile_columns, value_ranks
+from fieldgauge.session import materialise
 
 # fixed values: boxplot classes
 BOX_EDGES = (500, 1500)
@@ -132,13 +133,29 @@ def summary_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFram
     return moments.withColumn("median", middle.scalar())
 
 
-def histogram(df: DataFrame, value: str, bins: int = 16, by: Sequence[str] = ()) -> DataFrame:
+def counted_stats(cells: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """:func:`summary_stats` of values that :func:`ranks.contingency` has counted."""
+    by = list(by)
+    v, n = F.col(value), F.col("n")
+    means = cells.groupBy(*by).agg((F.sum(n * v) / F.sum(n)).alias("_mean"))
+    ranked = join_on(value_ranks(cells, value, by, weight="n"), means, by)
+    held, gap = F.col("n_equal"), v - F.col("_mean")
+    return ranked.groupBy(*by).agg(
+        F.sum(held).alias("count"), F.first("_mean").alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),
+        (F.sum(held * gap * gap) / F.sum(held)).alias("variance"), *quantile_columns({"median": 0.5}, value),
+    )
+
+
+def histogram(
+    df: DataFrame, value: str, bins: int = 16, by: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
     """Equal-width bins between the extremes, the last one closed; empty bins are kept.
 
-    A constant column is widened by half a unit on each side.
+    A constant column is widened by half a unit on each side.  Rows that are counted already
+    stand for ``weight`` rows each.
     """
     by = list(by)
-    known = df.filter(F.col(value).isNotNull()).select(*by, value)
+    known = df.filter(F.col(value).isNotNull()).select(*by, value, *([weight] if weight else []))
     ends = known.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     flat = F.col("_lo") == F.col("_hi")
     limits = ends.select(
@@ -150,13 +167,11 @@ def histogram(df: DataFrame, value: str, bins: int = 16, by: Sequence[str] = ())
         F.width_bucket(F.col(value).cast("double"), lo, hi, F.lit(bins)), F.lit(bins)
     ).cast("int")
     if by:
-        numbered = join_on(known, limits, by).select(
-            *by, number(F.col("_lo"), F.col("_hi")).alias("bin")
-        )
+        numbered = join_on(known, limits, by).withColumn("bin", number(F.col("_lo"), F.col("_hi")))
     else:
         pair = limits.agg(F.struct(F.first("_lo").alias("lo"), F.first("_hi").alias("hi"))).scalar()
-        numbered = known.select(number(pair["lo"], pair["hi"]).alias("bin"))
-    counts = numbered.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("count"))
+        numbered = known.withColumn("bin", number(pair["lo"], pair["hi"]))
+    counts = numbered.groupBy(*by, "bin").agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("count"))
     step = (F.col("_hi") - F.col("_lo")) / bins
     frame = limits.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
     return join_on(frame, counts, [*by, "bin"], "left").select(
@@ -393,19 +408,23 @@ def analytics(
     """Several metrics over a closed day range, from complete daily values.
 
     Tables ``stats``, ``timeline``, ``scatter`` and ``histogram``, each keyed by metric;
-    one long frame serves all metrics, so there is no loop over months or metrics.
+    one long frame serves all metrics, so there is no loop over months or metrics.  It is
+    written once, and so are its counts by value, from which the moments, the median and the
+    bins are formed: the daily values are read once for the whole bundle.
     """
     inside = daily.filter(F.col("date").between(F.lit(start), F.lit(end)))
     placed = with_class(sites).select(site, "name", "elevation_m", "band")
-    values = (
+    values = materialise(
         inside.select(site, "date", *[F.col(m).cast("double").alias(m) for m in metrics])
         .unpivot([site, "date"], list(metrics), "metric", "value")
         .filter(F.col("value").isNotNull())
-        .join(placed, site)
+        .join(placed, site),
+        "values",
     )
+    cells = contingency(values, ["metric", "value"])
     return {
-        "stats": summary_stats(values, "value", ["metric"]),
+        "stats": counted_stats(cells, "value", ["metric"]),
         "timeline": class_timeline(values, by=["metric"]),
         "scatter": site_scatter(values, "value", ["metric", site, "name", "elevation_m", "band"]),
-        "histogram": histogram(values, "value", 16, ["metric"]),
+        "histogram": histogram(cells, "value", 16, ["metric"], weight="n"),
     }

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldgauge.functions.scalars import epoch_seconds
-from fieldgauge.operators.ranks import value_ranks
+from fieldgauge.operators.ranks import join_on, row_positions, value_ranks
 
 
 def day_frame(site: Sequence[str], day: str, days: int) -> Window:
@@ -132,7 +132,7 @@ def rank_by_year(
     ranks = value_ranks(yearly, value, [year]).select(
         year, value, (F.col("n_total") - F.col("n_before") - F.col("n_equal") + 1).alias(output)
     )
-    return yearly.join(ranks, [year, value], "left")
+    return join_on(yearly, ranks, [year, value], "left")
 
 
 def tertiles(
@@ -144,14 +144,12 @@ def tertiles(
     Only where the heights differ by more than ``min_range``; otherwise NULL, since the
     thirds would carry no meaning.  Equal to ntile(3), without one task for all sites.
     """
-    height = F.col(elevation)
+    known = F.col(elevation).isNotNull()
     spread = sites.agg(F.max(elevation) - F.min(elevation)).scalar()
-    ranks = value_ranks(sites, elevation)
-    ties = Window.partitionBy(elevation).orderBy(site)
-    placed = sites.join(ranks, elevation, "left").withColumn(
-        "_i", F.when(height.isNotNull(), F.col("n_before") + F.row_number().over(ties) - 1)
-    )
-    n = F.col("n_total")
+    # sites of unknown height come last and have no position among the others
+    placed = row_positions(sites, [F.col(elevation).asc_nulls_last(), F.col(site)], "_place")
+    n = F.coalesce(sites.agg(F.count(elevation)).scalar(), F.lit(0))
+    placed = placed.withColumn("_i", F.when(known, F.col("_place")))
     big, size = n % 3, F.floor(n / 3)
     # ntile gives the first (n mod 3) groups one row more
     third = F.when(F.col("_i") < big * (size + 1), F.floor(F.col("_i") / (size + 1))).otherwise(
@@ -159,4 +157,4 @@ def tertiles(
     )
     return placed.withColumn(
         output, F.when(spread > min_range, (third + 1).cast("int"))
-    ).drop("n_equal", "n_before", "n_total", "_i")
+    ).drop("_place", "_i")

@@ -89,6 +89,21 @@ EVIDENCE_METHODS = {
 }
 
 
+def write_evidence(tables: Mapping[str, DataFrame], output: str, version: str = "", k: int = 20) -> DataFrame:
+    """Write the five tables and, last, the notes that say how each was made; returns the notes.
+
+    The notes have one row per table: its name, method, rows and columns, and the version of the
+    data.  Whoever finds notes finds all tables.
+    """
+    spark = tables["daily_metrics"].sparkSession
+    made = evidence(tables, k)
+    rows = {name: write_once(df, f"{output}/{name}") for name, df in made.items()}
+    notes = [(version, name, EVIDENCE_METHODS[name], rows[name], df.columns) for name, df in made.items()]
+    schema = "version string, table_name string, method string, n_rows bigint, columns array<string>"
+    spark.createDataFrame(notes, schema).coalesce(1).write.json(f"{output}/notes")
+    return spark.read.schema(schema).json(f"{output}/notes")
+
+
 def derive(readings: DataFrame, sites: DataFrame) -> dict[str, DataFrame]:
     """All published tables from raw readings and sites, as one lazy graph."""
     kept = dedupe_any(validate(readings), ["location_id", "timestamp"])

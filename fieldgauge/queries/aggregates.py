@@ -108,8 +108,11 @@ FROM b"""
 @query("agg7_rollup_weekly", S_DAY_SQL + rollup_sql("day", "reading", "reading_hours", "week", "avg", "2024-01-03", "2024-01-30"))
 def _(t):
     days = s_complete(t).select("location_id", "date", F.col("reading").alias("value"), F.col("reading_hours").alias("hours"))
-    daily.check_period_request("weekly", "mean", False, date(2024, 1, 3), date(2024, 1, 30), None, 5)
-    return daily.rollup_period(days, "value", "weekly", "mean", date(2024, 1, 3), date(2024, 1, 30))
+    sites = ["click", "error", "purchase", "signup", "view"]
+    return daily.answer_period_request(
+        days, "value", "weekly", "mean", date(2024, 1, 3), date(2024, 1, 30), sites, t.s_sites, additive=False,
+        coverage=(date(2024, 1, 1), date(2024, 1, 31)),
+    )
 
 
 for _period, _grain, _how, _sql_how in (

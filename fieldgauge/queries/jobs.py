@@ -229,6 +229,28 @@ def _(t):
     )
 
 
+@query("snk4_release_gates", """
+, gone AS (SELECT location_id FROM u_sites WHERE location_id % 10 = 3)
+, planned AS (SELECT location_id, 24 AS hours FROM u_sites WHERE location_id % 10 <> 7)
+, hours AS (SELECT location_id, timestamp FROM u WHERE temperature_2m IS NOT NULL)
+, keyed AS (SELECT location_id, timestamp, count(*) AS n FROM hours GROUP BY 1, 2)
+SELECT 'repeated_site' AS gate, 0::BIGINT AS violations
+UNION ALL SELECT 'repeated_hour', (SELECT count(*) FROM keyed WHERE n > 1)
+UNION ALL SELECT 'repeated_day', 0 UNION ALL SELECT 'site_without_id', 0 UNION ALL SELECT 'hour_without_key', 0
+UNION ALL SELECT 'day_without_key', 0
+UNION ALL SELECT 'unknown_site', (SELECT count(DISTINCT location_id) FROM hours WHERE location_id IN (FROM gone) OR location_id NOT IN (SELECT location_id FROM u_sites))
+UNION ALL SELECT 'empty_locations', 0 UNION ALL SELECT 'empty_enriched_weather', 0 UNION ALL SELECT 'empty_daily_metrics', 0
+UNION ALL SELECT 'planned_site_missing', (SELECT count(*) FROM planned WHERE location_id IN (FROM gone))
+UNION ALL SELECT 'site_not_planned', (SELECT count(*) FROM u_sites WHERE location_id NOT IN (FROM gone) AND location_id NOT IN (SELECT location_id FROM planned))
+UNION ALL SELECT 'readings_against_plan', abs((SELECT count(*) FROM hours) - (SELECT sum(hours) FROM planned))::BIGINT""")
+def _(t):
+    # some sites are lost after the readings were made, and the plan has others
+    days = t.u.select("location_id", F.to_date("timestamp").alias("date")).distinct()
+    plan = t.u_sites.filter("location_id % 10 <> 7").select("location_id", F.lit(24).alias("hours"))
+    tables = {"locations": t.u_sites.filter("location_id % 10 <> 3"), "enriched_weather": t.u, "daily_metrics": days}
+    return store.release_problems(tables, plan)
+
+
 @query("plan3_verify_chunks", """
 , c AS (SELECT DISTINCT location_id, year(timestamp) AS year FROM s)
 SELECT location_id, year, CASE location_id WHEN 'error' THEN 'half_committed' WHEN 'view' THEN 'mismatch'
@@ -365,6 +387,26 @@ for _table, _sql in EVIDENCE_SQL.items():
     query(f"job3_{_table}", _sql)(_evidence)
 
 
+@query("job3_evidence_notes", DAILY_SQL + """
+, n AS (SELECT 'location_comparison' AS table_name, (SELECT count(DISTINCT location_id) FROM daily) AS n_rows
+  UNION ALL SELECT 'elevation_comparison', (SELECT count(DISTINCT elevation_band) FROM daily)
+  UNION ALL SELECT 'annual_anomalies', (SELECT count(*) FROM (SELECT DISTINCT location_id, year FROM v))
+  UNION ALL SELECT 'wettest_location_days', (SELECT least(20, count(daily_precipitation_mm)) FROM daily)
+  UNION ALL SELECT 'seasonal_lapse_rates', (SELECT count(*) FROM (SELECT season FROM daily
+     WHERE daily_avg_temperature_c IS NOT NULL GROUP BY 1 HAVING count(DISTINCT elevation_m) > 1)))
+SELECT 'v1' AS version, table_name, n_rows, n_rows AS rows_read, true AS has_method FROM n""")
+def _(t):
+    output = staging_path(t.spark, "evidence")
+    notes = jobs.write_evidence(u_tables(t), output, "v1")
+    read = reshape.union_all(*[
+        t.spark.read.parquet(f"{output}/{name}").agg(F.count(F.lit(1)).alias("rows_read")).select(
+            F.lit(name).alias("table_name"), "rows_read") for name in EVIDENCE_SQL
+    ])
+    return notes.join(read, "table_name").select(
+        "version", "table_name", "n_rows", "rows_read", (F.length("method") > 0).alias("has_method")
+    )
+
+
 @query("job4_process", DAILY_SQL + """
 SELECT 'daily_metrics' AS table_name, count(*) AS n_rows FROM daily
 UNION ALL SELECT 'enriched_weather', count(*) FROM v

@@ -54,6 +54,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; none if it is not there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()]
+
+
 def materialise(df: DataFrame, label: str = "cut") -> DataFrame:
     """Cut lineage through a written table, so a lost executor costs no recomputation."""
     path = staging_path(df.sparkSession, label)

@@ -15,8 +15,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from fieldgauge.operators.coverage import coverage_vs_window
 from fieldgauge.operators.filters import require_columns
-from fieldgauge.operators.joins import orphans
-from fieldgauge.operators.quality import not_null, unique_grain
 from fieldgauge.schemas import PUBLISHED_TABLES, VERSION_PATTERN
 from fieldgauge.session import path_exists
 
@@ -90,29 +88,52 @@ def fingerprint_text(df: DataFrame) -> str:
     return f"{row.n_rows}-{row.hash_xor & (2**64 - 1):016x}-{row.hash_sum}"
 
 
-def release_problems(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Key gates of a release as rows (gate, violations); all zero = may be published."""
+def release_problems(tables: Mapping[str, DataFrame], plan: DataFrame | None = None) -> DataFrame:
+    """Gates of a release as rows (gate, violations); all zero = may be published.
+
+    Every key of the three keyed tables becomes one marked row; the rows are counted by key,
+    the keys by site, and the sites once more, so each table is read once for all gates.  A
+    study ``plan`` (``location_id`` and ``hours`` per chunk) adds its own: the release must hold
+    the planned sites, no others, and as many readings as planned.
+    """
     sites, readings, daily = (tables[n] for n in ("locations", "enriched_weather", "daily_metrics"))
-    gates: dict[str, DataFrame] = {
-        "repeated_site": unique_grain(sites, ["location_id"]),
-        "site_without_id": not_null(sites, ["location_id"]),
-        "repeated_hour": unique_grain(readings, ["location_id", "timestamp"]),
-        "hour_without_key": not_null(readings, ["location_id", "timestamp"]),
-        "repeated_day": unique_grain(daily, ["location_id", "date"]),
-        "day_without_key": not_null(daily, ["location_id", "date"]),
-        "unknown_site": orphans(readings, sites, ["location_id"]),
+
+    def marked(df: DataFrame, kind: str, at: Column) -> DataFrame:
+        return df.select(F.lit(kind).alias("kind"), F.col("location_id").cast("string").alias("site"),
+                         at.cast("string").alias("at"), F.lit(1).cast("bigint").alias("n"))
+
+    rows = [marked(sites, "site", F.lit("")), marked(readings, "hour", F.col("timestamp")), marked(daily, "day", F.col("date"))]
+    if plan is not None:
+        rows.append(plan.select(F.lit("plan"), F.col("location_id").cast("string"), F.lit(""), F.col("hours").cast("bigint")))
+    keys = reduce(DataFrame.unionAll, rows).groupBy("kind", "site", "at").agg(F.sum("n").alias("n"))
+    without_key = F.col("site").isNull() | F.col("at").isNull()
+    of = lambda kind, c=None: (F.col("kind") == kind) & c if c is not None else F.col("kind") == kind
+    names = {"site": "site", "hour": "hour", "day": "day"}
+    by_site = keys.groupBy("site").agg(
+        *[F.count_if(of(k, F.col("n") > 1)).alias(f"repeated_{k}") for k in names],
+        *[F.coalesce(F.sum(F.when(of(k, without_key), F.col("n"))), F.lit(0)).alias(f"without_key_{k}") for k in names],
+        *[F.coalesce(F.sum(F.when(of(k), F.col("n"))), F.lit(0)).alias(f"n_{k}") for k in [*names, "plan"]],
+        *[F.bool_or(of(k)).alias(f"has_{k}") for k in ("site", "hour", "plan")],
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    named = F.col("site").isNotNull()
+    gates = {
+        "repeated_site": total("repeated_site"), "repeated_hour": total("repeated_hour"), "repeated_day": total("repeated_day"),
+        "site_without_id": total("without_key_site"), "hour_without_key": total("without_key_hour"),
+        "day_without_key": total("without_key_day"),
+        "unknown_site": F.count_if(named & F.col("has_hour") & ~F.col("has_site")),
+        "empty_locations": (total("n_site") == 0).cast("bigint"),
+        "empty_enriched_weather": (total("n_hour") == 0).cast("bigint"),
+        "empty_daily_metrics": (total("n_day") == 0).cast("bigint"),
     }
-    counted = [
-        gate.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("gate"), "violations")
-        for name, gate in gates.items()
-    ]
-    empty = [
-        tables[n].limit(1).agg(F.count_if(F.lit(True)).alias("_n")).select(
-            F.lit(f"empty_{n}").alias("gate"), (1 - F.col("_n")).alias("violations")
-        )
-        for n in ("locations", "enriched_weather", "daily_metrics")
-    ]
-    return reduce(DataFrame.unionByName, counted + empty)
+    if plan is not None:
+        gates |= {
+            "planned_site_missing": F.count_if(F.col("has_plan") & ~F.col("has_site")),
+            "site_not_planned": F.count_if(named & F.col("has_site") & ~F.col("has_plan")),
+            "readings_against_plan": F.abs(total("n_hour") - total("n_plan")),
+        }
+    counted = by_site.agg(*[c.alias(g) for g, c in gates.items()])
+    return counted.unpivot([], list(gates), "gate", "violations")
 
 
 def check_version(version: str) -> str:
@@ -123,10 +144,13 @@ def check_version(version: str) -> str:
 
 def publish(
     spark: SparkSession, tables: Mapping[str, DataFrame], root: str, version: str,
-    require_full_coverage: bool = False,
+    require_full_coverage: bool = False, plan: DataFrame | None = None,
 ) -> DataFrame:
     """Publish the six tables as an immutable version and make it active.
 
+    With a study ``plan`` (chunks as :func:`planning.expected_chunks` makes them) the release
+    must be the whole study: its sites, its number of readings, and no missing hour.
+
     Order: required columns, then the tables, gates on what was written, the manifest,
     and the pointer last.  A failure before that leaves the old version active.  Every
     attempt writes below a directory of its own, which the manifest names: files of a failed
@@ -146,11 +170,11 @@ def publish(
     for name in PUBLISHED_TABLES:
         rows[name] = write_once(tables[name], f"{attempt}/{name}")
         written[name] = spark.read.schema(tables[name].schema).parquet(f"{attempt}/{name}")
-    failed = [r.gate for r in release_problems(written).filter("violations > 0").collect()]
+    failed = [r.gate for r in release_problems(written, plan).filter("violations > 0").collect()]
     if failed:
         raise ValueError(f"release {version} fails {sorted(failed)}")
     cover = coverage_vs_window(written["enriched_weather"], written["locations"])
-    if require_full_coverage and not cover.filter("missing_hours > 0").isEmpty():
+    if (require_full_coverage or plan is not None) and not cover.filter("missing_hours > 0").isEmpty():
         raise ValueError("the study has missing hours")
     cover.write.parquet(f"{attempt}/coverage")
     span = written["enriched_weather"].agg(

@@ -135,6 +135,13 @@ def test_period_rollup(spark):
         daily.check_period_request("monthly", "sum", False, date(2024, 1, 1), date(2024, 1, 4), None, 1)
     with pytest.raises(ValueError):
         daily.check_period_request("daily", "mean", True, date(2024, 1, 1), date(2024, 6, 4), None, 1)
+    ask = lambda **more: daily.answer_period_request(
+        full, "value", "monthly", "sum", date(2024, 1, 1), date(2024, 1, 4), known=full.select("location_id"), **more)
+    assert rows(ask(chosen=["a"]), "value") == [(168.0,)]
+    for wrong in (dict(chosen=["a", "unknown"]), dict(chosen=[]), dict(chosen=["a"], coverage=(date(2024, 1, 2), date(2024, 1, 4))),
+                  dict(chosen=["a"], additive=False), dict(chosen=[str(i) for i in range(101)])):
+        with pytest.raises(ValueError):
+            ask(**wrong)
 
 
 def test_summary_card_and_timeline(spark):

@@ -149,6 +149,54 @@ def test_publish_reuse_and_evidence(spark, tables, tmp_path):
     assert bands["highland"].mean_location_daily_precipitation_mm == 1.5
 
 
+def test_release_against_the_study_plan(spark, tables, tmp_path):
+    root = str(tmp_path / "store")
+    hours = lambda *chunks: spark.createDataFrame(chunks, "location_id string, year int, hours int")
+    failing = {
+        "planned_site_missing": hours(("low", 2024, 4), ("high", 2024, 2), ("other", 2024, 2)),
+        "site_not_planned": hours(("low", 2024, 8)),
+        "readings_against_plan": hours(("low", 2024, 5), ("high", 2024, 4)),
+    }
+    for gate, plan in failing.items():
+        found = {r.gate: r.violations for r in store.release_problems(tables, plan).filter("violations > 0").collect()}
+        assert list(found) == [gate]
+        with pytest.raises(ValueError, match=gate):
+            store.publish(spark, tables, root, "v1", plan=plan)
+    whole = hours(("low", 2024, 4), ("high", 2024, 4))
+    # two of 24 hours of each day are there: the study is not covered
+    with pytest.raises(ValueError, match="missing hours"):
+        store.publish(spark, tables, root, "v1", plan=whole)
+    # a version that failed can be published again
+    assert store.publish(spark, tables, root, "v1").count() == 6
+    surplus = {**tables, "enriched_weather": tables["enriched_weather"].unionByName(
+        tables["enriched_weather"].limit(1).withColumn("location_id", F.lit("ghost")))}
+    found = {r.gate: r.violations for r in store.release_problems(surplus, whole).collect()}
+    assert (found["unknown_site"], found["readings_against_plan"], found["repeated_hour"]) == (1, 1, 0)
+    lost = tables["enriched_weather"].withColumn("timestamp", F.when(F.hour("timestamp") > 0, F.col("timestamp")))
+    found = {r.gate: r.violations for r in store.release_problems({**tables, "enriched_weather": lost}).collect()}
+    assert found["hour_without_key"] == 4
+    none = {n: df.limit(0) for n, df in tables.items()}
+    found = {r.gate for r in store.release_problems(none).filter("violations > 0").collect()}
+    assert found == {"empty_locations", "empty_enriched_weather", "empty_daily_metrics"}
+
+
+def test_each_table_is_read_once_for_all_gates(spark, tables, tmp_path):
+    store.publish(spark, tables, str(tmp_path / "s"), "v1")
+    release = store.ReleaseStore(spark, str(tmp_path / "s"))
+    plan = store.release_problems({n: release.read(n) for n in tables})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 3
+
+
+def test_evidence_is_written_with_its_notes(spark, tables, tmp_path):
+    notes = {r.table_name: r for r in jobs.write_evidence(tables, str(tmp_path / "e"), "v1").collect()}
+    assert set(notes) == set(jobs.EVIDENCE_METHODS)
+    for name, note in notes.items():
+        held = spark.read.parquet(str(tmp_path / "e" / name))
+        assert (note.n_rows, note.columns, note.method) == (held.count(), held.columns, jobs.EVIDENCE_METHODS[name])
+    with pytest.raises(FileExistsError):
+        jobs.write_evidence(tables, str(tmp_path / "e"), "v1")
+
+
 def test_fingerprint_sees_content_only(spark, tables):
     df = tables["enriched_weather"]
     text = store.fingerprint_text(df)
@@ -198,6 +246,40 @@ def test_halo_rebuild_equals_a_full_one(spark):
     assert len(got) == 30 and all(full[d] == v for d, v in got.items())
 
 
+def test_revision_log_opens_the_touched_days_only(spark, tmp_path):
+    schema = "location_id string, timestamp timestamp, v double, loaded_at timestamp, source_file string, source_row_number int"
+    t = lambda d, h=0: datetime(2024, 1, d, h, tzinfo=UTC)
+    batches = [
+        [("a", t(d, h), float(d), t(20), "f1", h) for d in range(1, 11) for h in (0, 1)],
+        [("a", t(3), 30.0, t(21), "f2", 1), ("b", t(3), 7.0, t(21), "f2", 2)],
+        [("a", t(3), 31.0, t(22), "f3", 1), ("a", t(9, 5), 90.0, t(22), "f3", 2)],
+    ]
+    build = lambda rows: revisions.apply_revisions(rows, rows.limit(0)).groupBy(
+        "location_id", F.to_date("timestamp").alias("date")).agg(F.avg("v").alias("v"), F.count("v").alias("n"))
+    log, daily_path = str(tmp_path / "log"), str(tmp_path / "daily")
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(spark.createDataFrame([], schema).schema).parquet(str(tmp_path / "in"))
+        revisions.revision_stream(stream, log, daily_path, build, str(tmp_path / "ck")).awaitTermination()
+    whole = spark.createDataFrame([r for rows in batches for r in rows], schema)
+    key = lambda df: sorted(map(tuple, df.select("location_id", "date", "v", "n").collect()))
+    assert key(revisions.current_days(spark.read.parquet(daily_path))) == key(build(whole))
+    days = spark.createDataFrame([("2024-01-03",), ("2024-01-09",), ("2024-02-01",)], "day string").select(F.col("day").cast("date"))
+    read = lambda path, upto: revisions.revisions_of_days(spark, path, whole.schema, days, upto)
+    files = {f.split("/log/")[1].rsplit("/", 1)[0] for f in read(log, 9).inputFiles()}
+    assert files == {"day=2024-01-03/batch=0", "day=2024-01-03/batch=1", "day=2024-01-03/batch=2", "day=2024-01-09/batch=0", "day=2024-01-09/batch=2"}
+    assert read(log, 0).count() == 4 and read(log, 9).count() == 8
+    # a batch that is run again adds nothing
+    revisions.append_revisions(spark.createDataFrame(batches[1], schema), log, 1)
+    assert read(log, 9).count() == 8
+    short = str(tmp_path / "short")
+    revisions.compact(spark, log, short, whole.schema)
+    assert read(short, 0).count() == 6 and len(read(short, 0).inputFiles()) == 2
+    assert key(build(spark.read.parquet(short).drop("day", "batch"))) == key(build(whole))
+    revisions.append_revisions(spark.createDataFrame([("a", t(3), 32.0, t(23), "f4", 1)], schema), short, 3)
+    assert {r.v for r in build(read(short, 3).drop("day")).filter("date = '2024-01-03' and location_id = 'a'").collect()} == {17.5}
+
+
 def test_a_failed_writer_does_not_block_the_next(spark, tmp_path):
     half = tmp_path / "key" / "attempt-dead"
     half.mkdir(parents=True)
