@@ -12,6 +12,37 @@ from fieldgauge.queries.bindings import r, season_sql
 from fieldgauge.queries.registry import query
 from fieldgauge.session import materialise
 
+# ---------------------------------------------------------- tails in SQL ----
+# Each is the integral of the density beyond the statistic over the whole integral, by Simpson's
+# rule in a variable in which the density is smooth, so that no gamma function is needed.
+
+
+def simpson(density: str, low: str, high: str, panels: int = 2000) -> str:
+    """Integral of ``density``, an expression of ``u``."""
+    at = f"(({low}) + i * (({high}) - ({low})) / {panels})"
+    weight = f"(CASE WHEN i % {panels} = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)"
+    total = f"list_sum(list_transform(range(0, {panels + 1}), lambda i: {weight} * {density.replace('#u', at)}))"
+    return f"((({high}) - ({low})) / {3 * panels} * {total})"
+
+
+def share(density: str, low: str, high: str) -> str:
+    return f"({simpson(density, low, high)} / {simpson(density, '0.0', high)})"
+
+
+def t_tail_sql(t: str, df: str) -> str:
+    """Two-sided Student-t: with t = sqrt(df) tan(u) the density is a power of the cosine."""
+    reach = f"least(pi() / 2, 12 / sqrt({df}))"  # what lies beyond is below 1e-30
+    return share(f"pow(cos(#u), {df} - 1)", f"least(atan(abs({t}) / sqrt({df})), {reach})", reach)
+
+
+def chi2_tail_sql(x: str, df: str) -> str:
+    """Upper chi-square: with x = u^2 the density is u^(df - 1) exp(-u^2 / 2), here over its peak."""
+    peak = f"sqrt(greatest({df} - 1, 1.0))"
+    high = f"({peak} + 12)"
+    density = f"exp(({df} - 1) * ln(greatest(#u, 1e-300) / {peak}) - (#u * #u - {peak} * {peak}) / 2)"
+    return share(density, f"least(sqrt({x}), {high})", high)
+
+
 SITE_MEANS_SQL = """
 , sm AS (SELECT location_id, any_value(country) AS country, any_value(region) AS region, any_value(elevation_m) AS elevation_m,
                 any_value(latitude) AS latitude, avg(quantity) AS quantity, avg(price) AS price
@@ -35,6 +66,10 @@ def scoped(t):
     return association.with_scopes(site_means(t), {"all": F.lit(True), "asia": F.col("region") == "ASIA"})
 
 
+#: of a correlation r of n pairs
+R_TAIL_SQL = t_tail_sql("(r * sqrt((n - 2) / (1 - r * r)))", "(n - 2)")
+
+
 @query("stat1_lapse_rates", f"""
 , d AS (SELECT location_id, CAST(timestamp AS DATE) AS date, {season_sql()} AS season, elevation_m, avg(price) AS v
         FROM w_at_sites GROUP BY ALL)
@@ -53,12 +88,18 @@ def _(t):
 
 
 @query("stat2_pearson", SITE_MEANS_SQL + f"""
-SELECT scope, predictor, outcome, count(*) AS n, {r('corr(x, y)')} AS r FROM pr GROUP BY 1, 2, 3""")
+, c AS (SELECT scope, predictor, outcome, count(*) AS n, corr(x, y) AS r FROM pr GROUP BY 1, 2, 3)
+SELECT scope, predictor, outcome, n, {r('r')} AS r, {r(R_TAIL_SQL)} AS p FROM c""")
 def _(t):
-    return association.pearson(scoped(t), PAIRS, ["scope"]).drop("p")
+    return association.pearson(scoped(t), PAIRS, ["scope"])
 
 
-@query("stat2_pearson_monthly_p")
+@query("stat2_pearson_monthly_p", f"""
+, m AS (SELECT location_id, month(timestamp) AS month, any_value(elevation_m) AS x, avg(quantity) AS quantity, avg(price) AS price
+        FROM w_at_sites GROUP BY 1, 2)
+, c AS (SELECT month, 'elevation_m' AS predictor, 'quantity' AS outcome, CAST(regr_count(quantity, x) AS BIGINT) AS n, corr(x, quantity) AS r FROM m GROUP BY 1
+  UNION ALL SELECT month, 'elevation_m', 'price', CAST(regr_count(price, x) AS BIGINT), corr(x, price) FROM m GROUP BY 1)
+SELECT month, predictor, outcome, n, {r('r')} AS r, {r(R_TAIL_SQL)} AS p FROM c""")
 def _(t):
     rows = t.w_at_sites.groupBy("location_id", F.month("timestamp").alias("month")).agg(
         F.first("elevation_m").alias("elevation_m"), F.avg("quantity").alias("quantity"), F.avg("price").alias("price")
@@ -74,9 +115,10 @@ RANKED_SQL = """
 
 
 @query("stat3_spearman", SITE_MEANS_SQL + RANKED_SQL + f"""
-SELECT scope, predictor, outcome, count(*) AS n, {r('corr(rx, ry)')} AS r FROM rk GROUP BY 1, 2, 3""")
+, c AS (SELECT scope, predictor, outcome, count(*) AS n, corr(rx, ry) AS r FROM rk GROUP BY 1, 2, 3)
+SELECT scope, predictor, outcome, n, {r('r')} AS r, {r(R_TAIL_SQL)} AS p FROM c""")
 def _(t):
-    return association.spearman(scoped(t), PAIRS, ["scope"]).drop("p")
+    return association.spearman(scoped(t), PAIRS, ["scope"])
 
 
 @query("stat4_kruskal", W_LONG_SQL + f"""
@@ -85,11 +127,12 @@ def _(t):
          + (count(*) OVER (PARTITION BY metric, value) - 1) / 2 AS rk FROM dl)
 , tot AS (SELECT metric, avg(rk) AS m, var_samp(rk) AS v, count(*) AS n FROM rk GROUP BY 1)
 , g AS (SELECT metric, location_id, count(*) AS n, avg(rk) AS m FROM rk GROUP BY 1, 2)
-SELECT g.metric, any_value(tot.n) AS n, count(*) AS groups, {r('sum(g.n * pow(g.m - tot.m, 2)) / any_value(tot.v)')} AS statistic
-FROM g JOIN tot ON tot.metric = g.metric GROUP BY 1""")
+, h AS (SELECT g.metric, any_value(tot.n) AS n, count(*) AS groups, sum(g.n * pow(g.m - tot.m, 2)) / any_value(tot.v) AS h
+       FROM g JOIN tot ON tot.metric = g.metric GROUP BY 1)
+SELECT metric, n, groups, {r('h')} AS statistic, {r(chi2_tail_sql('h', '(groups - 1)'))} AS p FROM h""")
 def _(t):
     long = reshape.to_long(t.w, ["location_id"], ["quantity", "price"])
-    return association.kruskal(long, "location_id", "value", ["metric"]).drop("p")
+    return association.kruskal(long, "location_id", "value", ["metric"])
 
 
 Y6_SQL = Y_MONTH_SQL + """
@@ -108,9 +151,10 @@ def y6(t):
 , tie AS (SELECT location_id, sum(c * c * c - c) AS t FROM (SELECT location_id, year, value, count(*) AS c FROM y6 GROUP BY 1, 2, 3) GROUP BY 1)
 , q AS (SELECT rs.location_id, (12.0 / (6 * 12 * 13) * sum(s * s) - 3 * 6 * 13) / (1 - any_value(t) / (6 * 12 * 143.0)) AS q
         FROM rs JOIN tie USING (location_id) GROUP BY 1)
-SELECT location_id, CAST(6 AS BIGINT) AS blocks, CAST(12 AS BIGINT) AS treatments, {r('q')} AS statistic, {r('q / 66')} AS kendall_w FROM q""")
+SELECT location_id, CAST(6 AS BIGINT) AS blocks, CAST(12 AS BIGINT) AS treatments, {r('q')} AS statistic, {r('q / 66')} AS kendall_w,
+       {r(chi2_tail_sql('q', '11'))} AS p FROM q""")
 def _(t):
-    return association.friedman(y6(t), "year", "month", "value", ["location_id"]).drop("p")
+    return association.friedman(y6(t), "year", "month", "value", ["location_id"])
 
 
 def y6_ranks(t):
@@ -396,13 +440,17 @@ def _(t):
     )
 
 
-@query("stat15_norm_ppf")
+@query("stat15_norm_ppf", f"""
+, k AS (SELECT location_id, rank() OVER (ORDER BY elevation_m) + (count(*) OVER (PARTITION BY elevation_m) - 1) / 2 AS rk, count(*) OVER () AS n
+        FROM w_sites)
+SELECT location_id, {r('0.5 + rk / (2 * (n + 1))')} AS probability, {r('0.5 + rk / (2 * (n + 1))')} AS back FROM k""")
 def _(t):
     n = t.w_sites.select("location_id", "elevation_m")
     ranked = ranks.avg_rank(n, "elevation_m", output="rank")
     total = n.agg(F.count(F.lit(1))).scalar()
-    return ranked.select(
-        "location_id", dist.norm_ppf(0.5 + F.col("rank") / (2 * (total + 1))).alias("normal_score")
-    )
+    probability = 0.5 + F.col("rank") / (2 * (total + 1))
+    score = dist.norm_ppf(probability)
+    # the score is positive, so its upper tail is half of the two-sided one
+    return ranked.select("location_id", probability.alias("probability"), (1 - dist.p_norm(score) / 2).alias("back"))
 
 
