@@ -144,7 +144,7 @@ class Aligner:
         """A ids of each chunk after a space, one after the other."""
         # a chunk that itself begins or ends with a space does not part from its neighbours, and the
         # classes of later characters differ between Unicode versions
-        quick = [bool(c) and not c[0].isspace() and c[-1] != " " and max(c) < _KNOWN for c in chunks]
+        quick = [_is_plain(c) for c in chunks]
         if all(quick):
             return np.array(self.quick(f" {' '.join(chunks)}") if chunks else [], np.int64)
         parts: list[list[int]] = []
@@ -154,6 +154,12 @@ class Aligner:
         return _flat(parts)
 
 
+def _is_plain(c: str) -> bool:
+    if c.isascii() and c and c[0] > " ":
+        return c[-1] != " "
+    return bool(c) and not c[0].isspace() and c[-1] != " " and max(c) < _KNOWN
+
+
 def _lengths(lists: list) -> np.ndarray:
     return np.fromiter(map(len, lists), np.int64, len(lists))
 
@@ -200,13 +206,27 @@ class Aligned:
         upto = ends.tolist()
         return [values[i:k] for i, k in zip([0, *upto], upto)]
 
-    def group_texts(self) -> list[str]:
-        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
-        out, i, k = [], 0, 0
-        for x, y in zip(self.a_ends.tolist(), self.b_ends.tolist()):
-            out.append(f"{','.join(a[i:x])}|{','.join(b[k:y])}")
-            i, k = x, y
-        return out
+    def group_texts(self, a_names: np.ndarray, b_names: np.ndarray) -> list[str]:
+        """For each good chunk its groups, ``a1,a2|b1;`` with a semicolon after each.
+
+        ``a_names`` and ``b_names`` hold the ids as texts, with a comma at 2 * id and with the mark
+        that ends their side of a group at 2 * id + 1.
+        """
+        before_a = np.repeat(np.concatenate(([0], self.b_ends[:-1])), np.diff(self.a_ends, prepend=0))
+        before_b = np.repeat(self.a_ends, np.diff(self.b_ends, prepend=0))
+        last_a, last_b = np.zeros(len(self.a), np.int64), np.zeros(len(self.b), np.int64)
+        last_a[self.a_ends - 1] = last_b[self.b_ends - 1] = 1
+        out = np.empty(len(self.a) + len(self.b), object)
+        out[np.arange(len(self.a)) + before_a] = a_names[2 * self.a + last_a]
+        out[np.arange(len(self.b)) + before_b] = b_names[2 * self.b + last_b]
+        return list(map("".join, self.of_chunks(np.cumsum(self.n_a + self.n_b), out.tolist())))
+
+
+def id_names(n: int, end: str) -> np.ndarray:
+    names = np.empty(2 * n, object)
+    names[0::2] = [f"{i}," for i in range(n)]
+    names[1::2] = [f"{i}{end}" for i in range(n)]
+    return names
 
 
 def _texts(column) -> Iterator[str | None]:
@@ -391,6 +411,7 @@ class Sums:
     def __init__(self, aligner: Aligner, counts: Counts | None):
         self.chunks = _Chunks(aligner, self._keep, self._forget)
         self.counts = counts
+        self.names = id_names(len(aligner.a_bytes), "|"), id_names(len(aligner.b_bytes), ";")
         # by chunk number: the sums and whether the bytes differ, the text of the groups, the linked pairs
         self.sums = np.zeros((0, len(_SUMS) + 1), np.int64)
         self.groups: list[str] = []
@@ -411,8 +432,8 @@ class Sums:
             room[:first] = self.sums[:first]
             self.sums = room
         self.sums[first : first + n] = rows
-        texts = iter(found.of_chunks(found.group_ends, found.group_texts()))
-        self.groups += [";".join(next(texts)) if ok else "" for ok in found.good.tolist()]
+        texts = iter(found.group_texts(*self.names))
+        self.groups += [next(texts) if ok else "" for ok in found.good.tolist()]
         if not self.counts:
             links = iter(found.of_chunks(found.link_ends, found.links.tolist()))
             self.pairs += [next(links) if ok else [] for ok in found.good.tolist()]
@@ -433,7 +454,8 @@ class Sums:
         sums[~whole] = 0
         groups, pairs = [], []
         for ok, run in zip(whole.tolist(), _runs(numbers, lengths)):
-            groups.append(";".join(map(self.groups.__getitem__, run)) if ok else "")
+            # without the last semicolon
+            groups.append("".join(map(self.groups.__getitem__, run))[:-1] if ok else "")
             if not self.counts:
                 held = map(self.pairs.__getitem__, run) if ok else ()
                 pairs.append(list(Counter(chain.from_iterable(held)).items()))
