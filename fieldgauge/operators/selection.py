@@ -37,21 +37,24 @@ def top_n_nulls_last(df: DataFrame, score: str, n: int, ties: Sequence[str]) ->
     return df.orderBy(F.col(score).desc_nulls_last(), *ties).limit(n)
 
 
-def sample_for_plot(df: DataFrame, grain: str, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
-    """Share of the rows that suits the grain, then at most ``n`` of them.
+def draw_order(keys: Sequence[str], seed: int) -> Column:
+    """Digest of the row key and the seed, written out as text: the order of a random draw.
 
-    The draw hashes the row key, so it does not change with the partitioning or when a
-    lost task is run again.
+    It depends on the values of the keys alone, so a draw does not change with the partitioning,
+    when a lost task is run again, or with the engine that repeats it.
     """
-    share = PLOT_FRACTION[grain]
-    spread = 1_000_000
-    drawn = df.filter(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(spread)) < int(share * spread))
-    return sample_n(drawn, n, keys, seed + 1)
+    return F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+
+
+def sample_for_plot(df: DataFrame, grain: str, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
+    """Share of the rows that suits the grain, then at most ``n`` of them."""
+    place = F.conv(F.substring(draw_order(keys, seed), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+    return sample_n(df.filter(place < PLOT_FRACTION[grain]), n, keys, seed + 1)
 
 
 def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
-    """Random sample of fixed size, the same on every run: the ``n`` smallest key hashes."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """Random sample of fixed size, the same on every run: the first ``n`` rows in draw order."""
+    return df.orderBy(draw_order(keys, seed), *keys).limit(n)
 
 
 def even_hours(df: DataFrame, n: int = 400, ts: str = "timestamp") -> DataFrame:

@@ -708,14 +708,22 @@ def _(t):
     return selection.top_n_nulls_last(scored, "score", 15, ["location_id"])
 
 
-@query("top4_sample_for_plot")
+DRAW_SQL = "md5(concat_ws(':', order_id, line, location_id, timestamp, '{}'))"
+
+
+@query("top4_sample_for_plot", f"""
+SELECT location_id, timestamp, {r('quantity')} AS quantity, {r('price')} AS price FROM w
+WHERE ('0x' || substr({DRAW_SQL.format(42)}, 1, 8))::UBIGINT / 4294967296.0 < {selection.PLOT_FRACTION['day']}
+ORDER BY {DRAW_SQL.format(43)}, order_id, line LIMIT 5000""")
 def _(t):
     return selection.sample_for_plot(t.w, "day", 5000, ["order_id", "line", "location_id", "timestamp"]).select(
         "location_id", "timestamp", "quantity", "price"
     )
 
 
-@query("top5_sample_n")
+@query("top5_sample_n", f"""
+SELECT location_id, timestamp, {r('quantity')} AS quantity, {r('price')} AS price FROM w
+ORDER BY {DRAW_SQL.format(42)}, order_id, line LIMIT 2000""")
 def _(t):
     return selection.sample_n(t.w, 2000, ["order_id", "line", "location_id", "timestamp"]).select(
         "location_id", "timestamp", "quantity", "price"

@@ -575,10 +575,29 @@ def _(t):
     ]).groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"), F.avg("value").alias("mean"))
 
 
-@query("ml4_compare_models")
+# rows of the models, and the part of them before the last month
+ML_SQL = """
+, ml AS (SELECT location_id, country, timestamp, quantity, elevation_m FROM w_at_sites WHERE quantity IS NOT NULL)
+, cut AS (SELECT date_trunc('month', max(timestamp)) AS c FROM ml)"""
+
+
+@query("ml4_compare_models", ML_SQL + f"""
+, b AS (SELECT avg(quantity) AS m FROM ml, cut WHERE timestamp < c)
+, t AS (SELECT count(*) AS n, avg(abs(quantity - m)) AS mae, sqrt(avg(pow(quantity - m, 2))) AS rmse FROM ml, cut, b WHERE timestamp >= c)
+SELECT name AS model, n AS test_rows, {r('mae')} AS baseline_mae, {r('rmse')} AS baseline_rmse, true AS near_baseline, name = 'mean baseline' AS is_baseline
+FROM t, (VALUES ('mean baseline'), ('linear regression'), ('random forest'), ('gradient boosting')) v(name)""")
 def _(t):
+    # the quantities are random, so no model can do much better or worse than their mean
     train, test = models.time_holdout(ml_rows(t))
-    return models.compare_models(train, test, "quantity", ML_COLUMNS)[0]
+    table, _fitted = models.compare_models(train, test, "quantity", ML_COLUMNS)
+    named = F.col("model") == "mean baseline"
+    ends = table.filter(named).agg(F.struct(F.first("mae").alias("mae"), F.first("rmse").alias("rmse"))).scalar()
+    rows = test.agg(F.count("quantity")).scalar()
+    ratio = F.col("rmse") / ends["rmse"]
+    return table.select(
+        "model", rows.alias("test_rows"), ends["mae"].alias("baseline_mae"), ends["rmse"].alias("baseline_rmse"),
+        ratio.between(0.8, 1.25).alias("near_baseline"), (named & (F.col("rmse") == ends["rmse"])).alias("is_baseline"),
+    )
 
 
 PREDICTED_SQL = """
@@ -614,41 +633,94 @@ def _(t):
     return models.expanding_folds(t.s, 4)
 
 
-@query("ml8_random_search")
+def listed(choices) -> str:
+    return ", ".join("({}, '{}')".format(n, str(dict(c)).replace("'", "''")) for n, c in enumerate(choices))
+
+
+@query("ml8_random_search", ML_SQL + f"""
+, tr AS (SELECT timestamp, quantity FROM ml, cut WHERE timestamp < c)
+, st AS (SELECT timestamp, row_number() OVER (ORDER BY timestamp) - 1 AS i, count(*) OVER () - 1 AS last FROM (SELECT DISTINCT timestamp FROM tr))
+, pick AS (SELECT DISTINCT CASE WHEN last < 400 THEN k WHEN k = 399 THEN last ELSE CAST(floor(k * (last / 399::DOUBLE)) AS BIGINT) END AS i
+           FROM (SELECT DISTINCT last FROM st), range(0, 400) x(k) WHERE k <= last)
+, tu AS (SELECT timestamp, row_number() OVER (ORDER BY timestamp) - 1 AS i, count(*) OVER () AS n FROM st JOIN pick USING (i))
+, fo AS (SELECT timestamp, CASE WHEN i < n - (n // 5) * 4 THEN 0 ELSE (i - (n - (n // 5) * 4)) // (n // 5) + 1 END AS fold FROM tu)
+, rr AS (SELECT quantity, fold FROM tr JOIN fo USING (timestamp))
+, part AS (SELECT k.i AS fold, (SELECT count(*) FROM rr WHERE fold < k.i) AS train_rows, (SELECT count(*) FROM rr WHERE fold = k.i) AS rows,
+           (SELECT sqrt(avg(pow(quantity - (SELECT avg(quantity) FROM rr WHERE fold < k.i), 2))) FROM rr WHERE fold = k.i) AS base FROM range(1, 5) k(i))
+SELECT candidate, fold, parameters, train_rows, rows, {r('base')} AS baseline_rmse, true AS near_baseline
+FROM part, (VALUES {listed(models.candidates())}) v(candidate, parameters)""")
 def _(t):
     train, _test = models.time_holdout(ml_rows(t))
     table, _best, _model = models.random_search(
         train, "quantity", ML_COLUMNS, models.candidates(), tuning=selection.even_hours(train, 400)
     )
-    return table
+    return table.withColumn("near_baseline", (F.col("rmse") / F.col("baseline_rmse")).between(0.8, 1.25)).drop("rmse")
 
 
 def forest(t):
     train, test = models.time_holdout(ml_rows(t))
-    model = models.assembled(models.default_models("quantity")["random forest"], ML_COLUMNS).fit(train)
+    kept = models.for_many_passes(train.select("quantity", *ML_COLUMNS))
+    grown = models.default_models("quantity")["random forest"].setParams(**models.grown_from_cached_nodes(t.spark))
+    model = models.assembled(grown, ML_COLUMNS).fit(kept)
+    kept.unpersist()
     return model, test
 
 
-@query("ml9_permutation_importance")
+FEATURES_SQL = f"""
+, v AS (SELECT * FROM (VALUES {', '.join(f"('{c}')" for c in ML_COLUMNS)}) v(feature))"""
+
+
+@query("ml9_permutation_importance", FEATURES_SQL + "SELECT feature, true AS near_zero, true AS spread_is_smaller FROM v")
 def _(t):
+    # the target is random, so no feature is worth much, however the forest uses it
     model, test = forest(t)
-    return models.permutation_importance(
+    found = models.permutation_importance(
         model, test, "quantity", ML_COLUMNS, ["order_id", "line", "location_id", "timestamp"]
     )
+    return found.select("feature", (F.abs("importance") < 0.5).alias("near_zero"), F.col("spread").between(0, 0.5).alias("spread_is_smaller"))
 
 
-@query("ml10_split_importance")
+@query("ml10_split_importance", FEATURES_SQL + "SELECT feature, true AS is_share, true AS shares_add_up FROM v")
 def _(t):
-    return models.split_importance(forest(t)[0], ML_COLUMNS, t.spark)
+    found = models.split_importance(forest(t)[0], ML_COLUMNS, t.spark)
+    total = found.agg(F.sum("split_importance")).scalar()
+    return found.select(
+        "feature", F.col("split_importance").between(0, 1).alias("is_share"), (F.abs(total - 1) < 1e-9).alias("shares_add_up")
+    )
 
 
 def site_features(t):
     return t.w_at_sites.groupBy("location_id", "country", "elevation_m").agg(*[F.avg(m).alias(m) for m in W_METRICS])
 
 
-@query("ml11_group_kfold")
+@query("ml11_group_kfold", f"""
+, f AS (SELECT location_id, country, any_value(elevation_m) AS elevation_m FROM w_at_sites GROUP BY 1, 2)
+SELECT location_id, country, {r('elevation_m')} AS actual, true AS baseline_without_group, true AS within_range FROM f""")
+def _(t):
+    rows = site_features(t)
+    held, _ = models.group_kfold(rows, "elevation_m", W_METRICS, "country")
+    # the mean of the training rows follows from what is left out
+    total = rows.agg(F.struct(F.sum("elevation_m").alias("s"), F.count("elevation_m").alias("n"), F.min("elevation_m").alias("lo"),
+                              F.max("elevation_m").alias("hi"))).scalar()
+    parts = held.groupBy("fold").agg(F.sum("actual").alias("_s"), F.count("actual").alias("_n"))
+    mean = (total["s"] - F.col("_s")) / (total["n"] - F.col("_n"))
+    return held.join(parts, "fold").select(
+        "location_id", "country", "actual", (F.abs(F.col("baseline") - mean) < 1e-6).alias("baseline_without_group"),
+        F.col("prediction").between(total["lo"], total["hi"]).alias("within_range"),
+    )
+
+
+@query("ml11_fold_importance", f"""
+, f AS (SELECT DISTINCT location_id, country FROM w_at_sites)
+SELECT (SELECT count(*) FROM f) AS sites, feature, CAST(5 AS BIGINT) AS folds, true AS shares_add_up
+FROM (VALUES {', '.join(f"('{m}')" for m in W_METRICS)}) v(feature)""")
 def _(t):
-    return models.group_kfold(site_features(t), "elevation_m", W_METRICS, "country")[0]
+    _, importance = models.group_kfold(site_features(t), "elevation_m", W_METRICS, "country", importance_repeats=5)
+    whole = importance.groupBy("fold").agg(F.sum("split_importance").alias("_all"), F.first("test_rows").alias("_rows"))
+    sites = whole.agg(F.sum("_rows")).scalar()
+    return importance.join(whole, "fold").groupBy("feature").agg(
+        F.count("importance").alias("folds"), F.bool_and(F.abs(F.col("_all") - 1) < 1e-9).alias("shares_add_up")
+    ).select(sites.alias("sites"), "feature", "folds", "shares_add_up")
 
 
 @query("ml12_weighted_importance", f"""

@@ -408,7 +408,7 @@ def test_permuting_a_constant_or_useless_feature_loses_nothing(spark):
     rows = spark.range(600).select("id", (F.col("id") % 17).cast("double").alias("x"), F.lit(2.0).alias("c"))
     rows = rows.withColumn("y", F.col("x") * 3)
     model = models.assembled(LinearRegression(labelCol="y"), ["x", "c"]).fit(rows)
-    copies = models.shuffled_copies(rows, ["x", "c"], ["id"], 2, 1)
+    copies = models.shuffled_variants(rows, ["x", "c"], ["id"], 2, 1)
     assert copies.count() == 600 * 4
     moved = copies.filter("feature = 'x' AND repeat = 1")
     assert rows_sum(moved, "x") == rows_sum(rows, "x") and moved.filter("x * 3 <> y").count() > 400
@@ -416,5 +416,34 @@ def test_permuting_a_constant_or_useless_feature_loses_nothing(spark):
     assert loss["c"] == pytest.approx(0, abs=1e-9) and loss["x"] > 0.5
 
 
+@pytest.mark.parametrize("n,repeats", [(600, 5), (64, 5), (63, 5), (130, 40), (7, 5), (3, 5), (1, 5), (0, 2)])
+def test_donors_are_the_rows_that_follow(spark, monkeypatch, n, repeats):
+    from fieldgauge.operators import models
+
+    monkeypatch.setattr(models, "NEIGHBOURS", 32)
+    rows = spark.range(n).select("id", F.col("id").cast("double").alias("x"), F.lit(None).cast("double").alias("none"))
+    found = models.with_donors(rows, ["x", "none"], ["id"], repeats, 3)
+    got = {r.id: [int(d[0]) for d in r._donors] for r in found.collect()}
+    assert len(got) == found.count() == n
+    order = [r.id for r in rows.orderBy(F.xxhash64(F.lit(3), "id"), "id").collect()]
+    for i, row in enumerate(order):
+        assert got[row] == [order[(i + k) % n] for k in range(1, min(repeats, n - 1) + 1)], (i, row)
+    variants = models.shuffled_variants(rows, ["x", "none"], ["id"], repeats, 3)
+    assert variants.count() == n * 2 * repeats
+    for repeat in (1, repeats):
+        one = variants.filter((F.col("feature") == "x") & (F.col("repeat") == repeat))
+        assert sorted(r.x for r in one.collect()) == [float(i) for i in range(n)]
+
+
+def test_variants_are_not_shuffled(spark):
+    from fieldgauge.operators import models
+
+    rows = spark.range(100).select("id", F.col("id").cast("double").alias("x"))
+    for repeats in (1, 50):
+        plan = models.shuffled_variants(rows, ["x"], ["id"], repeats, 1)._jdf.queryExecution().executedPlan().toString()
+        above = plan[: plan.index("Window")]
+        assert plan.count("Exchange") == plan[plan.index("Window"):].count("Exchange") and "Generate" in above
+
+
 def rows_sum(df, column):
     return df.agg(F.sum(column)).first()[0]
