@@ -15,7 +15,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
-from fieldgauge.functions.distributions import p_f, p_norm, p_t, t_critical
+from fieldgauge.functions.distributions import norm_ppf, p_f, p_norm, p_t, t_critical
 from fieldgauge.operators.joins import change_from_base
 from fieldgauge.schemas import LAPSE_SCHEMA
 from fieldgauge.session import materialise
@@ -301,7 +301,7 @@ def coefficients(fit: DataFrame, by: Sequence[str] = (), use_t: bool = True, lev
     if use_t:
         p, width = p_t("statistic", "df"), t_critical(F.lit(level), F.col("df"))
     else:
-        p, width = p_norm("statistic"), t_critical(F.lit(level), F.lit(1e9))
+        p, width = p_norm("statistic"), norm_ppf(F.lit(1 - level / 2))
     return long.withColumns({"p": p, "_width": width}).select(
         *by, "term", "n", "r2", "coef", "standard_error", "statistic", "p",
         (F.col("coef") - F.col("_width") * F.col("standard_error")).alias("ci_low"),

@@ -43,6 +43,99 @@ def chi2_tail_sql(x: str, df: str) -> str:
     return share(density, f"least(sqrt({x}), {high})", high)
 
 
+def f_tail_sql(f: str, d1: str, d2: str) -> str:
+    """Upper F: an incomplete beta integral, with sines and cosines for its powers."""
+    density = f"pow(sin(#u), {d2} - 1) * pow(cos(#u), {d1} - 1)"
+    return share_below(density, f"asin(sqrt({d2} / ({d2} + {d1} * ({f}))))", "(pi() / 2)")
+
+
+def share_below(density: str, at: str, high: str) -> str:
+    return f"({simpson(density, '0.0', at)} / {simpson(density, '0.0', high)})"
+
+
+NORMAL_975 = 1.959963984540054
+
+
+def t_critical_sql(df: str) -> str:
+    """97.5 % point of Student-t by the expansion around that of the normal."""
+    z = NORMAL_975
+    terms = (
+        (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96, (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+        (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160,
+    )
+    return "(" + " + ".join([repr(z), *(f"{c!r} / pow({df}, {i})" for i, c in enumerate(terms, 1))]) + ")"
+
+
+# ------------------------------------------------ least squares in SQL ----
+
+
+def inverse_sql(name: str, source: str, keys: str, k: int) -> str:
+    """Views ending in ``name`` (keys, m): the inverse of the matrices (keys, i, j, v) of ``source``.
+
+    Gauss-Jordan elimination, a view per pivot; the matrices are positive definite.
+    """
+    out = f"""
+, {name}_r AS (SELECT {keys}, i, list_concat(list(v ORDER BY j), list_transform(range(1, {k + 1}), lambda c: CASE WHEN c = i THEN 1.0::DOUBLE ELSE 0.0 END)) AS r
+          FROM {source} GROUP BY {keys}, i)
+, {name}_0 AS (SELECT {keys}, list(r ORDER BY i) AS m FROM {name}_r GROUP BY {keys})"""
+    for p in range(1, k + 1):
+        out += f"""
+, {name}_{p} AS (SELECT {keys}, list_transform(m, lambda r, i: CASE WHEN i = {p} THEN list_transform(r, lambda v: v / m[{p}][{p}])
+          ELSE list_transform(r, lambda v, j: v - r[{p}] * m[{p}][j] / m[{p}][{p}]) END) AS m FROM {name}_{p - 1})"""
+    return out + f"\n, {name} AS (SELECT {keys}, list_transform(m, lambda r: r[{k + 1}:{2 * k}]) AS m FROM {name}_{k})"
+
+
+def dot_sql(a: str, b: str, k: int) -> str:
+    return "(" + " + ".join(f"{a}[{i}] * {b}[{i}]" for i in range(1, k + 1)) + ")"
+
+
+def ols_sql(name: str, rows: str, keys: str, design: list[str], cluster: str | None, absorb: str | None = None) -> str:
+    """Views of the fit of y on the design columns of ``rows``: ``name``_c has, per key and position j,
+    coef and standard_error with n, parameters, df and r2; ``name``_v the covariance (i, j, v).
+
+    ``absorb`` takes the means of these columns' cells out first.  The errors are clustered, or HC3.
+    """
+    k = len(design)
+    xs = "[" + ", ".join(f"({c})::DOUBLE" for c in design) + "]"
+    out = f"\n, {name}_d0 AS (SELECT {keys}, {cluster or 0} AS cl, {absorb or 0} AS ab, y::DOUBLE AS y, {xs} AS xs FROM {rows} WHERE y IS NOT NULL)"
+    if absorb:
+        means = ", ".join(f"avg(xs[{i}])" for i in range(1, k + 1))
+        out += f"""
+, {name}_m AS (SELECT {keys}, ab, avg(y) AS my, [{means}] AS mx, count(*) AS size FROM {name}_d0 GROUP BY {keys}, ab)
+, {name}_d AS (SELECT {keys}, cl, y AS raw, y - my AS y, list_transform(xs, lambda v, i: v - mx[i]) AS xs, 1.0 / size AS h0
+          FROM {name}_d0 JOIN {name}_m USING ({keys}, ab))"""
+    else:
+        out += f"\n, {name}_d AS (SELECT {keys}, cl, y AS raw, y, xs, 0.0 AS h0 FROM {name}_d0)"
+    out += f"""
+, {name}_g AS (SELECT {keys}, i, j, sum(xs[i] * xs[j]) AS v FROM {name}_d, range(1, {k + 1}) a(i), range(1, {k + 1}) b(j) GROUP BY ALL)"""
+    out += inverse_sql(f"{name}_i", f"{name}_g", keys, k)
+    beta = "[" + ", ".join(dot_sql(f"m[{i}]", "xy", k) for i in range(1, k + 1)) + "]"
+    leverage = "(" + " + ".join(f"xs[{i}] * {dot_sql(f'm[{i}]', 'xs', k)}" for i in range(1, k + 1)) + ")"
+    xy = ", ".join(f"sum(xs[{i}] * y)" for i in range(1, k + 1))
+    out += f"""
+, {name}_b AS (SELECT {keys}, m, {beta} AS beta, n, p, sst FROM {name}_i JOIN (SELECT {keys}, [{xy}] AS xy, count(*) AS n,
+          CAST(round(sum(h0)) AS BIGINT) + {k} AS p, var_pop(raw) * count(*) AS sst FROM {name}_d GROUP BY {keys}) USING ({keys}))
+, {name}_e AS (SELECT {keys}, cl, xs, m, y - {dot_sql('xs', 'beta', k)} AS e, 1 - h0 - {leverage} AS free FROM {name}_d JOIN {name}_b USING ({keys}))"""
+    if cluster:
+        sums = ", ".join(f"sum(xs[{i}] * e)" for i in range(1, k + 1))
+        out += f"\n, {name}_s AS (SELECT {keys}, cl, [{sums}] AS s, any_value(m) AS m FROM {name}_e GROUP BY {keys}, cl)"
+    else:
+        out += f"""
+, {name}_s AS (SELECT {keys}, cl, list_transform(xs, lambda v: CASE WHEN free > 1e-12 THEN v * e / free ELSE 0 END) AS s, m FROM {name}_e)"""
+    scores = "[" + ", ".join(dot_sql(f"m[{i}]", "s", k) for i in range(1, k + 1)) + "]"
+    factor = "g / (g - 1.0) * (n - 1.0) / (n - p)" if cluster else "1.0"
+    return out + f"""
+, {name}_u AS (SELECT {keys}, {scores} AS u FROM {name}_s)
+, {name}_v AS (SELECT {keys}, i, j, sum(u[i] * u[j]) * any_value({factor}) AS v
+          FROM {name}_u JOIN {name}_b USING ({keys}) JOIN (SELECT {keys}, count(*) AS g FROM {name}_s GROUP BY {keys}) USING ({keys}),
+               range(1, {k + 1}) a(i), range(1, {k + 1}) b(j) GROUP BY {keys}, i, j)
+, {name}_f AS (SELECT {keys}, any_value(beta) AS beta, any_value(n) AS n, any_value(p) AS p, any_value(g) AS g, 1 - any_value(sse) / any_value(sst) AS r2
+          FROM {name}_b JOIN (SELECT {keys}, sum(e * e) AS sse FROM {name}_e GROUP BY {keys}) USING ({keys})
+               JOIN (SELECT {keys}, count(*) AS g FROM {name}_s GROUP BY {keys}) USING ({keys}) GROUP BY {keys})
+, {name}_c AS (SELECT {keys}, i AS j, n, p AS parameters, {'g - 1' if cluster else 'n - p'} AS df, r2, beta[i] AS coef, sqrt(v) AS standard_error
+          FROM {name}_f JOIN {name}_v USING ({keys}) WHERE i = j)"""
+
+
 SITE_MEANS_SQL = """
 , sm AS (SELECT location_id, any_value(country) AS country, any_value(region) AS region, any_value(elevation_m) AS elevation_m,
                 any_value(latitude) AS latitude, avg(quantity) AS quantity, avg(price) AS price
@@ -348,16 +441,32 @@ def _(t):
     return slope_only(regression.coefficients(fit, ["region"], use_t=False), "region")
 
 
-@query("stat11_ols_nested")
+NESTED = (["x"], ["x", "latitude", "longitude"], ["x", "latitude", "longitude", *(f"month={m}" for m in range(2, 13))])
+
+
+def nested_sql() -> str:
+    views, parts = "", []
+    for i, terms in enumerate(NESTED, 1):
+        columns = [f"(month = {t[6:]})::INT" if t.startswith("month=") else t for t in terms]
+        views += ols_sql(f"n{i}", "rr", "one", ["1", *columns], "location_id")
+        names = "['intercept', " + ", ".join(f"'{t}'" for t in terms) + "]"
+        parts.append(f"""SELECT {names}[j] AS term, n, {r('r2')} AS r2, {r('coef')} AS coef, {r('standard_error')} AS standard_error,
+       {r('coef / standard_error')} AS statistic, {r(chi2_tail_sql('pow(coef / standard_error, 2)', '1.0'))} AS p,
+       {r(f'coef - {NORMAL_975} * standard_error')} AS ci_low, {r(f'coef + {NORMAL_975} * standard_error')} AS ci_high, CAST({i} AS BIGINT) AS model FROM n{i}_c""")
+    return views + "\n" + "\nUNION ALL ".join(parts)
+
+
+@query("stat11_ols_nested", """
+, rr AS (SELECT 1 AS one, location_id, month(timestamp) AS month, elevation_m / 1000 AS x, latitude, longitude, price AS y FROM w_at_sites)
+""" + nested_sql())
 def _(t):
     rows = ols_rows(t)
-    design, dummies = regression.with_dummies(rows, "month", list(range(1, 13)))
-    models = [["x"], ["x", "latitude", "longitude"], ["x", "latitude", "longitude", *dummies]]
+    design, _dummies = regression.with_dummies(rows, "month", list(range(1, 13)))
     fits = [
         regression.coefficients(
             regression.ols(design, "y", m, covariance="cluster", cluster="location_id"), use_t=False
         ).withColumn("model", F.lit(i + 1))
-        for i, m in enumerate(models)
+        for i, m in enumerate(NESTED)
     ]
     return reshape.union_all(*fits)
 
@@ -382,21 +491,65 @@ def site_month_long(t):
     return reshape.to_long(means, ids, ["price", "quantity"]).withColumn("x", F.col("elevation_m") / 1000)
 
 
-@query("stat12_hc3_intervals")
+MONTH_ROWS_SQL = """
+, mr AS (SELECT location_id, any_value(country) AS country, any_value(region) AS region, any_value(latitude) AS latitude,
+         any_value(longitude) AS longitude, any_value(elevation_m) / 1000 AS x, month(timestamp) AS month, avg(price) AS price, avg(quantity) AS quantity
+         FROM w_at_sites GROUP BY location_id, month(timestamp))"""
+INTERVALS_SQL = MONTH_ROWS_SQL + """
+, rr AS (SELECT 'price' AS metric, *, price AS y FROM mr UNION ALL SELECT 'quantity', *, quantity FROM mr)""" + ols_sql(
+    "h", "rr", "metric, month", ["x", "latitude", "longitude"], None, "region"
+) + ols_sql("k", "rr", "metric, month", ["x", "latitude", "longitude"], "country", "region") + f"""
+, t AS (SELECT h_c.*, {t_tail_sql('(h_c.coef / h_c.standard_error)', 'h_c.df')} AS p,
+        {t_tail_sql('(k_c.coef / k_c.standard_error)', 'k_c.df')} AS country_cluster_p, {t_critical_sql('h_c.df')} * h_c.standard_error AS width
+        FROM h_c JOIN k_c USING (metric, month, j) WHERE j = 1)
+, o AS (SELECT *, row_number() OVER (ORDER BY p, metric, month) AS i, count(*) OVER () AS m FROM t)
+SELECT metric, month, 'x' AS term, n, {r('r2')} AS r2, {r('coef')} AS coef, {r('standard_error')} AS standard_error,
+       {r('coef / standard_error')} AS statistic, {r('p')} AS p, {r('coef - width')} AS ci_low, {r('coef + width')} AS ci_high,
+       {r('country_cluster_p')} AS country_cluster_p, {r('least(1, max((m - i + 1) * p) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))')} AS p_holm
+FROM o"""
+
+
+# latitudes are those of the countries here, so the regions are what can be absorbed beside them
+@query("stat12_hc3_intervals", INTERVALS_SQL)
 def _(t):
     by = ["metric", "month"]
     rows = materialise(site_month_long(t), "site-months")
     hc3 = regression.coefficients(
-        regression.ols(rows, "value", ["x", "latitude", "longitude"], by=by, absorb=["country"]), by
+        regression.ols(rows, "value", ["x", "latitude", "longitude"], by=by, absorb=["region"]), by
     ).filter("term = 'x'")
     clustered = regression.coefficients(
-        regression.ols(rows, "value", ["x", "latitude", "longitude"], by=by, absorb=["country"],
+        regression.ols(rows, "value", ["x", "latitude", "longitude"], by=by, absorb=["region"],
                        covariance="cluster", cluster="country"), by
     ).filter("term = 'x'").select(*by, F.col("p").alias("country_cluster_p"))
     return association.holm(hc3.join(clustered, by), "p")
 
 
-@query("stat13_paired_change_wald")
+def wald_sql(months: tuple[int, ...], cluster: str, number: int) -> str:
+    """The test of one choice of months and clusters; ``change`` as a view of its own."""
+    name, later = f"w{number}", months[1:]
+    design = [f"CASE WHEN month = {m} THEN {c} ELSE 0 END" for m in later for c in ("latitude", "longitude", "x")]
+    tested = [3 * i for i in range(1, len(later) + 1)]
+    q = len(tested)
+    views = f"""
+, {name}_rows AS (SELECT 1 AS one, a.location_id, a.country, a.region, a.latitude, a.longitude, a.x, a.month, a.price - b.price AS y
+          FROM mr a JOIN mr b ON a.location_id = b.location_id AND b.month = {months[0]} WHERE a.month IN ({', '.join(map(str, later))}))"""
+    views += ols_sql(name, f"{name}_rows", "one", design, cluster, "(month, region)")
+    places = ", ".join(map(str, tested))
+    views += f"""
+, {name}_t AS (SELECT one, list_position([{places}], i) AS i, list_position([{places}], j) AS j, v FROM {name}_v WHERE i IN ({places}) AND j IN ({places}))"""
+    views += inverse_sql(f"{name}_x", f"{name}_t", "one", q)
+    form = " + ".join(f"beta[{tested[i]}] * m[{i + 1}][{k + 1}] * beta[{tested[k]}]" for i in range(q) for k in range(q))
+    return views + f"""
+, {name}_w AS (SELECT ({form}) / {q} AS f, CAST({q} AS BIGINT) AS d1, g - 1 AS d2, '{','.join(map(str, months))}' AS months, '{cluster}' AS cluster
+          FROM {name}_f JOIN {name}_x USING (one))"""
+
+
+WALDS = [(chosen, c) for chosen in ((5, 6, 7, 8), (6, 7, 8)) for c in ("location_id", "country")]
+
+
+@query("stat13_paired_change_wald", MONTH_ROWS_SQL + "".join(wald_sql(m, c, i) for i, (m, c) in enumerate(WALDS)) + f"""
+, tested AS ({' UNION ALL '.join(f'SELECT * FROM w{i}_w' for i in range(len(WALDS)))})
+SELECT {r('f')} AS statistic, d1 AS df_num, d2 AS df_denom, {r(f_tail_sql('f', 'd1', 'd2'))} AS p, months, cluster FROM tested""")
 def _(t):
     months = materialise(
         site_month_long(t).filter("metric = 'price'").withColumn("elevation_km", F.col("x")), "site-months"
@@ -405,7 +558,7 @@ def _(t):
         regression.paired_change_wald(months, "value", chosen, group="region", cluster=c).withColumns(
             {"months": F.lit(",".join(map(str, chosen))), "cluster": F.lit(c)}
         )
-        for chosen in ((5, 6, 7, 8), (6, 7, 8)) for c in ("location_id", "country")
+        for chosen, c in WALDS
     ])
 
 
