@@ -30,7 +30,7 @@ from fieldgauge.session import materialise
 #: distinct pairs whose counts are sent to every worker (16 bytes each); more are joined
 MOST_PAIRS = 4_000_000
 #: chunks whose alignment a Python worker remembers, of so many characters at most
-REMEMBERED = 300_000
+REMEMBERED = 450_000
 _LONG = 64
 #: characters of text whose chunks are looked at together
 _SECTION = 1_000_000
@@ -40,7 +40,7 @@ _LOW = 0xFFFFFFFF
 
 #: a space after another character and before one that is not white space
 _CUT = re.compile(r"(?<=[^ ]) (?=\S)")
-_UNEVEN = re.compile(r"^ | (?:\s|$)")
+_UNEVEN = re.compile(r" \s")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 _SPACE = "▁"
 #: the end of the Latin letters
@@ -124,7 +124,8 @@ class Aligner:
         """
         if not self.chunked:
             return [text]
-        return _CUT.split(text) if _UNEVEN.search(text) else text.split(" ")
+        uneven = text[0] == " " or text[-1] == " " or "  " in text or _UNEVEN.search(text)
+        return _CUT.split(text) if uneven else text.split(" ")
 
     def align(self, chunks: list[str]) -> Aligned:
         b = self.b.encode(chunks, num_threads=1) if chunks else []
