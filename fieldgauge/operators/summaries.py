@@ -260,16 +260,16 @@ def focus_correlations(
 ) -> DataFrame:
     """Correlation of one variable with each other, pair-complete, strongest first.
 
-    All pairs share one aggregation, whatever the number of variables.
+    The other variables become rows of (focus, other) values, which are combined before the
+    shuffle: one correlation to compile, whatever the number of variables.
     """
-    others = [v for v in variables if v != focus]
-    cells = []
-    for v in others:
-        r, n = paired_correlation(focus, v)
-        cells.append(F.struct(F.lit(v).alias("variable"), r.alias("correlation"), n.alias("pair_count")))
+    pairs = F.array(*[
+        F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("_other")) for v in variables if v != focus
+    ])
+    long = df.select(*by, F.col(focus).cast("double").alias("_focus"), F.inline(pairs))
+    r, n = paired_correlation("_focus", "_other")
     return (
-        df.groupBy(*by).agg(F.array(*cells).alias("_cells"))
-        .select(*by, F.inline("_cells"))
+        long.groupBy(*by, "variable").agg(r.alias("correlation"), n.alias("pair_count"))
         .withColumn("absolute_correlation", F.abs("correlation"))
         .orderBy(*by, F.col("absolute_correlation").desc_nulls_last(), "variable")
     )
