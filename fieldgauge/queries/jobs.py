@@ -647,7 +647,7 @@ def listed(choices) -> str:
 , rr AS (SELECT quantity, fold FROM tr JOIN fo USING (timestamp))
 , part AS (SELECT k.i AS fold, (SELECT count(*) FROM rr WHERE fold < k.i) AS train_rows, (SELECT count(*) FROM rr WHERE fold = k.i) AS rows,
            (SELECT sqrt(avg(pow(quantity - (SELECT avg(quantity) FROM rr WHERE fold < k.i), 2))) FROM rr WHERE fold = k.i) AS base FROM range(1, 5) k(i))
-SELECT candidate, fold, parameters, train_rows, rows, {r('base')} AS baseline_rmse, true AS near_baseline
+SELECT candidate::BIGINT AS candidate, fold, parameters, train_rows, rows, {r('base')} AS baseline_rmse, true AS near_baseline
 FROM part, (VALUES {listed(models.candidates())}) v(candidate, parameters)""")
 def _(t):
     train, _test = models.time_holdout(ml_rows(t))
