@@ -28,7 +28,8 @@ JOB_VALUES = {
     "season": ("winter", "spring", "summer", "autumn"),
     "elevation_band": ("lowland", "midland", "highland", "alpine"),
 }
-TRANSFORM_VERSION = "custom-v1"
+#: raised when a job comes to mean something else, so that saved results are not taken for it
+TRANSFORM_VERSION = "1"
 ANSWER_ROWS = 10000
 
 
@@ -124,6 +125,8 @@ QUESTION_GROUPS = {
     "country": ("country",),
     "elevation": ("location_id", "name", "elevation_m"),
 }
+QUESTION_BOUNDS = {"days": (1, 366), "sites": (1, 100)}
+QUESTION_OPERATIONS = ("max", "mean", "min", "sum")
 QUESTION_CHARTS = {"date": "line", "elevation": "scatter", "country": "bar", "location": "bar"}
 
 
@@ -149,24 +152,23 @@ class Dataset:
 
 
 def check_question(q: Question, data: Dataset, known_sites: Sequence | None = None) -> Question:
-    if q.metric not in data.metrics:
-        _fail("the metric is not available")
-    if not 0 <= (q.end - q.start).days <= 365:
-        _fail("a question covers 1 to 366 days")
-    if q.start < data.start or q.end > data.end:
-        _fail("the dates leave the coverage")
-    if not 1 <= len(q.locations) <= 100 or len(set(q.locations)) != len(q.locations):
-        _fail("choose 1 to 100 distinct sites")
-    if known_sites is not None and set(q.locations) - set(known_sites):
-        _fail("unknown site")
-    if q.group_by not in QUESTION_GROUPS:
-        _fail("unknown grouping")
-    if q.operation not in ("mean", "min", "max", "sum"):
-        _fail("unknown operation")
-    if q.operation == "sum" and (data.metrics[q.metric] != "sum" or q.group_by != "location"):
-        _fail("totals exist for an additive metric by location")
-    if q.chart is not None and q.chart != QUESTION_CHARTS[q.group_by]:
-        _fail("the chart does not suit the grouping")
+    """The question itself if it can be answered; otherwise fails with all that is wrong with it."""
+    sites = set(q.locations)
+    sizes = {"days": (q.end - q.start).days + 1, "sites": len(q.locations)}
+    choices = {"operation": QUESTION_OPERATIONS, "group_by": QUESTION_GROUPS, "metric": data.metrics}
+    additive = data.metrics.get(q.metric) == "sum" and q.group_by == "location"
+    further = {
+        "a site is named twice": len(sites) < len(q.locations),
+        "a site is unknown": known_sites is not None and not sites <= set(known_sites),
+        "the days are not all covered": not (data.start <= q.start and q.end <= data.end),
+        "totals exist for an additive metric by location": q.operation == "sum" and not additive,
+        "the chart does not suit the grouping": q.chart not in (None, QUESTION_CHARTS.get(q.group_by)),
+    }
+    wrong = [f"{n} {what}, not {low} to {high}" for what, n in sizes.items() for low, high in [QUESTION_BOUNDS[what]] if not low <= n <= high]
+    wrong += [f"unknown {field} {getattr(q, field)!r}" for field, allowed in choices.items() if getattr(q, field) not in allowed]
+    wrong += [text for text, holds in further.items() if holds]
+    if wrong:
+        _fail("; ".join(wrong))
     return q
 
 
