@@ -47,5 +47,5 @@ def test_run_is_registered(spark):
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")}
     assert names["pipeline"] is pipeline.run and pipeline.run(spark, SF).count() > 0
