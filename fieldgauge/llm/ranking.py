@@ -2,34 +2,29 @@
 
 A document's score is linear in features of its text.  A pair of a good and a bad labelled
 document says that the first should score higher; the weights minimise the logistic loss on the
-feature differences of such pairs.  The cut between keeping and rejecting is a quantile of the
-scores, and the score shown is shifted so that the cut lies at ``CUT``.
+feature differences of all such pairs.  The cut between keeping and rejecting is a quantile of
+the scores, and the score shown is shifted so that the cut lies at ``CUT``.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from operator import eq
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldgauge.llm import pairwise
 from fieldgauge.llm.ordering import positions
 from fieldgauge.llm.text import as_bytes, importable, per_batch
 from fieldgauge.session import materialise
 
 CUT = 0.3
-#: labelled documents per class in the fit
-FIT_ROWS = 10_000
-#: bad documents that each good one is compared with, and the other way round
-RIVALS = 4
 #: share of good fitted documents that may fall below the cut
 LOSS = 0.002
 
@@ -94,9 +89,12 @@ class Ranking:
     weights: tuple[float, ...]
     cut: float
 
+    def standard(self, rows: np.ndarray) -> np.ndarray:
+        return np.clip((rows - np.array(self.centre)) / np.array(self.scale), -8, 8)
+
     def raw(self, rows: np.ndarray) -> np.ndarray:
-        z = np.clip((rows - np.array(self.centre)) / np.array(self.scale), -8, 8)
-        return z @ np.array(self.weights)
+        # summed row by row, so that a row's score does not depend on its batch
+        return (self.standard(rows) * np.array(self.weights)).sum(1)
 
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
         """0 to 1, CUT at the cut; a text without words scores 0."""
@@ -126,26 +124,26 @@ def _featured(docs: DataFrame, carried: list[str]) -> DataFrame:
     return per_batch(docs.select(*carried, as_bytes()), build, schema).where("x IS NOT NULL")
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, rivals: int = RIVALS, loss: float = LOSS) -> Ranking:
-    """Learn weights from at most ``most`` labelled documents per class.
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("x").flatten().to_numpy().reshape(-1, WIDTH)
+
+
+def fit(docs: DataFrame, labels: DataFrame, loss: float = LOSS) -> Ranking:
+    """Learn weights and cut from all labelled documents that ``in_fit`` admits.
 
-    The bounded sample holds the labelled rows with the smallest hashes of their ids, among
-    those that ``in_fit`` admits.  A document labelled twice counts as bad if any label says so;
-    null labels and texts without words are not used.  Every sampled document meets ``rivals``
-    of the other class in turn, so pairs follow the sample and not its square.  Without both
-    classes nothing can be ranked: all weights are 0 and every text with words passes.
+    A document labelled twice counts as bad if any label says so; null labels and texts without
+    words are not used.  Every good document is compared with every bad one.  The cut is the raw
+    score of the good document that floor(``loss`` * good ones) others precede in score order.
+    Without both classes nothing can be ranked: all weights are 0 and every text with words passes.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
         .where(in_fit(F.col("doc_id")) & F.col("quality").isin(0, 1))
         .groupBy("doc_id").agg(F.min("quality").cast("int").alias("good"))
     )
-    order = F.xxhash64("doc_id")
-    picked = known.where("good = 1").orderBy(order, "doc_id").limit(most).unionAll(
-        known.where("good = 0").orderBy(order, "doc_id").limit(most)
-    )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
-    rows = materialise(_featured(texts, ["doc_id", "good"]), "features")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(in_fit(F.col("doc_id")))
+    # labels grow with the documents: features meet them, as texts would be shuffled whole
+    rows = materialise(_featured(texts, ["doc_id"]).join(known, "doc_id"), "features")
     sums = rows.groupBy("good").agg(F.count(F.lit(1)).alias("n")).collect()
     count = {r["good"]: r["n"] for r in sums}
     if not count.get(0) or not count.get(1):
@@ -155,32 +153,19 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, rivals: int =
     ).first()
     centre = tuple(moments[f"m{i}"] for i in range(WIDTH))
     scale = tuple(moments[f"s{i}"] or 1.0 for i in range(WIDTH))
+    plain = Ranking(centre, scale, (0.0,) * WIDTH, 0.0)
+    weights = pairwise.minimise(rows, lambda batch: plain.standard(_matrix(batch)), WIDTH, count[0] * count[1])
+    ranking = replace(plain, weights=tuple(weights.tolist()))
 
-    numbered = positions(rows.withColumn("h", F.xxhash64("doc_id")), ["good"], ["h", "doc_id"], "i").select("good", "i", "x")
-    good = numbered.where("good = 1").select("i", F.col("x").alias("better"))
-    bad = numbered.where("good = 0").select("i", F.col("x").alias("worse"))
-    step = F.explode(F.sequence(F.lit(0), F.lit(rivals - 1)))
-
-    def meet(mine: DataFrame, other: DataFrame, n: int) -> DataFrame:
-        turn = mine.withColumn("k", step).withColumn("i", (F.col("i") * rivals + F.col("k")) % n).drop("k")
-        return turn.join(other, "i").select("better", "worse")
+    def build(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [batch.column("good"), batch.column("doc_id"), pa.array(ranking.raw(_matrix(batch)))], ["good", "doc_id", "raw"]
+        )
 
-    pairs = meet(good, bad, count[0]).unionAll(meet(bad, good, count[1]))
-    z = lambda c: [
-        F.greatest(F.lit(-8.0), F.least(F.lit(8.0), (F.col(c)[i] - F.lit(centre[i])) / F.lit(scale[i]))) for i in range(WIDTH)
-    ]
-    gap = F.array(*[a - b for a, b in zip(z("better"), z("worse"))])
-    back = F.transform(gap, lambda v: -v)
-    # the loss of a pair is the same from either side; both sides keep the labels balanced
-    stated = pairs.select(F.explode(F.array(F.struct(gap.alias("d"), F.lit(1.0).alias("label")),
-                                            F.struct(back.alias("d"), F.lit(0.0).alias("label")))).alias("p"))
-    train = materialise(stated.select("p.d", "p.label"), "pairs").select(array_to_vector("d").alias("features"), "label")
-    model = LogisticRegression(fitIntercept=False, standardization=False, regParam=1e-4, maxIter=60, tol=1e-7).fit(train)
-    weights = tuple(float(v) for v in model.coefficients)
-    ranking = Ranking(centre, scale, weights, 0.0)
-    raw = sum((w * v for w, v in zip(weights, z("x"))), F.lit(0.0))
-    cut = rows.where("good = 1").select(F.percentile_approx(raw, F.lit(loss), F.lit(10_000))).first()[0]
-    return Ranking(ranking.centre, ranking.scale, ranking.weights, float(cut))
+    # by id within equal scores, so that copies spread over tasks
+    ranked = positions(per_batch(rows.where("good = 1"), build, "good int, doc_id bigint, raw double"),
+                       ["good"], ["raw", "doc_id"], "i")
+    return replace(ranking, cut=ranked.where(F.col("i") == int(loss * count[1])).first()["raw"])
 
 
 def score(docs: DataFrame, ranking: Ranking) -> DataFrame:

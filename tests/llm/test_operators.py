@@ -3,11 +3,12 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from fieldgauge.llm import (
-    decontaminate, lines, mixing, preference, queries, ranking, secret_scan, simhash, substrings, syncmers, tokens,
+    decontaminate, lines, mixing, pairwise, preference, queries, ranking, secret_scan, simhash, substrings, syncmers, tokens,
 )
 from tests.llm import plain
 from tests.llm.conftest import SCHEMA
@@ -122,6 +123,54 @@ def test_quality_of_odd_rows(graded, odd, clash):
     assert ranking.score(odd.limit(0), fitted).count() == 0
 
 
+def test_quality_compares_every_good_document_with_every_bad_one(spark):
+    deal = random.Random(8)
+    text = lambda share: " ".join("Xx$" if deal.random() < share else "river" for _ in range(deal.randint(3, 40)))
+    rows = [(i, text(0.7 if i % 4 else 0.4)) for i in range(300)]  # the classes overlap
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0), 0) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    fitted = ranking.fit(docs, labels)
+    used = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    z, good = fitted.standard(np.array([ranking.features(t.encode()) for _, t in used])), np.array([i % 4 == 0 for i, _ in used])
+    gap = z[~good][:, None] - z[good][None]
+    weights = np.array(fitted.weights)
+    # the least mean loss of all pairs: its gradient, summed pair by pair, vanishes
+    slope = (gap / (1 + np.exp(-gap @ weights))[..., None]).mean((0, 1)) + pairwise.RIDGE * weights
+    assert np.abs(weights).max() > 0.01 and np.abs(slope).max() < 1e-9
+
+
+def test_pairs_of_far_scores_are_summed_in_full(spark):
+    deal = np.random.default_rng(4)
+    x, good = deal.normal(size=(400, 3)) * 30, np.arange(400) % 3 == 0
+    rows = spark.createDataFrame([(int(g), v.tolist()) for g, v in zip(good, x)], "good int, x array<double>")
+    matrix = lambda batch: batch.column("x").flatten().to_numpy().reshape(-1, 3)
+    weights = np.array([1.0, -0.5, 0.25])
+    sums = pairwise._summed(rows, matrix, weights)
+    gap = x[~good][:, None] - x[good][None]
+    s = gap @ weights
+    assert sums.loss == pytest.approx(np.logaddexp(0, s).sum(), rel=1e-12)
+    slope, _ = pairwise._sloped(rows, matrix, weights, sums)
+    assert slope == pytest.approx((gap / (1 + np.exp(-s))[..., None]).sum((0, 1)), rel=1e-9)
+
+
+def test_quality_learns_from_all_admitted_rows(spark):
+    """Over 10,000 documents of each class; the moments and the cut are those of all of them."""
+    deal = random.Random(9)
+    rows = [(i, " ".join(deal.choice(("$$x", "Ab1", "|") if i % 2 else ("sun", "rivers", "a")) + deal.choice("abc")
+                         for _ in range(deal.randint(2, 12)))) for i in range(26_000)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 2 == 0), 0) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    fitted = ranking.fit(docs, labels)
+    used = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    x, good = np.array([ranking.features(t.encode()) for _, t in used]), np.array([i % 2 == 0 for i, _ in used])
+    assert min(good.sum(), (~good).sum()) > 10_000
+    assert fitted.centre == pytest.approx(x.mean(0), rel=1e-9, abs=1e-12)
+    spread = x.std(0)
+    assert np.array(fitted.scale)[spread > 1e-9] == pytest.approx(spread[spread > 1e-9], rel=1e-6)
+    raw = np.sort(fitted.raw(x[good]))
+    assert fitted.cut == pytest.approx(raw[int(ranking.LOSS * len(raw))], abs=1e-9)
+
+
 # -- 3 preferences --------------------------------------------------------------------------------
 
 
