@@ -1,6 +1,8 @@
 """The pipeline's stages on their own inputs, against plain versions."""
 
 import importlib
+import random
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -43,6 +45,22 @@ def test_stages(spark):
     assert mixed.columns == [*docs.columns, "copy"]
 
 
+def test_quality_stage_learns_from_every_label(spark, tmp_path):
+    """More than 10,000 good documents: the cut passes over the stated share of all of them."""
+    deal = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(deal.choices(letters, k=deal.randint(1, 9)))
+    good = [(i, " ".join(word() for _ in range(deal.randint(5, 30)))) for i in range(20_000)]
+    rows = good + [(i, " ".join(["$$|"] * deal.randint(3, 20) + [word()])) for i in range(20_000, 20_300)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    labels = spark.createDataFrame([(i, int(i < 20_000), 0) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r.doc_id for r in dict(pipeline.STAGES)["quality"](spark, docs, str(tmp_path)).select("doc_id").collect()}
+    learnt = [i for i, _ in good if zlib.crc32(str(i).encode()) % 5]
+    assert len(learnt) > 15_000 and sum(i not in kept for i in learnt) == int(ranking.LOSS * len(learnt))
+    assert not any(i >= 20_000 for i in kept)
+
+
 def test_run_is_registered(spark):
     import __spark_entry__ as entry
 
