@@ -3,11 +3,13 @@
 64 bits are cut into parts.  If two fingerprints differ in at most ``r`` bits, some part ``i``
 differs in at most ``t_i`` bits whenever ``sum(t_i + 1) = r + 1``.  Bits that move together go
 into one part; the thresholds, -1 for a part that is not probed, are allocated by dynamic
-programming on the estimated numbers of probes and candidates.
+programming on the numbers of probes and candidates.  Both are judged from all fingerprints:
+counts of set pairs of bits and of the values of ``PIECE`` bits are summed over the whole table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from itertools import combinations
 from math import comb
 
@@ -18,19 +20,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldgauge.llm.components import components
-from fieldgauge.llm.text import as_bytes, per_batch, unused, words
+from fieldgauge.llm.text import as_bytes, importable, per_batch, unused, words
 from fieldgauge.session import materialise
 
 SHINGLE = 3
 SEED = 42
 BITS = 64
 RADIUS = 3
-#: fingerprints that steer the allocation; it changes the cost and never the result
-SAMPLE = 2000
+#: bits whose values are counted together, 2 ** PIECE of them
+PIECE = 8
 #: above so many fingerprints with one part value, balls are joined instead of pairs
 CROWD = 256
 
 _ONE = np.uint64(1)
+#: bits in which each value of a piece differs from each
+_GAPS = np.bitwise_count(np.arange(1 << PIECE)[:, None] ^ np.arange(1 << PIECE)).ravel()
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -70,13 +74,52 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return per_batch(docs.select("doc_id", as_bytes()), build, f"doc_id {dict(docs.dtypes)['doc_id']}, print bigint")
 
 
-def _group_bits(sample: np.ndarray, parts: int) -> list[list[int]]:
-    """Bits in ``parts`` groups of near-equal size; a bit joins the group it is most correlated with."""
-    bits = ((sample[:, None] >> np.arange(BITS, dtype=np.uint64)) & _ONE).astype(float)
-    spread = bits.std(0)
-    centred = (bits - bits.mean(0)) / np.where(spread > 0, spread, 1)
-    strength = np.abs(centred.T @ centred) / max(1, len(sample))
+def _bits(prints: np.ndarray) -> np.ndarray:
+    """One row per fingerprint, one column per bit."""
+    return np.unpackbits(prints.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+
+
+def _totals(prints: DataFrame | np.ndarray, count: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """``count`` of all fingerprints; those of a table are counted in its tasks and summed by cell."""
+    if not isinstance(prints, DataFrame):
+        return count(prints)
+    zero = count(np.zeros(0, np.uint64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = zero.copy()
+        for batch in batches:
+            held += count(batch.column("print").to_numpy().view(np.uint64))
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held.ravel()[some])], ["cell", "held"])
+
+    importable(prints.sparkSession)
+    tasks = 2 * max(1, prints.sparkSession.sparkContext.defaultParallelism)
+    counted = prints.select("print").coalesce(tasks).mapInArrow(run, "cell bigint, held bigint")
+    total = np.zeros(zero.size, np.int64)
+    for cell, held in counted.groupBy("cell").agg(F.sum("held")).collect():
+        total[cell] = held
+    return total.reshape(zero.shape)
+
+
+def _together(prints: np.ndarray) -> np.ndarray:
+    """Fingerprints in which both of two bits are set; a last bit is set in all."""
+    rows = np.hstack([_bits(prints), np.ones((len(prints), 1))])
+    return np.rint(rows.T @ rows).astype(np.int64)
+
+
+def _strength(together: np.ndarray) -> np.ndarray:
+    """Absolute correlation of each two bits, 0 with themselves and for bits that never change."""
+    share = together / max(1, together[-1, -1])
+    mean = share[-1, :-1]
+    spread = np.sqrt(mean * (1 - mean))
+    spread = np.where(spread > 0, spread, 1)
+    strength = np.abs(share[:-1, :-1] - np.outer(mean, mean)) / np.outer(spread, spread)
     np.fill_diagonal(strength, 0)
+    return strength
+
+
+def _group_bits(strength: np.ndarray, parts: int) -> list[list[int]]:
+    """Bits in ``parts`` groups of near-equal size; a bit joins the group it is most correlated with."""
     sizes = [BITS // parts + (i < BITS % parts) for i in range(parts)]
     left, groups = set(range(BITS)), []
     for size in sizes:
@@ -86,35 +129,59 @@ def _group_bits(sample: np.ndarray, parts: int) -> list[list[int]]:
         while len(group) < size:
             group.append(max(sorted(left), key=lambda b: (strength[b, group].sum(), -b)))
             left.discard(group[-1])
-        groups.append(sorted(group))
+        groups.append(group)
     return groups
 
 
+def _pieces(bits: list[int]) -> list[tuple[int, ...]]:
+    return [tuple(bits[at : at + PIECE]) for at in range(0, len(bits), PIECE)]
+
+
+def _values(prints: np.ndarray, pieces: list[tuple[int, ...]]) -> np.ndarray:
+    """One row per piece: how many fingerprints hold each value of its bits."""
+    rows = _bits(prints)
+    return np.array([
+        np.bincount(np.packbits(rows[:, piece], axis=1, bitorder="little")[:, 0], minlength=1 << PIECE)
+        for piece in pieces
+    ])
+
+
+def _apart(held: np.ndarray) -> np.ndarray:
+    """Share of all pairs of fingerprints that differ in 0 to ``PIECE`` bits of a piece."""
+    held = held.astype(float)
+    n = held.sum()
+    pairs = np.bincount(_GAPS, np.outer(held, held).ravel())
+    pairs[0] -= n
+    return pairs / max(1.0, n * (n - 1))
+
+
 def _mask(bits: list[int]) -> int:
     return sum(1 << b for b in bits)
 
 
-def allocate(sample: np.ndarray, n: int, radius: int = RADIUS) -> list[tuple[list[int], int]]:
-    """(bits, threshold) of the parts to probe, for ``n`` distinct fingerprints.
+def allocate(prints: DataFrame | np.ndarray, n: int, radius: int = RADIUS) -> list[tuple[list[int], int]]:
+    """(bits, threshold) of the parts to probe, for ``n`` distinct fingerprints like ``prints``.
 
     For 1 to ``radius + 1`` parts, ``radius + 1`` units are dealt to the parts; a part with
-    ``u`` units has threshold ``u - 1``.  The cost of a part is its probes plus its candidates,
-    the latter from the share of sampled pairs that lie within the threshold there.
+    ``u`` units has threshold ``u - 1``.  The cost of a part is its probes plus its candidates.
+    How many pairs of all ``prints`` differ in so many bits is exact for each piece of a part;
+    pieces are taken as independent.  The plan changes the cost and never the result.
     """
-    sample = np.asarray(sample, np.uint64)
+    strength = _strength(_totals(prints, _together))
+    groupings = [_group_bits(strength, parts) for parts in range(1, radius + 2)]
+    pieces = sorted({piece for groups in groupings for bits in groups for piece in _pieces(bits)})
+    held = _totals(prints, lambda some: _values(some, pieces))
+    apart = {piece: _apart(row) for piece, row in zip(pieces, held)}
     best: tuple[float, list[tuple[list[int], int]]] | None = None
-    apart = None
-    if len(sample) > 1:
-        apart = sample[:, None] ^ sample[None, :]
-        apart = apart[np.triu_indices(len(sample), 1)]
-    for parts in range(1, radius + 2):
-        groups = _group_bits(sample, parts)
+    for groups in groupings:
         cost = []
         for bits in groups:
-            gap = None if apart is None else np.bitwise_count(apart & np.uint64(_mask(bits)))
+            gap = np.ones(1)
+            for piece in _pieces(bits):
+                gap = np.convolve(gap, apart[piece])
             row = [0.0]
             for t in range(min(radius, len(bits)) + 1):
-                near = 0.0 if gap is None else float((gap <= t).mean())
+                near = float(gap[: t + 1].sum())
                 random = sum(comb(len(bits), k) for k in range(t + 1)) / 2.0 ** len(bits)
                 probes = sum(comb(len(bits), k) for k in range(t + 1))
                 row.append(n * probes + n * n / 2 * max(near, random))
@@ -150,7 +217,7 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def near_links(prints: DataFrame, radius: int = RADIUS, sample: int = SAMPLE, crowd: int = CROWD) -> DataFrame:
+def near_links(prints: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) that connect the distinct ``print`` values within ``radius`` bits.
 
     Two prints are connected through links exactly when a chain of prints within the radius
@@ -164,9 +231,7 @@ def near_links(prints: DataFrame, radius: int = RADIUS, sample: int = SAMPLE, cr
     of links follows the prints.
     """
     distinct = materialise(prints.select("print").distinct(), "prints")
-    n = distinct.count()
-    seeds = distinct.orderBy(F.xxhash64("print")).limit(sample).collect()
-    plan = allocate(np.array([r[0] for r in seeds], np.int64).view(np.uint64), n, radius)
+    plan = allocate(distinct, distinct.count(), radius)
     found = []
     for bits, threshold in plan:
         mask = F.lit(_signed(_mask(bits)))

@@ -1,5 +1,6 @@
 """Every operator against a plain version, on odd rows, empty tables and clashing columns."""
 
+import itertools
 import random
 import zlib
 
@@ -461,6 +462,24 @@ def test_allocation_covers_the_radius():
     assert max(t for _, t in simhash.allocate(rng.integers(0, 2**64, 300, dtype=np.uint64), 10**9)) > 0
 
 
+def test_allocation_counts_all_pairs(spark):
+    """A table's counts are those of its values, and shares of pairs are those of a plain count."""
+    values = np.unique(np.random.default_rng(7).integers(0, 2**64, 300, dtype=np.uint64) & np.uint64(0xF0F3F7FF))
+    table = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "print bigint").repartition(5)
+    together = simhash._totals(table, simhash._together)
+    assert (together == simhash._totals(values, simhash._together)).all() and together[-1, -1] == len(values)
+    bits = simhash._bits(values).astype(float)
+    changing = [b for b in range(64) if 0 < bits[:, b].sum() < len(values)]
+    want = np.abs(np.corrcoef(bits[:, changing].T))
+    np.fill_diagonal(want, 0)
+    assert simhash._strength(together)[np.ix_(changing, changing)] == pytest.approx(want, abs=1e-12)
+    piece = (0, 9, 5, 31, 30, 63, 8, 4)
+    pairs = list(itertools.combinations(bits[:, piece].tolist(), 2))
+    gaps = [sum(x != y for x, y in zip(a, b)) for a, b in pairs]
+    held = simhash._totals(table, lambda some: simhash._values(some, [piece]))
+    assert simhash._apart(held[0]) == pytest.approx([gaps.count(k) / len(pairs) for k in range(9)])
+
+
 def test_near_duplicates_of_empty_and_odd_tables(odd, clash, odd_rows):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0 and simhash.keep_first(odd.limit(0)).count() == 0
     rows = simhash.near_duplicates(clash).collect()

@@ -4,9 +4,10 @@ import importlib
 import random
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import ranking
+from fieldgauge.llm import ranking, simhash
 from tests.llm import plain
 
 SF = "/root/testdata/sf0.001"
@@ -61,6 +62,24 @@ def test_quality_stage_learns_from_every_label(spark, tmp_path):
     assert not any(i >= 20_000 for i in kept)
 
 
+def test_near_dedup_stage_steers_by_every_fingerprint(frame, spark, monkeypatch):
+    """The parts and thresholds that are probed follow from all 3,000 fingerprints."""
+    deal = random.Random(9)
+    rows = [(i, " ".join(f"w{deal.randrange(500)}" for _ in range(deal.randint(4, 40))), "a") for i in range(3_000)]
+    plans, allocate = [], simhash.allocate
+
+    def told(*given):
+        plans.append(allocate(*given))
+        return plans[-1]
+
+    monkeypatch.setattr(simhash, "allocate", told)
+    kept = dict(pipeline.STAGES)["near_dedup"](spark, frame(rows), SF)
+    prints = {i: plain.fingerprint(t) for i, t, _ in rows}
+    every = np.array(sorted(set(prints.values())), np.uint64)
+    assert len(every) > 2_900 and plans == [allocate(every, len(every))]
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == set(plain.groups(prints).values())
+
+
 def test_run_is_registered(spark):
     import __spark_entry__ as entry
 
