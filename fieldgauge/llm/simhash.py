@@ -155,6 +155,18 @@ def _apart(held: np.ndarray) -> np.ndarray:
     return pairs / max(1.0, n * (n - 1))
 
 
+def _equal(prints: DataFrame | np.ndarray, groups: list[list[int]]) -> list[int]:
+    """For each group of bits, twice the pairs of fingerprints that are equal there."""
+    if not isinstance(prints, DataFrame):
+        held = [np.unique(prints & np.uint64(_mask(bits)), return_counts=True)[1] for bits in groups]
+        return [int((c * (c - 1)).sum()) for c in held]
+    masks = F.array(*[F.lit(_signed(_mask(bits))).cast("long") for bits in groups])
+    keys = prints.select("print", F.posexplode(masks).alias("group", "mask"))
+    held = keys.groupBy("group", F.col("print").bitwiseAND(F.col("mask")).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = dict(held.groupBy("group").agg(F.sum(F.col("n") * (F.col("n") - 1))).collect())
+    return [pairs.get(at, 0) for at in range(len(groups))]
+
+
 def _mask(bits: list[int]) -> int:
     return sum(1 << b for b in bits)
 
@@ -164,14 +176,17 @@ def allocate(prints: DataFrame | np.ndarray, n: int, radius: int = RADIUS) -> li
 
     For 1 to ``radius + 1`` parts, ``radius + 1`` units are dealt to the parts; a part with
     ``u`` units has threshold ``u - 1``.  The cost of a part is its probes plus its candidates.
-    How many pairs of all ``prints`` differ in so many bits is exact for each piece of a part;
-    pieces are taken as independent.  The plan changes the cost and never the result.
+    How many pairs of all ``prints`` are equal in a part is counted, and how many differ in so
+    many bits is exact for each piece of a part; beyond that pieces are taken as independent.
+    The plan changes the cost and never the result.
     """
-    strength = _strength(_totals(prints, _together))
+    together = _totals(prints, _together)
+    strength, seen = _strength(together), int(together[-1, -1])
     groupings = [_group_bits(strength, parts) for parts in range(1, radius + 2)]
     pieces = sorted({piece for groups in groupings for bits in groups for piece in _pieces(bits)})
     held = _totals(prints, lambda some: _values(some, pieces))
     apart = {piece: _apart(row) for piece, row in zip(pieces, held)}
+    equal = iter(_equal(prints, [bits for groups in groupings for bits in groups]))
     best: tuple[float, list[tuple[list[int], int]]] | None = None
     for groups in groupings:
         cost = []
@@ -179,9 +194,10 @@ def allocate(prints: DataFrame | np.ndarray, n: int, radius: int = RADIUS) -> li
             gap = np.ones(1)
             for piece in _pieces(bits):
                 gap = np.convolve(gap, apart[piece])
+            same = next(equal) / max(1, seen * (seen - 1))
             row = [0.0]
             for t in range(min(radius, len(bits)) + 1):
-                near = float(gap[: t + 1].sum())
+                near = max(same, float(gap[: t + 1].sum()))
                 random = sum(comb(len(bits), k) for k in range(t + 1)) / 2.0 ** len(bits)
                 probes = sum(comb(len(bits), k) for k in range(t + 1))
                 row.append(n * probes + n * n / 2 * max(near, random))
