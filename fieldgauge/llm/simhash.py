@@ -16,7 +16,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldgauge.llm.components import components
@@ -29,8 +29,9 @@ BITS = 64
 RADIUS = 3
 #: bits whose values are counted together, 2 ** PIECE of them
 PIECE = 8
-#: above so many fingerprints with one part value, balls are joined instead of pairs
-CROWD = 256
+#: above so many fingerprints with one part value, balls are joined instead of pairs: as many as a
+#: fingerprint has points, so that a probe never meets more candidates than it would make points
+CROWD = sum(comb(BITS, k) for k in range(RADIUS - RADIUS // 2 + 1))
 
 _ONE = np.uint64(1)
 #: bits in which each value of a piece differs from each
@@ -239,7 +240,8 @@ def near_links(prints: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> D
     Two prints are connected through links exactly when a chain of prints within the radius
     joins them.  For each probed part, prints are
     indexed by their bits there and probed with up to ``t`` of those bits flipped; candidates
-    are verified on all bits.  Part values held by more than ``crowd`` prints would make pairs
+    are verified on all bits.  Spark takes probes and points for as few as the prints they come
+    from, so both are merged by sorting and never broadcast.  Part values held by more than ``crowd`` prints would make pairs
     quadratic, so there prints meet at points instead: ``a`` and ``b`` lie within ``radius``
     bits exactly when some point is within ``radius // 2`` of one and ``radius - radius // 2``
     of the other.  All prints within the larger distance of a point belong together as soon as
@@ -264,7 +266,7 @@ def near_links(prints: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> D
         sparse = index.join(crowded, "key", "left_anti")
         pairs = (
             sparse.withColumnRenamed("print", "b")
-            .join(reach.withColumnRenamed("print", "a"), "key")
+            .join(reach.withColumnRenamed("print", "a").hint("merge"), "key")
             .where((F.col("a") != F.col("b"))
                    & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius))
             .select("a", "b")
@@ -273,25 +275,27 @@ def near_links(prints: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> D
         if crowded.isEmpty():
             continue
         visitors = reach.join(crowded, "key", "left_semi").select("print", "key")
-        found.append(_meet(visitors, radius))
+        # holders of one value differ in the other bits only
+        free = [b for b in range(BITS) if threshold or b not in bits]
+        found.append(_meet(visitors, radius, free))
     links = found[0]
     for more in found[1:]:
         links = links.unionAll(more)
     return links
 
 
-def _meet(visitors: DataFrame, radius: int) -> DataFrame:
-    """Links of prints that visit the same crowded value, through points between them."""
+def _meet(visitors: DataFrame, radius: int, bits: list[int]) -> DataFrame:
+    """Links of prints that visit the same crowded value, through points that differ in ``bits``.
+
+    The prints at a point are at most as many as a print has points, so a window holds them.
+    """
     near, far = radius // 2, radius - radius // 2
-    everywhere = list(range(BITS))
-    inner = len(_flips(everywhere, near))
+    inner = len(_flips(bits, near))
     points = visitors.select("print").distinct().select(
-        "print", F.posexplode(_masks(everywhere, far)).alias("_at", "_mask")
+        "print", F.posexplode(_masks(bits, far)).alias("_at", "_mask")
     ).select("print", F.col("print").bitwiseXOR(F.col("_mask")).alias("point"), (F.col("_at") < inner).alias("close"))
-    first = (
-        points.where("close").groupBy("point").agg(F.min("print").alias("b"))
-    )
-    return points.join(first, "point").select(F.col("print").alias("a"), "b").where("a != b").distinct()
+    first = F.min(F.when(F.col("close"), F.col("print"))).over(Window.partitionBy("point"))
+    return points.select(F.col("print").alias("a"), first.alias("b")).where("a != b").distinct()
 
 
 def _print_components(marked: DataFrame, radius: int, **options) -> DataFrame:

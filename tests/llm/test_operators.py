@@ -449,6 +449,26 @@ def test_links_find_every_chain(spark, crowd):
     assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
 
 
+@pytest.mark.parametrize("free", [range(64), range(16, 64)])
+def test_points_of_a_crowd_are_never_broadcast(spark, free):
+    """Spark takes the 2,081 points of a print for one row, so few prints looked small enough to broadcast."""
+    deal = random.Random(7)
+    centre = deal.getrandbits(62)
+    values = {centre ^ sum(1 << b for b in deal.sample(free, deal.randrange(0, 5))) for _ in range(40)}
+    visitors = spark.createDataFrame([(v if v < 2**63 else v - 2**64, 0) for v in values], "print bigint, key bigint")
+    links = simhash._meet(visitors, 3, list(free))
+    found = {frozenset((r.a % 2**64, r.b % 2**64)) for r in links.collect()}
+    assert "Broadcast" not in links._jdf.queryExecution().executedPlan().toString()
+    assert found and all((a ^ b).bit_count() <= 3 for a, b in map(tuple, found))
+    want = plain.groups({v: v for v in values})
+    name = {v: v for v in values}
+    for _ in values:
+        for a, b in map(tuple, found):
+            name[a] = name[b] = min(name[a], name[b])
+    pairs = {(want[v], name[v]) for v in values}
+    assert len(pairs) == len(set(want.values())) == len(set(name.values()))
+
+
 def test_allocation_covers_the_radius():
     import numpy as np
 
