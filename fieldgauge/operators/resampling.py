@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from fieldgauge.functions.distributions import norm_ppf
+from fieldgauge.functions.replicates import null_statistics
 from fieldgauge.operators.ranks import avg_rank, join_on, small_group_rank
 
 # fixed values: replicates, block length, tolerances
@@ -336,7 +338,7 @@ def rotation_test(
 
 def stratified_permutation(
     df: DataFrame, value: str, label: str, stratum: str, site: str = "location_id",
-    by: Sequence[str] = (), replicates: int = SCORE_REPLICATES, seed: int = 1, chunk: int = 32,
+    by: Sequence[str] = (), replicates: int = SCORE_REPLICATES, seed: int = 1, chunk: int | None = None,
 ) -> DataFrame:
     """Kruskal-Wallis H of labels, with labels moved only inside a stratum.
 
@@ -345,8 +347,9 @@ def stratified_permutation(
 
     H is the sum over labels of (sum of z)^2 / n, z being the standardised rank, so a site
     brings one vector of z and a stratum its labels with their running counts.  Both go to each
-    chunk of replicates, whose task draws, adds and compares without another shuffle: what is
-    shuffled grows with sites x cells x replicates / ``chunk``.
+    chunk of replicates, whose task holds one stratum at a time and draws, adds and compares there
+    (``functions.replicates``).  No row is made for a replicate: what is shuffled is sites x cells
+    for each chunk, of which there are two per core unless ``chunk`` says how many replicates one has.
     """
     if not by:
         one = stratified_permutation(
@@ -374,22 +377,21 @@ def stratified_permutation(
     ).agg(F.array_sort(F.collect_list("_step")).alias("_steps"))
     vectors = scores.groupBy(site).agg(F.collect_list(F.struct(*by, "_z")).alias("_cells"))
     carried = join_on(join_on(sites.drop(label), steps, [stratum]), vectors, [site], "left")
-    first = F.col("_chunk") * chunk
+    parts = max(2 * df.sparkSession.sparkContext.defaultParallelism, 1)
+    chunk = chunk or -(-replicates // parts)
     drawn = (
         carried.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // chunk))))
-        .repartition(max(2 * df.sparkSession.sparkContext.defaultParallelism, 1), "_chunk")
-        .withColumn("replicate", F.explode(F.sequence(first, F.least(first + (chunk - 1), F.lit(replicates - 1)))))
+        .select("_chunk", stratum, site, "_steps", "_cells")
+        .repartitionById(parts, F.pmod("_chunk", F.lit(parts)))
+        .sortWithinPartitions("_chunk", stratum, site)
     )
-    # the rows of a chunk are in one task already, for the order and for the sums
-    order = F.xxhash64(F.lit(seed), "replicate", site)
-    slot = F.row_number().over(Window.partitionBy("_chunk", "replicate", stratum).orderBy(order, site))
-    moved = drawn.withColumn("_slot", slot).select(
-        "_chunk", "replicate", F.element_at(F.filter("_steps", lambda x: x["upto"] >= F.col("_slot")), 1)["label"].alias(label),
-        F.inline("_cells"),
+    cells = scores.select(*by).schema
+    null = drawn.mapInArrow(
+        null_statistics(to_arrow_schema(cells), seed, chunk, replicates),
+        T.StructType([*cells.fields, T.StructField("_h", T.ArrayType(T.DoubleType()))]),
     )
     observed = h_of(scores, by).withColumnRenamed("_h", "statistic")
-    null = h_of(moved, ["_chunk", *by, "replicate"])
-    return join_on(null, observed, by).groupBy(*by).agg(
-        F.first("statistic").alias("statistic"),
-        ((1 + F.count_if(F.col("_h") >= F.col("statistic") - 1e-10)) / (replicates + 1)).alias("p"),
+    hits = F.size(F.filter("_h", lambda h: h >= F.col("statistic") - 1e-10))
+    return join_on(null, observed, by).withColumn("_hits", hits).groupBy(*by).agg(
+        F.first("statistic").alias("statistic"), ((1 + F.sum("_hits")) / (replicates + 1)).alias("p")
     )
