@@ -1,5 +1,6 @@
 """Small cases worked out by hand."""
 
+import random
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
@@ -100,6 +101,22 @@ def test_trailing_window(spark, slice_hours):
         windows.past_average(df, "v", 0)
 
 
+def test_past_average_takes_linear_time(spark):
+    """A reading in most seconds over five windows; no frame is summed anew for each row."""
+    deal = random.Random(4)
+    rows = [("a", t, None if t % 7 == 0 else deal.random()) for t in range(-9000, 9000) if t % 5 and not 2000 < t < 7000]
+    df = spark.createDataFrame(rows, "location_id string, t long, v double").withColumn("timestamp", F.timestamp_seconds("t"))
+    out = windows.past_average(df, "v", 1, output="past")
+    frames = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line]
+    assert frames and all("-3600" not in line for line in frames), frames
+    got = {r.t: r.past for r in out.collect()}
+    assert set(got) == {t for _, t, _ in rows}
+    known = {t: v for _, t, v in rows if v is not None}
+    for t in [*deal.sample(sorted(got), 200), -9000 + 1, 1999, 7001]:
+        inside = [known[s] for s in range(t - 3600, t) if s in known]
+        assert got[t] == (pytest.approx(sum(inside) / len(inside)) if inside else None), t
+
+
 def test_purged_split(spark):
     df = spark.createDataFrame([(at(2024, 1, 1, h),) for h in (0, 1, 2, 3, 4, 5)], "timestamp timestamp")
     # horizon of one hour: hour 3 would reach the first cutoff, hour 4 the second
